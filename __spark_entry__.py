@@ -23,19 +23,26 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from triplake.config import GoldOptions, QualityRules  # noqa: E402
-from triplake.contracts import INGESTED_AT  # noqa: E402
+from triplake.config import GoldOptions, Lake, QualityRules  # noqa: E402
+from triplake.contracts import DROPOFF, INGESTED_AT, PICKUP  # noqa: E402
 from triplake.operators import analytics, audit, gold  # noqa: E402
 from triplake.operators.bronze import bronze  # noqa: E402
 from triplake.operators.silver import rule_report, silver  # noqa: E402
+from triplake.plans.pipeline import read_layer, run_pipeline  # noqa: E402
+from triplake.plans.sinks import read_table  # noqa: E402
+from triplake.session import scratch_path  # noqa: E402
+from triplake.sources.files import file_inventory, inventory_summary, list_files  # noqa: E402
+from triplake.sources.parquet import read_reconciled  # noqa: E402
 from triplake.sources.adapters import (  # noqa: E402
     EVENTS_RULES,
     LINEITEM_RULES,
     events_raw,
     lineitem_raw,
 )
+from triplake.streaming.incremental import ingest_reconciled, ingest_stream  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
+ORACLE_DIR = "/root/testdata/sf0.01"
 
 # Parameters of the registered queries (shared by Spark and the oracle).
 L_LAST_MONTH = "2001-10"  # the final lineitem month is partial
@@ -85,6 +92,91 @@ def _no_ingest_time(df: DataFrame) -> DataFrame:
     return df.drop(INGESTED_AT)
 
 
+# Landing folders derived from lineitem by Spark, written under the shared
+# checkpoint folder (fresh per call).  Part files match LANDING_GLOB.
+LANDING_GLOB = "*.parquet"
+
+
+def _write_landing(raw: DataFrame, folder: str, drift: bool) -> None:
+    """Write raw trips as Parquet files; with ``drift`` the files of three
+    eras carry different physical schemas (as the yearly raw files do):
+    up to 1996 integer party/vendor and a lower-case airport fee, 1997-1998
+    without the two newest fee columns, from 1999 zoned timestamps."""
+    year = F.year(PICKUP)
+    if not drift:
+        raw.write.mode("append").parquet(folder)
+        return
+    early = (
+        raw.where(year <= 1996)
+        .withColumn("passenger_count", F.col("passenger_count").cast("long"))
+        .withColumn("VendorID", F.col("VendorID").cast("int"))
+        .withColumnRenamed("Airport_fee", "airport_fee")
+    )
+    middle = raw.where((year >= 1997) & (year <= 1998)).drop("congestion_surcharge", "Airport_fee")
+    late = raw.where(year >= 1999).withColumns(
+        {PICKUP: F.col(PICKUP).cast("timestamp"), DROPOFF: F.col(DROPOFF).cast("timestamp")}
+    )
+    for part in (early, middle, late):
+        part.write.mode("append").parquet(folder)
+
+
+def _schema_drift_union(spark: SparkSession, d: str) -> DataFrame:
+    landing = scratch_path(spark, "landing-drift")
+    _write_landing(lineitem_raw(spark, d), landing, drift=True)
+    return bronze(read_reconciled(spark, landing, glob=LANDING_GLOB)).drop(INGESTED_AT)
+
+
+def _incremental_stream(spark: SparkSession, d: str) -> DataFrame:
+    root = scratch_path(spark, "incremental")
+    landing, out, ckpt = f"{root}/landing", f"{root}/bronze", f"{root}/_checkpoint"
+    raw = lineitem_raw(spark, d)
+    _write_landing(raw.where(F.year(PICKUP) <= 1997), landing, drift=False)
+    first = ingest_stream(spark, landing, out, ckpt, glob=LANDING_GLOB)
+    _write_landing(raw.where(F.year(PICKUP) > 1997), landing, drift=False)
+    second = ingest_stream(spark, landing, out, ckpt, glob=LANDING_GLOB)
+    again = ingest_stream(spark, landing, out, ckpt, glob=LANDING_GLOB)
+    if first == 0 or second == 0 or again != 0:
+        raise AssertionError(f"incremental ingest added {first}, {second}, {again} rows")
+    return read_table(spark, out).drop(INGESTED_AT)
+
+
+def _incremental_reconciled(spark: SparkSession, d: str) -> DataFrame:
+    root = scratch_path(spark, "incremental-drift")
+    landing, out, ckpt = f"{root}/landing", f"{root}/bronze", f"{root}/_checkpoint"
+    raw = lineitem_raw(spark, d)
+    _write_landing(raw.where(F.year(PICKUP) <= 1998), landing, drift=True)
+    ingest_reconciled(spark, landing, out, ckpt, glob=LANDING_GLOB)
+    _write_landing(raw.where(F.year(PICKUP) > 1998), landing, drift=True)
+    ingest_reconciled(spark, landing, out, ckpt, glob=LANDING_GLOB)
+    if ingest_reconciled(spark, landing, out, ckpt, glob=LANDING_GLOB) != 0:
+        raise AssertionError("a repeated run ingested files again")
+    return read_table(spark, out).drop(INGESTED_AT)
+
+
+def _pipeline_lake(spark: SparkSession, d: str) -> Lake:
+    root = scratch_path(spark, "pipeline")
+    landing = f"{root}/landing"
+    _write_landing(lineitem_raw(spark, d), landing, drift=False)
+    lake = Lake(f"{root}/lake")
+    run_pipeline(spark, landing, lake, LINEITEM_RULES, glob=LANDING_GLOB)
+    return lake
+
+
+def _pipeline_layer_counts(spark: SparkSession, d: str) -> DataFrame:
+    lake = _pipeline_lake(spark, d)
+    return audit.layer_counts(
+        {
+            ("Bronze", "tlc_trips_raw"): read_layer(spark, lake, "bronze"),
+            ("Silver", "tlc_trips"): read_layer(spark, lake, "silver"),
+            **{("Gold", n): read_layer(spark, lake, "gold", n) for n in gold.GOLD_BUILDERS},
+        }
+    )
+
+
+def _insights(spark: SparkSession, d: str) -> DataFrame:
+    return analytics.insights(_l_month_bounded(spark, d), _e_time(spark, d), L_PRE_PERIOD_END_YEAR)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _e_time(spark, sf_dir)
 
@@ -143,6 +235,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "recovery_month": lambda s, d: analytics.recovery(_l_month_bounded(s, d), L_PRE_PERIOD_END_YEAR),
         "recovery_month_unbounded": lambda s, d: analytics.recovery(_l_month(s, d), L_PRE_PERIOD_END_YEAR),
         "first_latest_change": lambda s, d: analytics.first_latest_change(_l_month_bounded(s, d)),
+        "insights": _insights,
+        # sources, sinks, pipeline, incremental ingest
+        "file_inventory": lambda s, d: file_inventory(list_files(s, d, "*.parquet")),
+        "file_inventory_summary": lambda s, d: inventory_summary(list_files(s, d, "*.parquet")),
+        "schema_drift_union": _schema_drift_union,
+        "incremental_stream": _incremental_stream,
+        "incremental_reconciled": _incremental_reconciled,
+        "pipeline_trips_by_month": lambda s, d: read_layer(s, _pipeline_lake(s, d), "gold", "trips_by_month"),
+        "pipeline_layer_counts": _pipeline_layer_counts,
     }
     return q
 
@@ -437,6 +538,61 @@ FROM a
 """
 
 
+def _insights_sql() -> str:
+    ext = _month_extremes_sql(_L_MONTH_BOUNDED)
+    rec = _recovery_sql(_L_MONTH_BOUNDED, L_PRE_PERIOD_END_YEAR)
+    cells = _cell_extremes_sql(_E_TIME)
+    chg = _first_latest_sql(_L_MONTH_BOUNDED)
+    fare = f"""SELECT CAST(SUM({_q("avg_fare", 100)} * trip_count) AS DOUBLE)
+         / NULLIF(CAST(SUM(trip_count) * 100 AS DOUBLE), 0) AS v FROM ({_L_MONTH_BOUNDED})"""
+
+    def ex(metric: str, c: str) -> str:
+        return f"(SELECT {c} FROM ext WHERE metric = '{metric}')"
+
+    def cl(metric: str, c: str) -> str:
+        return f"(SELECT {c} FROM cells WHERE metric = '{metric}')"
+
+    def ch(c: str) -> str:
+        return f"(SELECT {c} FROM chg)"
+
+    def rc(c: str) -> str:
+        return f"(SELECT {c} FROM rec)"
+
+    def hour(h: str) -> str:
+        return f"format('{{:02d}}:00', {h})"
+
+    pct = ch("fare_change_pct")
+    first, latest = f"CAST({ch('first_year')} AS VARCHAR)", f"CAST({ch('latest_year')} AS VARCHAR)"
+    rows = [
+        ("Volume", "'Peak month'",
+         f"{ex('peak', 'period_label')} || ' — ' || format('{{:,}}', {ex('peak', 'trip_count')}) || ' trips'"),
+        ("Volume", "'COVID trough'",
+         f"{ex('trough', 'period_label')} || ' — ' || format('{{:,}}', {ex('trough', 'trip_count')})"
+         f" || ' trips (−' || CAST({rc('trough_drop_pct')} AS VARCHAR) || '% vs pre-COVID peak)'"),
+        ("Volume", "'80% recovery after COVID'", f"{rc('recovery_text')} || ' (≥80% of pre-COVID peak)'"),
+        ("Revenue", "'Best revenue month'",
+         f"{ex('best_revenue', 'period_label')} || ' — $' || format('{{:,.0f}}', {ex('best_revenue', 'total_revenue')})"),
+        ("Revenue", f"'Average fare (' || {first} || '–now)'", "'$' || format('{:.2f}', (SELECT v FROM fare))"),
+        ("Demand patterns", "'Busiest hour (weekday)'", hour(cl("weekday_peak_hour", "pickup_hour"))),
+        ("Demand patterns", "'Busiest hour (weekend)'", hour(cl("weekend_peak_hour", "pickup_hour"))),
+        ("Demand patterns", "'Quietest hour'",
+         f"{hour(cl('quietest', 'pickup_hour'))} || ' on ' || {cl('quietest', 'day_name')}"),
+        ("Trip characteristics", f"'Avg fare increase since ' || {first}",
+         f"'$' || format('{{:.2f}}', {ch('fare_first')}) || ' → $' || format('{{:.2f}}', {ch('fare_latest')})"
+         f" || ' (' || CASE WHEN {pct} >= 0 THEN '+' ELSE '' END || CAST({pct} AS VARCHAR) || '%)'"),
+        ("Trip characteristics", f"'Avg trip distance change (' || {first} || '→' || {latest} || ')'",
+         ch("dist_trend")),
+    ]
+    selects = " UNION ALL ".join(
+        f"SELECT CAST({i + 1} AS INTEGER) AS position, '{cat}' AS category, {metric} AS metric, {value} AS value"
+        for i, (cat, metric, value) in enumerate(rows)
+    )
+    return f"""
+WITH ext AS ({ext}), rec AS ({rec}), cells AS ({cells}), chg AS ({chg}), fare AS ({fare})
+{selects}
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     no_ts = ", ".join(_RAW_COLS + ["_source"])
     silver_cols = no_ts + (
@@ -521,4 +677,28 @@ FROM ({_pareto_sql(_L_ZONE)})""",
         "recovery_month": _recovery_sql(_L_MONTH_BOUNDED, L_PRE_PERIOD_END_YEAR),
         "recovery_month_unbounded": _recovery_sql(_L_MONTH, L_PRE_PERIOD_END_YEAR),
         "first_latest_change": _first_latest_sql(_L_MONTH_BOUNDED),
+        "insights": _insights_sql(),
+        # The driver's oracle runs at sf0.01; a file listing needs its folder.
+        "file_inventory": f"""
+SELECT parse_filename(filename) AS file, {_r("CAST(size AS DOUBLE) / CAST(1048576 AS DOUBLE)", 1)} AS size_mb
+FROM read_blob('{ORACLE_DIR}/*.parquet')""",
+        "file_inventory_summary": f"""
+SELECT CAST(COUNT(*) AS BIGINT) AS files,
+  CAST(SUM({_q(_r("CAST(size AS DOUBLE) / CAST(1048576 AS DOUBLE)", 1), 10)}) AS DOUBLE)
+    / CAST(10240 AS DOUBLE) AS total_gb
+FROM read_blob('{ORACLE_DIR}/*.parquet')""",
+        "schema_drift_union": _L_BRONZE,
+        "incremental_stream": _L_BRONZE,
+        "incremental_reconciled": _L_BRONZE,
+        "pipeline_trips_by_month": _L_MONTH,
+        "pipeline_layer_counts": " UNION ALL ".join(
+            f"SELECT '{layer}' AS layer, '{name}' AS \"table\", CAST(COUNT(*) AS BIGINT) AS rows FROM ({sql})"
+            for (layer, name), sql in {
+                ("Bronze", "tlc_trips_raw"): _L_BRONZE,
+                ("Silver", "tlc_trips"): _L_SILVER,
+                ("Gold", "trips_by_month"): _L_MONTH,
+                ("Gold", "trips_by_zone"): _L_ZONE,
+                ("Gold", "time_patterns"): _time_sql(_L_SILVER),
+            }.items()
+        ),
     }

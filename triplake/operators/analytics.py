@@ -268,3 +268,94 @@ def first_latest_change(month_gold: DataFrame) -> DataFrame:
             "dist_trend"
         ),
     )
+
+
+# Insight categories and metric labels of the report.
+INSIGHT_ROWS = (
+    ("Volume", "Peak month"),
+    ("Volume", "COVID trough"),
+    ("Volume", "80% recovery after COVID"),
+    ("Revenue", "Best revenue month"),
+    ("Revenue", "Average fare ({first}–now)"),
+    ("Demand patterns", "Busiest hour (weekday)"),
+    ("Demand patterns", "Busiest hour (weekend)"),
+    ("Demand patterns", "Quietest hour"),
+    ("Trip characteristics", "Avg fare increase since {first}"),
+    ("Trip characteristics", "Avg trip distance change ({first}→{latest})"),
+)
+
+
+def insights(
+    month_gold: DataFrame, time_gold: DataFrame, pre_period_end_year: int = 2020, share: float = 0.8
+) -> DataFrame:
+    """The report's key-insight table: ``(category, metric, value)``, ten rows.
+
+    Every figure is a scalar subquery over one of the one-row analytics
+    above, so the result needs no join and no driver round trip.
+    """
+    ext = month_extremes(month_gold)
+    rec = recovery(month_gold, pre_period_end_year, share)
+    fare = weighted_avg_fare(month_gold)
+    cells = cell_extremes(time_gold)
+    change = first_latest_change(month_gold)
+
+    def pick(df: DataFrame, metric: str, c: str) -> Column:
+        return df.where(F.col("metric") == metric).select(c).scalar()
+
+    def one(df: DataFrame, c: str) -> Column:
+        return df.select(c).scalar()
+
+    def money0(c: Column) -> Column:
+        return F.concat(F.lit("$"), F.format_number(c, 0))
+
+    def money2(c: Column) -> Column:
+        return F.concat(F.lit("$"), F.format_string("%.2f", c))
+
+    pct = one(change, "fare_change_pct")
+    values = [
+        F.concat(pick(ext, "peak", "period_label"), F.lit(" — "),
+                 F.format_number(pick(ext, "peak", "trip_count"), 0), F.lit(" trips")),
+        F.concat(pick(ext, "trough", "period_label"), F.lit(" — "),
+                 F.format_number(pick(ext, "trough", "trip_count"), 0), F.lit(" trips (−"),
+                 one(rec, "trough_drop_pct").cast("string"), F.lit("% vs pre-COVID peak)")),
+        F.concat(one(rec, "recovery_text"), F.lit(" (≥"), F.lit(str(round(share * 100))),
+                 F.lit("% of pre-COVID peak)")),
+        F.concat(pick(ext, "best_revenue", "period_label"), F.lit(" — "),
+                 money0(pick(ext, "best_revenue", "total_revenue"))),
+        money2(one(fare, "avg_fare_overall")),
+        hour_label(pick(cells, "weekday_peak_hour", "pickup_hour")),
+        hour_label(pick(cells, "weekend_peak_hour", "pickup_hour")),
+        F.concat(hour_label(pick(cells, "quietest", "pickup_hour")), F.lit(" on "),
+                 day_name(pick(cells, "quietest", "pickup_day_of_week"))),
+        F.concat(money2(one(change, "fare_first")), F.lit(" → "), money2(one(change, "fare_latest")),
+                 F.lit(" ("), F.when(pct >= 0, "+").otherwise(""), pct.cast("string"), F.lit("%)")),
+        one(change, "dist_trend"),
+    ]
+    first = one(change, "first_year").cast("string")
+    latest = one(change, "latest_year").cast("string")
+
+    def metric_text(template: str) -> Column:
+        parts: list[Column] = []
+        rest = template
+        while rest:
+            i = rest.find("{")
+            if i < 0:
+                parts.append(F.lit(rest))
+                break
+            j = rest.index("}", i)
+            if i:
+                parts.append(F.lit(rest[:i]))
+            parts.append({"first": first, "latest": latest}[rest[i + 1 : j]])
+            rest = rest[j + 1 :]
+        return F.concat(*parts)
+
+    rows = [
+        F.struct(F.lit(i + 1).alias("position"), F.lit(cat).alias("category"),
+                 metric_text(metric).alias("metric"), v.alias("value"))
+        for i, ((cat, metric), v) in enumerate(zip(INSIGHT_ROWS, values))
+    ]
+    return (
+        month_gold.sparkSession.range(1)
+        .select(F.explode(F.array(*rows)).alias("r"))
+        .select("r.position", "r.category", "r.metric", "r.value")
+    )

@@ -222,22 +222,28 @@ def recovery(month_gold: DataFrame, pre_period_end_year: int = 2020, share: floa
     whole percent, rounded half to even.
     """
     g = month_gold.withColumn("month_key", month_key("pickup_year", "pickup_month"))
-    pre_peak = g.agg(F.max(F.when(F.col("pickup_year") < pre_period_end_year, F.col("trip_count")))).scalar()
-    trough = g.agg(argmin_row(["month_key", "trip_count"], "trip_count", "month_key").alias("t"))
-    trough_key = trough.select("t.month_key").scalar()
+    stats = g.agg(
+        F.max(F.when(F.col("pickup_year") < pre_period_end_year, F.col("trip_count"))).alias("pre_peak"),
+        argmin_row(["month_key", "trip_count"], "trip_count", "month_key").alias("t"),
+    )
+    pre_peak = stats.select("pre_peak").scalar()
+    trough_key = stats.select("t.month_key").scalar()
     recovered = g.where(
         (F.col("month_key") > trough_key) & (F.col("trip_count") >= pre_peak * F.lit(share))
     ).agg(F.min("month_key").alias("k")).scalar()
+    trough = stats
 
     def label(key: Column) -> Column:
         return long_month_label(F.make_date(F.floor(key / 12).cast("int"), (key % 12 + 1).cast("int"), F.lit(1)))
 
     return trough.select(
-        pre_peak.alias("pre_peak"),
-        (pre_peak * F.lit(share)).alias("threshold"),
+        F.col("pre_peak"),
+        (F.col("pre_peak") * F.lit(share)).alias("threshold"),
         label(F.col("t.month_key")).alias("trough_label"),
         F.col("t.trip_count").alias("trough_trips"),
-        F.bround((1 - ratio(F.col("t.trip_count"), pre_peak)) * 100, 0).cast("long").alias("trough_drop_pct"),
+        F.bround((1 - ratio(F.col("t.trip_count"), F.col("pre_peak"))) * 100, 0).cast("long").alias(
+            "trough_drop_pct"
+        ),
         label(recovered).alias("recovery_label"),
         F.coalesce(label(recovered), F.lit("Not yet recovered")).alias("recovery_text"),
     )

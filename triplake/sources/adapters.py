@@ -11,7 +11,9 @@ Adapter E (``events``): one January of trips with varied hours and weekdays.
   error events with k divisible by 10 have no dropoff; signup events with
   k divisible by 10 have no pickup zone; distance = value;
   total = value * 3 - 5 (in cents); party = k mod 12 with 11 meaning unknown.
-  k is the integer ``k`` in the JSON ``props``.
+  k = (event_id * 37 + user_id * 11) mod 100, a cheap per-row pseudo-random
+  digit pair (id arithmetic only: the quality filter is pushed below this
+  projection and repeats it per rule, so it must stay cheap).
 
 Adapter L (``lineitem``): seven years of trips for monthly/yearly analytics.
   pickup = l_shipdate; dropoff = pickup + l_quantity * l_linenumber * 3 minutes;
@@ -43,7 +45,7 @@ def _cents(c):
 
 def events_trips(events: DataFrame) -> DataFrame:
     """Raw trips (``RAW_SCHEMA``) from the ``events`` table."""
-    k = F.get_json_object("props", "$.k").cast("long")
+    k = (F.col("event_id") * 37 + F.col("user_id") * 11) % 100
     value = F.col("value")
     secs = (F.col("event_id") * 7919 + k * 60) % 46800 - 1200
     no_dropoff = (F.col("event_type") == "error") & (k % 10 == 0)

@@ -122,6 +122,8 @@ def _write_landing(raw: DataFrame, folder: str, drift: bool) -> None:
     up to 1996 integer party/vendor and a lower-case airport fee, 1997-1998
     without the two newest fee columns, from 1999 zoned timestamps."""
     year = F.year(PICKUP)
+    # several files per landing, like a real raw folder (round-robin: no skew)
+    raw = raw.repartition(raw.sparkSession.sparkContext.defaultParallelism)
     if not drift:
         raw.write.mode("append").parquet(folder)
         return
@@ -177,7 +179,8 @@ def _pipeline_lake(spark: SparkSession, d: str) -> Lake:
     landing = f"{root}/landing"
     _write_landing(lineitem_raw(spark, d), landing, drift=False)
     lake = Lake(f"{root}/lake")
-    run_pipeline(spark, landing, lake, LINEITEM_RULES, glob=LANDING_GLOB)
+    # lineitem rows are not month-clustered like monthly raw files: cluster silver
+    run_pipeline(spark, landing, lake, LINEITEM_RULES, glob=LANDING_GLOB, cluster_silver=True)
     return lake
 
 

@@ -95,11 +95,16 @@ def run_pipeline(
     reconcile: bool = False,
     glob: str = RAW_FILE_GLOB,
     raise_on_failure: bool = True,
+    cluster_silver: bool = False,
 ) -> RunReport:
-    """Run bronze, silver and gold; raise at the end if any gold table failed."""
+    """Run bronze, silver and gold; raise at the end if any gold table failed.
+
+    ``cluster_silver`` range-partitions silver by pickup time before the
+    partitioned write; use it when raw files are not already one month each.
+    """
     report = RunReport()
     report.bronze_rows = write_bronze(spark, raw, lake, reconcile, glob)
-    report.silver_rows = write_silver(spark, lake, rules)
+    report.silver_rows = write_silver(spark, lake, rules, cluster=cluster_silver)
     report.gold_rows, report.failed = write_gold(spark, lake, gold_opts)
     if report.failed and raise_on_failure:
         raise RuntimeError(f"gold tables failed: {sorted(report.failed)}; report={report}")

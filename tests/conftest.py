@@ -15,10 +15,16 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from triplake.session import get_spark
 
+    import tempfile
+
     s = get_spark(
         "triplake-tests",
         master="local[4]",
-        **{"spark.sql.shuffle.partitions": "4", "spark.default.parallelism": "4"},
+        **{
+            "spark.sql.shuffle.partitions": "4",
+            "spark.default.parallelism": "4",
+            "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="triplake-wh-"),
+        },
     )
     yield s
     s.stop()

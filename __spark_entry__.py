@@ -245,6 +245,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # report analytics
         "month_series": _l_month_bounded,
         "top_zones": lambda s, d: analytics.top_zones(_gz(s, d), TOP_K),
+        "monthly_chart": lambda s, d: analytics.monthly_chart(analytics.month_series(_gm(s, d), min_year=1995)),
         "demand_heatmap": lambda s, d: analytics.demand_heatmap(_gt(s, d)),
         "weekday_weekend_by_hour": lambda s, d: analytics.weekday_weekend_by_hour(_gt(s, d)),
         "yearly_fare": lambda s, d: analytics.yearly_fare(_gm(s, d)),
@@ -672,6 +673,10 @@ SELECT c.year, c.month FROM ({calendar}) c
 WHERE NOT EXISTS (SELECT 1 FROM ({loaded}) l WHERE l.year = c.year AND l.month = c.month)""",
         "month_series": _L_MONTH_BOUNDED,
         "top_zones": f"SELECT * FROM ({_L_ZONE}) ORDER BY pickups DESC, zone_id ASC LIMIT {TOP_K}",
+        "monthly_chart": f"""
+SELECT period_label, CAST(trip_count AS DOUBLE) / CAST(1000000 AS DOUBLE) AS trips_millions,
+  total_revenue / CAST(1000000 AS DOUBLE) AS revenue_millions
+FROM ({_L_MONTH_BOUNDED})""",
         "demand_heatmap": f"""
 SELECT pickup_hour, format('{{:02d}}:00', pickup_hour) AS hour_label,
   {", ".join(

@@ -144,3 +144,12 @@ def test_insights_table(spark):
     assert out[2].value.startswith("July 2020")
     assert out[7].value == "00:00 on Sun"
     assert out[9].metric == "Avg trip distance change (2019→2020)"
+
+
+def test_display_orders_and_chart(spark):
+    top = analytics.top_zones(zones(spark, [5, 9, 7, 1]), 3, ascending_for_display=True).collect()
+    assert [r.pickups for r in top] == sorted(r.pickups for r in top)
+    cells = analytics.cells_in_week_order(time_gold(spark)).collect()
+    assert (cells[0].pickup_day_of_week, cells[0].pickup_hour, cells[1].pickup_hour) == (1, 0, 1)
+    chart = analytics.monthly_chart(analytics.month_series(months(spark))).collect()
+    assert chart[0].period_label == "2019-11" and chart[0].trips_millions == 90 / 1e6

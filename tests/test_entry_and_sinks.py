@@ -74,3 +74,13 @@ def test_rules_match_python_predicate(spark, rows):
     kept = {r.VendorID for r in silver(bronze(frame(spark, built))).select("VendorID").collect()}
     want = {i for i, r in enumerate(rows) if expected_keep(*r)}
     assert kept == want
+
+
+def test_create_table_with_declared_columns(spark):
+    from triplake.contracts import BRONZE_SCHEMA
+
+    sinks.ensure_namespace(spark, "bronze_test")
+    sinks.create_table(spark, "bronze_test.tlc_trips_raw", BRONZE_SCHEMA)
+    sinks.create_table(spark, "bronze_test.tlc_trips_raw", BRONZE_SCHEMA)  # replace
+    t = spark.table("bronze_test.tlc_trips_raw")
+    assert [f.name for f in t.schema] == [f.name for f in BRONZE_SCHEMA] and t.count() == 0

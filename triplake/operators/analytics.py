@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from triplake.config import next_month, parse_month
-from triplake.functions.labels import DAY_NAMES, day_name, hour_label, is_weekend
+from triplake.functions.labels import DAY_NAMES, day_name, hour_label, is_weekend, millions
 from triplake.functions.measures import mean_of_quanta, quanta, ratio
 from triplake.functions.ordered import argmax_row, argmin_row, running_totals
 from triplake.functions.timecols import long_month_label, month_key, month_label, month_start
@@ -44,13 +44,29 @@ def month_series(month_gold: DataFrame, min_year: int = 2019, last_month: str |
     )
 
 
-def top_zones(zone_gold: DataFrame, k: int = 15) -> DataFrame:
+def top_zones(zone_gold: DataFrame, k: int = 15, ascending_for_display: bool = False) -> DataFrame:
     """The ``k`` busiest pickup zones (ties: lower zone id first).
 
     ``orderBy().limit()`` plans as TakeOrderedAndProject: a top-k per task,
-    then a merge of k rows per task.
+    then a merge of k rows per task.  ``ascending_for_display`` re-sorts
+    the k rows by pickups ascending (bar-chart order).
     """
-    return zone_gold.orderBy(F.col("pickups").desc(), F.col("zone_id").asc()).limit(k)
+    top = zone_gold.orderBy(F.col("pickups").desc(), F.col("zone_id").asc()).limit(k)
+    return top.orderBy(F.col("pickups").asc(), F.col("zone_id").desc()) if ascending_for_display else top
+
+
+def cells_in_week_order(time_gold: DataFrame) -> DataFrame:
+    """Hour x weekday cells ordered by day of week, then hour."""
+    return time_gold.orderBy("pickup_day_of_week", "pickup_hour")
+
+
+def monthly_chart(series: DataFrame) -> DataFrame:
+    """Chart frame of a month series: label, trips and revenue in millions."""
+    return series.select(
+        "period_label",
+        millions("trip_count").alias("trips_millions"),
+        millions("total_revenue").alias("revenue_millions"),
+    )
 
 
 def demand_heatmap(time_gold: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 BATCH_COLUMN = "ingest_batch"
 
@@ -51,6 +52,14 @@ def catalogs(spark: SparkSession) -> list[str]:
     return [c.name for c in spark.catalog.listCatalogs()]
 
 
+def create_table(spark: SparkSession, name: str, schema: StructType, fmt: str = "parquet",
+                 replace: bool = True) -> None:
+    """Create (or replace) an empty managed table with declared columns."""
+    if replace:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.catalog.createTable(name, source=fmt, schema=schema)
+
+
 def save_as_table(
     df: DataFrame,
     name: str,

@@ -196,7 +196,7 @@ def _pipeline_layer_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _insights(spark: SparkSession, d: str) -> DataFrame:
-    return analytics.insights(_gm(spark, d), _gt(spark, d), L_PRE_PERIOD_END_YEAR)
+    return analytics.insights(_gm(spark, d), _gt(spark, d), L_PRE_PERIOD_END_YEAR, materialize_inputs=False)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -255,8 +255,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pareto_80": lambda s, d: analytics.pareto_80(analytics.pareto_curve(_gz(s, d))),
         "month_extremes": lambda s, d: analytics.month_extremes(_gm(s, d)),
         "cell_extremes": lambda s, d: analytics.cell_extremes(_gt(s, d)),
-        "recovery_month": lambda s, d: analytics.recovery(_gm(s, d), L_PRE_PERIOD_END_YEAR),
-        "recovery_month_unbounded": lambda s, d: analytics.recovery(_gm_all(s, d), L_PRE_PERIOD_END_YEAR),
+        "recovery_month": lambda s, d: analytics.recovery(_gm(s, d), L_PRE_PERIOD_END_YEAR, materialize_input=False),
+        "recovery_month_unbounded": lambda s, d: analytics.recovery(
+            _gm_all(s, d), L_PRE_PERIOD_END_YEAR, materialize_input=False
+        ),
         "first_latest_change": lambda s, d: analytics.first_latest_change(_gm(s, d)),
         "insights": _insights,
         # sources, sinks, pipeline, incremental ingest

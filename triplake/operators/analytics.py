@@ -17,6 +17,7 @@ from triplake.functions.labels import DAY_NAMES, day_name, hour_label, is_weeken
 from triplake.functions.measures import mean_of_quanta, quanta, ratio
 from triplake.functions.ordered import argmax_row, argmin_row, running_totals
 from triplake.functions.timecols import long_month_label, month_key, month_label, month_start
+from triplake.plans.materialize import materialize
 
 
 def with_period(month_gold: DataFrame) -> DataFrame:
@@ -227,7 +228,9 @@ def cell_extremes(time_gold: DataFrame) -> DataFrame:
     )
 
 
-def recovery(month_gold: DataFrame, pre_period_end_year: int = 2020, share: float = 0.8) -> DataFrame:
+def recovery(
+    month_gold: DataFrame, pre_period_end_year: int = 2020, share: float = 0.8, materialize_input: bool = True
+) -> DataFrame:
     """Recovery after the trough (one row).
 
     ``pre_peak`` is the most trips in a month before ``pre_period_end_year``;
@@ -236,7 +239,14 @@ def recovery(month_gold: DataFrame, pre_period_end_year: int = 2020, share: floa
     ``share * pre_peak`` trips (NULL: not yet recovered, or no pre-period).
     ``trough_drop_pct`` is the trough's fall below the pre-period peak in
     whole percent, rounded half to even.
+
+    The month table is read by several subqueries; unless the caller passes
+    stored gold (``materialize_input=False``) it is written once to the
+    shared checkpoint folder first, so silver is never re-aggregated per
+    subquery.
     """
+    if materialize_input:
+        month_gold = materialize(month_gold)
     g = month_gold.withColumn("month_key", month_key("pickup_year", "pickup_month"))
     stats = g.agg(
         F.max(F.when(F.col("pickup_year") < pre_period_end_year, F.col("trip_count"))).alias("pre_peak"),
@@ -308,15 +318,24 @@ INSIGHT_ROWS = (
 
 
 def insights(
-    month_gold: DataFrame, time_gold: DataFrame, pre_period_end_year: int = 2020, share: float = 0.8
+    month_gold: DataFrame,
+    time_gold: DataFrame,
+    pre_period_end_year: int = 2020,
+    share: float = 0.8,
+    materialize_inputs: bool = True,
 ) -> DataFrame:
     """The report's key-insight table: ``(category, metric, value)``, ten rows.
 
     Every figure is a scalar subquery over one of the one-row analytics
-    above, so the result needs no join and no driver round trip.
+    above, so the result needs no join and no driver round trip.  The gold
+    inputs are read by ~20 subqueries: unless they are stored tables already
+    (``materialize_inputs=False``) they are written once to the shared
+    checkpoint folder first.
     """
+    if materialize_inputs:
+        month_gold, time_gold = materialize(month_gold), materialize(time_gold)
     ext = month_extremes(month_gold)
-    rec = recovery(month_gold, pre_period_end_year, share)
+    rec = recovery(month_gold, pre_period_end_year, share, materialize_input=False)
     fare = weighted_avg_fare(month_gold)
     cells = cell_extremes(time_gold)
     change = first_latest_change(month_gold)

@@ -104,3 +104,19 @@ def test_pipeline_run_report_and_invariants(spark):
     # silver is partitioned by pickup year and month
     local = lake.silver().replace("file:", "")
     assert any(d.startswith("pickup_year=") for d in os.listdir(local))
+
+
+def test_command_line_steps(spark):
+    from triplake.__main__ import main
+
+    folder = _landing(spark, drift=True)
+    lake = scratch_path(spark, "test-cli")
+    common = ["--lake", lake, "--min-year", "1995", "--max-amount", "100000"]
+    assert main(["bronze", "--raw", folder, "--glob", "*.parquet", "--reconcile", *common])["bronze_rows"] > 0
+    silver_rows = main(["silver", "--cluster", *common])["silver_rows"]
+    gold = main(["gold", *common])
+    assert not gold["failed"] and set(gold["gold_rows"]) == set(GOLD_TABLES)
+    rep = main(["report", "--last-month", "2001-10", *common])
+    assert len(rep["insights"]) == 10 and 0 < len(rep["top_zones"]) <= 15  # sf0.001 has 10 zones
+    aud = main(["audit", "--start-year", "1994", "--as-of", "2001-12-15", *common])
+    assert len(aud["missing_months"]) == 12 and silver_rows > 0

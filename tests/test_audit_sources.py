@@ -120,3 +120,11 @@ def test_command_line_steps(spark):
     assert len(rep["insights"]) == 10 and 0 < len(rep["top_zones"]) <= 15  # sf0.001 has 10 zones
     aud = main(["audit", "--start-year", "1994", "--as-of", "2001-12-15", *common])
     assert len(aud["missing_months"]) == 12 and silver_rows > 0
+
+
+def test_incremental_counts_every_micro_batch(spark):
+    root = scratch_path(spark, "test-incr-many")
+    raw = lineitem_raw(spark, SF_SMALL)
+    raw.repartition(6).write.parquet(f"{root}/in")
+    n = ingest_stream(spark, f"{root}/in", f"{root}/out", f"{root}/ck", glob="*.parquet", max_files_per_trigger=1)
+    assert n == raw.count()

@@ -18,7 +18,10 @@ a repeated run adds nothing and a new file adds only its rows.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.types import StructType
 
 from triplake.contracts import RAW_FILE_GLOB, RAW_SCHEMA
@@ -30,8 +33,49 @@ from triplake.sources.parquet import read_reconciled
 _BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def _rows_processed(query) -> int:
-    return sum(int(p.get("numInputRows", 0) or 0) for p in query.recentProgress)
+class _InputRows(StreamingQueryListener):
+    """Sums ``numInputRows`` over every micro-batch of one query run.
+
+    ``query.recentProgress`` keeps only the last few updates, so a catch-up
+    run with many micro-batches would be under-counted; the listener sees
+    all of them and signals when the query has terminated.
+    """
+
+    def __init__(self) -> None:
+        self.rows: dict[str, int] = {}
+        self.done: dict[str, threading.Event] = {}
+        self._lock = threading.Lock()
+
+    def _event(self, run_id: str) -> threading.Event:
+        with self._lock:
+            return self.done.setdefault(run_id, threading.Event())
+
+    def onQueryStarted(self, event) -> None:
+        self._event(str(event.runId))
+
+    def onQueryProgress(self, event) -> None:
+        run = str(event.progress.runId)
+        with self._lock:
+            self.rows[run] = self.rows.get(run, 0) + int(event.progress.numInputRows or 0)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._event(str(event.runId)).set()
+
+
+def _run_counted(spark: SparkSession, start) -> int:
+    """Start a query with ``start()``, wait for it, return rows it read."""
+    listener = _InputRows()
+    spark.streams.addListener(listener)
+    try:
+        query = start()
+        query.awaitTermination()
+        listener._event(str(query.runId)).wait(timeout=60)
+        return listener.rows.get(str(query.runId), 0)
+    finally:
+        spark.streams.removeListener(listener)
 
 
 def ingest_stream(
@@ -47,16 +91,14 @@ def ingest_stream(
     reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    query = (
+    writer = (
         bronze(reader.parquet(raw_dir))
         .writeStream.format("parquet")
         .option("path", bronze_path)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start()
     )
-    query.awaitTermination()
-    return _rows_processed(query)
+    return _run_counted(spark, writer.start)
 
 
 def ingest_reconciled(
@@ -85,11 +127,9 @@ def ingest_reconciled(
         rows = bronze(read_reconciled(batch.sparkSession, paths, schema, glob))
         rows.write.mode("overwrite").parquet(f"{bronze_path.rstrip('/')}/{BATCH_COLUMN}={epoch_id}")
 
-    query = (
+    writer = (
         listing.writeStream.foreachBatch(load_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start()
     )
-    query.awaitTermination()
-    return _rows_processed(query)
+    return _run_counted(spark, writer.start)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from triplake.contracts import PICKUP
 from triplake.functions.measures import ratio
+from triplake.functions.timecols import ntz
 
 # Fixed value: months between a month's end and its file being published.
 PUBLICATION_LAG_MONTHS = 2
@@ -68,24 +69,37 @@ def expected_months(
     )
 
 
-def loaded_months(bronze: DataFrame) -> DataFrame:
-    """Trips per pickup (year, month) present in bronze (partial aggregation first)."""
+def loaded_months(bronze: DataFrame, start_year: int | None = None, end: dt.date | None = None) -> DataFrame:
+    """Trips per pickup (year, month) present in bronze (partial aggregation first).
+
+    With a window ``[start_year, end)`` the pickup range is pushed to the scan
+    and the result has at most 12 rows per year of the window.
+    """
     pick = F.col(PICKUP)
-    return (
-        bronze.where(pick.isNotNull())
-        .groupBy(F.year(pick).alias("year"), F.month(pick).alias("month"))
-        .agg(F.count(F.lit(1)).alias("trips"))
+    rows = bronze.where(pick.isNotNull())
+    if start_year is not None:
+        rows = rows.where(pick >= ntz(start_year))
+    if end is not None:
+        rows = rows.where(pick < ntz(end.year, end.month, end.day))
+    return rows.groupBy(F.year(pick).alias("year"), F.month(pick).alias("month")).agg(
+        F.count(F.lit(1)).alias("trips")
     )
 
 
+def _calendar_end(as_of: dt.date, lag_months: int = PUBLICATION_LAG_MONTHS) -> dt.date:
+    last = max(as_of.month - lag_months, 1)
+    return dt.date(as_of.year + (last == 12), last % 12 + 1, 1)
+
+
 def month_coverage(bronze: DataFrame, start_year: int, as_of: dt.date) -> DataFrame:
     """Every expected month with its bronze trip count (0 when missing).
 
-    Both sides are aggregates bounded by the number of months, so AQE turns
-    the join into a broadcast at run time; no hint is needed.
+    Both sides are bounded by the calendar (12 rows per year): the loaded
+    months are aggregated only inside the calendar window, whose bounds also
+    reach the scan.  Spark broadcasts the small side; no hint is needed.
     """
     cal = expected_months(bronze.sparkSession, start_year, as_of)
-    loaded = loaded_months(bronze)
+    loaded = loaded_months(bronze, start_year, _calendar_end(as_of))
     return (
         cal.join(loaded, ["year", "month"], "left")
         .select("year", "month", F.coalesce("trips", F.lit(0)).alias("trips"))
@@ -96,4 +110,5 @@ def month_coverage(bronze: DataFrame, start_year: int, as_of: dt.date) -> DataFr
 def missing_months(bronze: DataFrame, start_year: int, as_of: dt.date) -> DataFrame:
     """Expected months with no bronze rows (anti join against the loaded months)."""
     cal = expected_months(bronze.sparkSession, start_year, as_of)
-    return cal.join(loaded_months(bronze).select("year", "month"), ["year", "month"], "left_anti")
+    loaded = loaded_months(bronze, start_year, _calendar_end(as_of)).select("year", "month")
+    return cal.join(loaded, ["year", "month"], "left_anti")

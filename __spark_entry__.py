@@ -217,6 +217,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             _l_silver(s, d, QualityRules(min_year=1995, max_amount=100000.0, last_month=L_BOUNDED_LAST_MONTH))
         ),
         "silver_rule_report": lambda s, d: rule_report(_e_bronze(s, d), EVENTS_RULES),
+        # warehouse variant: duration rounded to 2 decimals, gold means over hundredths
+        "silver_rounded_duration": lambda s, d: _no_ingest_time(silver(_e_bronze(s, d), EVENTS_RULES, 2)),
+        "trips_by_month_rounded_duration": lambda s, d: gold.trips_by_month(
+            silver(_l_bronze(s, d), LINEITEM_RULES, 2), GoldOptions(duration_per_minute=100)
+        ),
         # gold
         "trips_by_month": _l_month,
         "trips_by_zone": lambda s, d: gold.trips_by_zone(_e_silver(s, d)),
@@ -350,16 +355,21 @@ def _bronze_sql(raw: str) -> str:
 
 
 def _silver_sql(
-    bronze_sql: str, min_year: int = 2019, max_amount: float = 1000.0, upper: str | None = None
+    bronze_sql: str,
+    min_year: int = 2019,
+    max_amount: float = 1000.0,
+    upper: str | None = None,
+    duration_scale: int | None = None,
 ) -> str:
     secs = (
         "CAST(epoch(date_trunc('second', tpep_dropoff_datetime)) AS BIGINT)"
         " - CAST(epoch(date_trunc('second', tpep_pickup_datetime)) AS BIGINT)"
     )
     bound = f"AND tpep_pickup_datetime < TIMESTAMP '{upper}'" if upper else ""
+    duration = "_secs / 60" if duration_scale is None else _r("_secs / 60", duration_scale)
     return f"""
 SELECT {', '.join(_RAW_COLS)}, _source,
-  _secs / 60 AS trip_duration_min,
+  {duration} AS trip_duration_min,
   CAST(tpep_pickup_datetime AS DATE) AS pickup_date,
   CAST(hour(tpep_pickup_datetime) AS INTEGER) AS pickup_hour,
   CAST(dayofweek(tpep_pickup_datetime) + 1 AS INTEGER) AS pickup_day_of_week,
@@ -409,13 +419,13 @@ FROM ({bronze_sql})
 """
 
 
-def _month_sql(silver_sql: str) -> str:
+def _month_sql(silver_sql: str, duration_per_minute: int = 60) -> str:
     return f"""
 SELECT pickup_year, pickup_month, CAST(COUNT(*) AS BIGINT) AS trip_count,
   {_r(f"CAST(SUM({_q('total_amount', 100)}) AS DOUBLE) / CAST(100 AS DOUBLE)", 2)} AS total_revenue,
   {_r(_mean_q("total_amount", 100), 2)} AS avg_fare,
   {_r(_mean_q("trip_distance", 100), 2)} AS avg_distance_miles,
-  {_r(_mean_q("trip_duration_min", 60), 1)} AS avg_duration_min,
+  {_r(_mean_q("trip_duration_min", duration_per_minute), 1)} AS avg_duration_min,
   {_r(_mean_q("passenger_count", 1), 2)} AS avg_passengers
 FROM ({silver_sql}) GROUP BY pickup_year, pickup_month
 """
@@ -652,6 +662,10 @@ def oracle_sql() -> dict[str, str]:
             _L_BRONZE, min_year=1995, max_amount=100000.0, upper="1999-07-01 00:00:00"
         ),
         "silver_rule_report": _rule_report_sql(_E_BRONZE),
+        "silver_rounded_duration": f"SELECT {silver_cols} FROM ({_silver_sql(_E_BRONZE, duration_scale=2)})",
+        "trips_by_month_rounded_duration": _month_sql(
+            _silver_sql(_L_BRONZE, min_year=1995, max_amount=100000.0, duration_scale=2), duration_per_minute=100
+        ),
         "trips_by_month": _L_MONTH,
         "trips_by_zone": _zone_sql(_E_SILVER),
         "trips_by_zone_with_null": _zone_sql(_E_SILVER, drop_null=False),

@@ -7,8 +7,8 @@ total order the way a distributed prefix sum is usually built:
    contiguous slice of the order;
 2. each row is tagged with ``monotonically_increasing_id`` (slice index in the
    high bits, in-slice sequence in the low bits) and the tagged rows are
-   frozen with a reliable ``checkpoint`` into the shared checkpoint folder, so
-   every later branch (and every retried task) sees the same slices;
+   written once as a table in the shared checkpoint folder, so every later
+   branch (and every retried task) sees the same tags;
 3. per-slice totals give one row per slice (bounded by the shuffle partition
    count, never by the data) -> exclusive prefix over slices -> broadcast;
 4. in-slice running sums come from a window partitioned by slice.
@@ -27,7 +27,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from triplake.session import shared_dir
+from triplake.plans.materialize import materialize
 
 _SLICE = "_slice"
 _RID = "_rid"
@@ -50,15 +50,13 @@ def running_totals(
     must be a total order (end it with a unique key).
     """
     keep = list(keep) if keep is not None else list(df.columns)
-    shared_dir(df.sparkSession)
     values = {f"_v_{k}": v.cast("long") for k, v in sums.items()}
-    tagged = (
+    tagged = materialize(
         df.select(*keep, *[v.alias(k) for k, v in values.items()])
         .orderBy(*order)
-        .withColumn(_RID, F.monotonically_increasing_id())
-        .checkpoint(eager=True)
-        .withColumn(_SLICE, F.shiftright(F.col(_RID), _SLICE_SHIFT))
-    )
+        .withColumn(_RID, F.monotonically_increasing_id()),
+        "running-totals",
+    ).withColumn(_SLICE, F.shiftright(F.col(_RID), _SLICE_SHIFT))
 
     per_slice = tagged.groupBy(_SLICE).agg(
         F.count(F.lit(1)).alias("_n"), *[F.sum(k).alias(f"_s{k}") for k in values]

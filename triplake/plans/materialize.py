@@ -4,16 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from triplake.session import shared_dir
+from triplake.session import scratch_path
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and continue from there.
+def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
+    """Write ``df`` once as a Parquet table in the shared checkpoint folder
+    and continue from the stored rows.
 
-    Use it for a small result that several later queries read (gold before
-    the report analytics): every reader scans the stored rows instead of
-    recomputing the whole lineage, and a lost executor does not force a
-    recomputation from the raw files.
+    Use it for a result that several later queries read (gold before the
+    report analytics, tagged rows before a prefix sum): every reader scans
+    the stored rows instead of recomputing the whole lineage, and a lost
+    executor does not force a recomputation from the raw files.
+
+    A written table rather than ``Dataset.checkpoint``: a reliable checkpoint
+    of an unpersisted plan runs the plan twice (once to count, once more to
+    save), a table write runs it once, and the re-read gets column pruning and
+    file statistics.  Each call writes to a fresh folder, so nothing is ever
+    overwritten while it is being read.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)

@@ -106,6 +106,22 @@ def test_pipeline_run_report_and_invariants(spark):
     assert any(d.startswith("pickup_year=") for d in os.listdir(local))
 
 
+def test_failed_gold_table_is_reported_and_others_are_written(spark, monkeypatch):
+    from triplake.operators import gold as gold_ops
+
+    folder = _landing(spark, drift=False)
+    lake = Lake(scratch_path(spark, "test-lake-fail"))
+    broken = dict(gold_ops.GOLD_BUILDERS)
+    broken["trips_by_zone"] = lambda silver, opts: silver.select("no_such_column")
+    monkeypatch.setattr("triplake.plans.pipeline.GOLD_BUILDERS", broken)
+    report = run_pipeline(spark, folder, lake, LINEITEM_RULES, glob="*.parquet", raise_on_failure=False)
+    assert set(report.failed) == {"trips_by_zone"} and not report.complete
+    assert set(report.gold_rows) == {"trips_by_month", "time_patterns"}
+    assert read_layer(spark, lake, "gold", "time_patterns").count() == report.gold_rows["time_patterns"]
+    with pytest.raises(RuntimeError, match="trips_by_zone"):
+        run_pipeline(spark, folder, Lake(scratch_path(spark, "test-lake-fail2")), LINEITEM_RULES, glob="*.parquet")
+
+
 def test_command_line_steps(spark):
     from triplake.__main__ import main
 

@@ -326,9 +326,10 @@ def insights(
 ) -> DataFrame:
     """The report's key-insight table: ``(category, metric, value)``, ten rows.
 
-    Every figure is a scalar subquery over one of the one-row analytics
-    above, so the result needs no join and no driver round trip.  The gold
-    inputs are read by ~20 subqueries: unless they are stored tables already
+    Every figure is a field of a scalar subquery over one of the one-row
+    analytics above, so the result needs no join and no driver round trip.
+    The gold inputs are read by about a dozen subqueries: unless they are
+    stored tables already
     (``materialize_inputs=False``) they are written once to the shared
     checkpoint folder first.
     """
@@ -340,40 +341,41 @@ def insights(
     cells = cell_extremes(time_gold)
     change = first_latest_change(month_gold)
 
-    def pick(df: DataFrame, metric: str, c: str) -> Column:
-        return df.where(F.col("metric") == metric).select(c).scalar()
+    # One scalar subquery per needed row, returning the whole row as a struct;
+    # the figures below read fields of these few subqueries.
+    def row(df: DataFrame, metric: str | None = None) -> Column:
+        if metric is not None:
+            df = df.where(F.col("metric") == metric)
+        return df.select(F.struct(*df.columns)).scalar()
 
-    def one(df: DataFrame, c: str) -> Column:
-        return df.select(c).scalar()
+    peak, trough, best = (row(ext, m) for m in ("peak", "trough", "best_revenue"))
+    weekday, weekend, quiet = (row(cells, m) for m in ("weekday_peak_hour", "weekend_peak_hour", "quietest"))
+    r, f, c = row(rec), row(fare), row(change)
 
-    def money0(c: Column) -> Column:
-        return F.concat(F.lit("$"), F.format_number(c, 0))
+    def money0(v: Column) -> Column:
+        return F.concat(F.lit("$"), F.format_number(v, 0))
 
-    def money2(c: Column) -> Column:
-        return F.concat(F.lit("$"), F.format_string("%.2f", c))
+    def money2(v: Column) -> Column:
+        return F.concat(F.lit("$"), F.format_string("%.2f", v))
 
-    pct = one(change, "fare_change_pct")
+    pct = c["fare_change_pct"]
     values = [
-        F.concat(pick(ext, "peak", "period_label"), F.lit(" — "),
-                 F.format_number(pick(ext, "peak", "trip_count"), 0), F.lit(" trips")),
-        F.concat(pick(ext, "trough", "period_label"), F.lit(" — "),
-                 F.format_number(pick(ext, "trough", "trip_count"), 0), F.lit(" trips (−"),
-                 one(rec, "trough_drop_pct").cast("string"), F.lit("% vs pre-COVID peak)")),
-        F.concat(one(rec, "recovery_text"), F.lit(" (≥"), F.lit(str(round(share * 100))),
+        F.concat(peak["period_label"], F.lit(" — "), F.format_number(peak["trip_count"], 0), F.lit(" trips")),
+        F.concat(trough["period_label"], F.lit(" — "), F.format_number(trough["trip_count"], 0),
+                 F.lit(" trips (−"), r["trough_drop_pct"].cast("string"), F.lit("% vs pre-COVID peak)")),
+        F.concat(r["recovery_text"], F.lit(" (≥"), F.lit(str(round(share * 100))),
                  F.lit("% of pre-COVID peak)")),
-        F.concat(pick(ext, "best_revenue", "period_label"), F.lit(" — "),
-                 money0(pick(ext, "best_revenue", "total_revenue"))),
-        money2(one(fare, "avg_fare_overall")),
-        hour_label(pick(cells, "weekday_peak_hour", "pickup_hour")),
-        hour_label(pick(cells, "weekend_peak_hour", "pickup_hour")),
-        F.concat(hour_label(pick(cells, "quietest", "pickup_hour")), F.lit(" on "),
-                 day_name(pick(cells, "quietest", "pickup_day_of_week"))),
-        F.concat(money2(one(change, "fare_first")), F.lit(" → "), money2(one(change, "fare_latest")),
+        F.concat(best["period_label"], F.lit(" — "), money0(best["total_revenue"])),
+        money2(f["avg_fare_overall"]),
+        hour_label(weekday["pickup_hour"]),
+        hour_label(weekend["pickup_hour"]),
+        F.concat(hour_label(quiet["pickup_hour"]), F.lit(" on "), day_name(quiet["pickup_day_of_week"])),
+        F.concat(money2(c["fare_first"]), F.lit(" → "), money2(c["fare_latest"]),
                  F.lit(" ("), F.when(pct >= 0, "+").otherwise(""), pct.cast("string"), F.lit("%)")),
-        one(change, "dist_trend"),
+        c["dist_trend"],
     ]
-    first = one(change, "first_year").cast("string")
-    latest = one(change, "latest_year").cast("string")
+    first = c["first_year"].cast("string")
+    latest = c["latest_year"].cast("string")
 
     def metric_text(template: str) -> Column:
         parts: list[Column] = []

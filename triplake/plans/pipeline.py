@@ -7,6 +7,7 @@ lost executor only recomputes its own layer).  Row counts come from
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -78,15 +79,27 @@ def write_silver(spark: SparkSession, lake: Lake, rules: QualityRules = QualityR
 
 def write_gold(spark: SparkSession, lake: Lake, opts: GoldOptions = GoldOptions(),
                tables: tuple[str, ...] = GOLD_TABLES) -> tuple[dict[str, int], dict[str, str]]:
-    """Build each gold table from silver; one failure does not stop the others."""
+    """Build each gold table from silver; one failure does not stop the others.
+
+    The tables are independent jobs over the same silver table, so they are
+    submitted together from driver threads: while one job is in its small
+    final aggregation stage the scheduler keeps the executors busy with the
+    scans of the others.
+    """
+    silver = read_table(spark, lake.silver(), lake.fmt)
+
+    def build(name: str) -> int:
+        df, obs = _counted(GOLD_BUILDERS[name](silver, opts), name)
+        write_table(df, lake.gold(name), lake.fmt)
+        return int(obs.get["rows"])
+
     done: dict[str, int] = {}
     failed: dict[str, str] = {}
-    silver = read_table(spark, lake.silver(), lake.fmt)
-    for name in tables:
+    with ThreadPoolExecutor(max_workers=max(len(tables), 1)) as pool:
+        futures = {name: pool.submit(build, name) for name in tables}
+    for name, future in futures.items():
         try:
-            df, obs = _counted(GOLD_BUILDERS[name](silver, opts), name)
-            write_table(df, lake.gold(name), lake.fmt)
-            done[name] = int(obs.get["rows"])
+            done[name] = future.result()
         except Exception as e:  # noqa: BLE001 - reported per table, raised at the end
             failed[name] = f"{type(e).__name__}: {e}"
     return done, failed

@@ -28,7 +28,7 @@ from triplake.contracts import DROPOFF, INGESTED_AT, PICKUP  # noqa: E402
 from triplake.operators import analytics, audit, gold  # noqa: E402
 from triplake.operators.bronze import bronze  # noqa: E402
 from triplake.operators.silver import rule_report, silver  # noqa: E402
-from triplake.plans.materialize import materialize  # noqa: E402
+from triplake.plans.materialize import materialize, materialize_all  # noqa: E402
 from triplake.plans.pipeline import read_layer, run_pipeline  # noqa: E402
 from triplake.plans.sinks import read_table  # noqa: E402
 from triplake.session import scratch_path  # noqa: E402
@@ -196,7 +196,9 @@ def _pipeline_layer_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _insights(spark: SparkSession, d: str) -> DataFrame:
-    return analytics.insights(_gm(spark, d), _gt(spark, d), L_PRE_PERIOD_END_YEAR, materialize_inputs=False)
+    # the two gold inputs are independent: written as concurrent jobs
+    gm, gt = materialize_all(_l_month_bounded(spark, d), _e_time(spark, d))
+    return analytics.insights(gm, gt, L_PRE_PERIOD_END_YEAR, materialize_inputs=False)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ from triplake.functions.labels import DAY_NAMES, day_name, hour_label, is_weeken
 from triplake.functions.measures import mean_of_quanta, quanta, ratio
 from triplake.functions.ordered import argmax_row, argmin_row, running_totals
 from triplake.functions.timecols import long_month_label, month_key, month_label, month_start
-from triplake.plans.materialize import materialize
+from triplake.plans.materialize import materialize, materialize_all
 
 
 def with_period(month_gold: DataFrame) -> DataFrame:
@@ -334,7 +334,7 @@ def insights(
     checkpoint folder first.
     """
     if materialize_inputs:
-        month_gold, time_gold = materialize(month_gold), materialize(time_gold)
+        month_gold, time_gold = materialize_all(month_gold, time_gold)
     ext = month_extremes(month_gold)
     rec = recovery(month_gold, pre_period_end_year, share, materialize_input=False)
     fare = weighted_avg_fare(month_gold)

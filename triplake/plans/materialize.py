@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 
 from triplake.session import scratch_path
@@ -27,3 +29,16 @@ def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def materialize_all(*dfs: DataFrame, name: str = "materialized") -> list[DataFrame]:
+    """``materialize`` several independent results as concurrent jobs.
+
+    Each write is its own job submitted from a driver thread, so a small
+    result does not wait for a large one and the scheduler fills the
+    executors with the tasks of all of them.
+    """
+    if len(dfs) <= 1:
+        return [materialize(df, name) for df in dfs]
+    with ThreadPoolExecutor(max_workers=len(dfs)) as pool:
+        return list(pool.map(lambda df: materialize(df, name), dfs))

@@ -78,7 +78,7 @@ def main(argv: list[str] | None = None) -> dict:
         out["added"] = ingest(spark, args.raw, lake.bronze(), lake.checkpoint("bronze_ingest"), glob=args.glob)
     elif args.step == "report":
         month = pipeline.read_layer(spark, lake, "gold", "trips_by_month")
-        series = analytics.month_series(month, args.min_year, args.last_month)
+        series = analytics.month_window(month, args.min_year, args.last_month)
         time_gold = pipeline.read_layer(spark, lake, "gold", "time_patterns")
         zones = pipeline.read_layer(spark, lake, "gold", "trips_by_zone")
         out["insights"] = fetch(analytics.insights(series, time_gold).orderBy("position")).to_dict("records")

@@ -32,17 +32,19 @@ def with_period(month_gold: DataFrame) -> DataFrame:
     )
 
 
-def month_series(month_gold: DataFrame, min_year: int = 2019, last_month: str | None = None) -> DataFrame:
-    """Monthly series from ``min_year`` through ``last_month`` (inclusive), in month order."""
+def month_window(month_gold: DataFrame, min_year: int = 2019, last_month: str | None = None) -> DataFrame:
+    """Months from ``min_year`` through ``last_month`` (inclusive) with their
+    period columns, in no particular order (the input of the analytics)."""
     out = month_gold.where(F.col("pickup_year") >= min_year)
     if last_month is not None:
         y, m = next_month(*parse_month(last_month))
         out = out.where(month_key("pickup_year", "pickup_month") < y * 12 + m - 1)
-    return (
-        with_period(out)
-        .drop("month_key")
-        .orderBy("pickup_year", "pickup_month")
-    )
+    return with_period(out).drop("month_key")
+
+
+def month_series(month_gold: DataFrame, min_year: int = 2019, last_month: str | None = None) -> DataFrame:
+    """Monthly series from ``min_year`` through ``last_month`` (inclusive), in month order."""
+    return month_window(month_gold, min_year, last_month).orderBy("pickup_year", "pickup_month")
 
 
 def top_zones(zone_gold: DataFrame, k: int = 15, ascending_for_display: bool = False) -> DataFrame:
@@ -252,10 +254,10 @@ def recovery(
         F.max(F.when(F.col("pickup_year") < pre_period_end_year, F.col("trip_count"))).alias("pre_peak"),
         argmin_row(["month_key", "trip_count"], "trip_count", "month_key").alias("t"),
     )
-    pre_peak = stats.select("pre_peak").scalar()
-    trough_key = stats.select("t.month_key").scalar()
+    # one scalar subquery (referenced twice, planned once) carries both bounds
+    bounds = stats.select(F.struct(F.col("pre_peak"), F.col("t.month_key").alias("trough_key"))).scalar()
     recovered = g.where(
-        (F.col("month_key") > trough_key) & (F.col("trip_count") >= pre_peak * F.lit(share))
+        (F.col("month_key") > bounds["trough_key"]) & (F.col("trip_count") >= bounds["pre_peak"] * F.lit(share))
     ).agg(F.min("month_key").alias("k")).scalar()
     trough = stats
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
 from triplake.session import scratch_path
@@ -36,9 +37,11 @@ def materialize_all(*dfs: DataFrame, name: str = "materialized") -> list[DataFra
 
     Each write is its own job submitted from a driver thread, so a small
     result does not wait for a large one and the scheduler fills the
-    executors with the tasks of all of them.
+    executors with the tasks of all of them.  The threads inherit the
+    caller's local properties and job tags, so the jobs can
+    be cancelled and accounted for together.
     """
     if len(dfs) <= 1:
         return [materialize(df, name) for df in dfs]
     with ThreadPoolExecutor(max_workers=len(dfs)) as pool:
-        return list(pool.map(lambda df: materialize(df, name), dfs))
+        return list(pool.map(inheritable_thread_target(dfs[0].sparkSession)(lambda df: materialize(df, name)), dfs))

@@ -10,6 +10,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,7 +85,7 @@ def write_gold(spark: SparkSession, lake: Lake, opts: GoldOptions = GoldOptions(
     The tables are independent jobs over the same silver table, so they are
     submitted together from driver threads: while one job is in its small
     final aggregation stage the scheduler keeps the executors busy with the
-    scans of the others.
+    scans of the others.  The threads inherit the caller's job group and tags.
     """
     silver = read_table(spark, lake.silver(), lake.fmt)
 
@@ -96,7 +97,7 @@ def write_gold(spark: SparkSession, lake: Lake, opts: GoldOptions = GoldOptions(
     done: dict[str, int] = {}
     failed: dict[str, str] = {}
     with ThreadPoolExecutor(max_workers=max(len(tables), 1)) as pool:
-        futures = {name: pool.submit(build, name) for name in tables}
+        futures = {name: pool.submit(inheritable_thread_target(spark)(build), name) for name in tables}
     for name, future in futures.items():
         try:
             done[name] = future.result()

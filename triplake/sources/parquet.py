@@ -83,13 +83,13 @@ def read_reconciled(
         listing = list_files(spark, source, glob)
     else:
         listing = spark.createDataFrame([(p,) for p in source], "path string")
-    groups = (
+    groups = sorted(
         footer_signatures(listing)
         .groupBy("signature")
         .agg(F.sort_array(F.collect_list("path")).alias("paths"))
-        .orderBy("signature")
-        .collect()
-    )
+        .collect(),
+        key=lambda g: g["signature"],
+    )  # one row per distinct schema: a handful
     if not groups:
         raise FileNotFoundError(f"no raw files in {source!r}")
     parts = [to_contract(spark.read.parquet(*g["paths"]), schema, safe) for g in groups]

@@ -18,7 +18,6 @@ from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from triplake.contracts import RAW_FILE_GLOB, RAW_SCHEMA
@@ -83,16 +82,15 @@ def read_reconciled(
         listing = list_files(spark, source, glob)
     else:
         listing = spark.createDataFrame([(p,) for p in source], "path string")
-    groups = sorted(
-        footer_signatures(listing)
-        .groupBy("signature")
-        .agg(F.sort_array(F.collect_list("path")).alias("paths"))
-        .collect(),
-        key=lambda g: g["signature"],
-    )  # one row per distinct schema: a handful
+    # (signature, path) rows straight to the driver, which lists the paths
+    # for the scans anyway: no task ever builds one array of all the paths of
+    # a schema (usually there is a single schema for almost every file).
+    groups: dict[str, list[str]] = {}
+    for r in footer_signatures(listing).collect():
+        groups.setdefault(r["signature"], []).append(r["path"])
     if not groups:
         raise FileNotFoundError(f"no raw files in {source!r}")
-    parts = [to_contract(spark.read.parquet(*g["paths"]), schema, safe) for g in groups]
+    parts = [to_contract(spark.read.parquet(*sorted(groups[sig])), schema, safe) for sig in sorted(groups)]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

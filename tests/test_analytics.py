@@ -96,6 +96,15 @@ def test_month_series_bounds_and_order(spark):
     assert out[0].period_label == "2020-01"
 
 
+def test_month_window_keeps_the_series_rows_without_a_sort(spark):
+    m = months(spark)
+    window = analytics.month_window(m, min_year=2020, last_month="2020-05")
+    assert sorted(window.collect()) == sorted(analytics.month_series(m, min_year=2020, last_month="2020-05").collect())
+    from triplake.plans.inspect import plan_text
+
+    assert "Sort" not in plan_text(window) and "Sort" in plan_text(analytics.month_series(m))
+
+
 def test_yearly_means_are_unweighted(spark):
     m = months(spark)
     fares = {r.year: r.avg_fare for r in analytics.yearly_fare(m).collect()}

@@ -51,3 +51,21 @@ def test_report_analytics_have_no_cross_products(spark):
 def test_events_filter_stays_cheap(spark):
     plan = plan_text(entry._e_silver(spark, SF_SMALL), "simple")
     assert "get_json_object" not in plan and "from_json" not in plan
+
+
+def test_materialize_all_matches_sequential_and_keeps_job_group(spark):
+    from triplake.plans.materialize import materialize, materialize_all
+
+    month, time_gold = entry._l_month(spark, SF_SMALL), entry._e_time(spark, SF_SMALL)
+    sc = spark.sparkContext
+    sc.setJobGroup("triplake-test-group", "concurrent materialize")
+    tracker = sc.statusTracker()
+    try:
+        before = set(tracker.getJobIdsForGroup("triplake-test-group"))
+        got = materialize_all(month, time_gold)
+        after = set(tracker.getJobIdsForGroup("triplake-test-group"))
+    finally:
+        sc.setJobGroup("", "")
+    assert len(after - before) >= 2  # the threads' jobs carry the caller's group
+    for g, df in zip(got, (month, time_gold)):
+        assert sorted(g.collect()) == sorted(materialize(df).collect())

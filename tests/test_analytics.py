@@ -1,6 +1,7 @@
 """Report analytics on tiny gold tables (FIXTURES.md section 6)."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from triplake.operators import analytics
 
@@ -155,6 +156,14 @@ def test_insights_table(spark):
     assert out[9].metric == "Avg trip distance change (2019→2020)"
 
 
+def test_insights_without_weekend_trips(spark):
+    weekdays = time_gold(spark).where(~F.col("pickup_day_of_week").isin(1, 7))
+    out = analytics.insights(months(spark), weekdays).orderBy("position").collect()
+    assert len(out) == 10 and out[0].value == "December 2019 — 100 trips"
+    assert out[5].value is not None and out[6].value is None  # no weekend: no weekend peak hour
+    assert not out[7].value.endswith("Sun") and not out[7].value.endswith("Sat")
+
+
 def test_display_orders_and_chart(spark):
     top = analytics.top_zones(zones(spark, [5, 9, 7, 1]), 3, ascending_for_display=True).collect()
     assert [r.pickups for r in top] == sorted(r.pickups for r in top)

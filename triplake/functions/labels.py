@@ -22,9 +22,9 @@ def is_weekend(dow: Column | str) -> Column:
 
 
 def hour_label(hour: Column | str) -> Column:
-    """``HH:00``."""
+    """``HH:00``; NULL for a NULL hour."""
     h = F.col(hour) if isinstance(hour, str) else hour
-    return F.format_string("%02d:00", h)
+    return F.when(h.isNotNull(), F.format_string("%02d:00", h))
 
 
 def millions(c: Column | str) -> Column:

@@ -343,15 +343,19 @@ def insights(
     cells = cell_extremes(time_gold)
     change = first_latest_change(month_gold)
 
-    # One scalar subquery per needed row, returning the whole row as a struct;
-    # the figures below read fields of these few subqueries.
-    def row(df: DataFrame, metric: str | None = None) -> Column:
-        if metric is not None:
-            df = df.where(F.col("metric") == metric)
+    # One scalar subquery per analytic frame; the figures below read fields of
+    # these five subqueries.  One-row frames come back as a struct; the
+    # extremes frames (one row per metric: 3 and 4 rows) as a map from the
+    # metric name to its row.
+    def row(df: DataFrame) -> Column:
         return df.select(F.struct(*df.columns)).scalar()
 
-    peak, trough, best = (row(ext, m) for m in ("peak", "trough", "best_revenue"))
-    weekday, weekend, quiet = (row(cells, m) for m in ("weekday_peak_hour", "weekend_peak_hour", "quietest"))
+    def by_metric(df: DataFrame, *metrics: str) -> list[Column]:
+        rows = df.select(F.map_from_entries(F.collect_list(F.struct("metric", F.struct(*df.columns))))).scalar()
+        return [rows[m] for m in metrics]
+
+    peak, trough, best = by_metric(ext, "peak", "trough", "best_revenue")
+    weekday, weekend, quiet = by_metric(cells, "weekday_peak_hour", "weekend_peak_hour", "quietest")
     r, f, c = row(rec), row(fare), row(change)
 
     def money0(v: Column) -> Column:

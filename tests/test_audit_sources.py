@@ -132,8 +132,17 @@ def test_command_line_steps(spark):
     silver_rows = main(["silver", "--cluster", *common])["silver_rows"]
     gold = main(["gold", *common])
     assert not gold["failed"] and set(gold["gold_rows"]) == set(GOLD_TABLES)
-    rep = main(["report", "--last-month", "2001-10", *common])
+    rep = main(["report", "--last-month", "2001-10", "--pre-period-end-year", "1996", "--raw", folder,
+                "--glob", "*.parquet", *common])
     assert len(rep["insights"]) == 10 and 0 < len(rep["top_zones"]) <= 15  # sf0.001 has 10 zones
+    counts = {r["table"]: r["rows"] for r in rep["layer_counts"]}
+    assert counts["tlc_trips"] == silver_rows == rep["retention"][0]["silver_rows"]
+    assert sum(r["trip_count"] for r in rep["weekday_weekend_by_hour"]) == silver_rows
+    series = [(r["pickup_year"], r["pickup_month"]) for r in rep["month_series"]]
+    assert series == sorted(series) and series[-1] <= (2001, 10) and len(rep["monthly_chart"]) == len(series)
+    assert rep["pareto_curve"][-1]["cum_pct"] == pytest.approx(100.0) and len(rep["pareto_80"]) == 1
+    assert len(rep["demand_heatmap"]) <= 24 and [r["year"] for r in rep["yearly_fare"]] == list(range(1995, 2002))
+    assert rep["file_inventory_summary"][0]["files"] == len(rep["file_inventory"]) > 0
     aud = main(["audit", "--start-year", "1994", "--as-of", "2001-12-15", *common])
     assert len(aud["missing_months"]) == 12 and silver_rows > 0
 

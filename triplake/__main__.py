@@ -5,7 +5,7 @@
     python -m triplake gold    --lake ROOT [--keep-null-zone]
     python -m triplake run     --raw DIR --lake ROOT [--last-month YYYY-MM] [--reconcile]
     python -m triplake ingest  --raw DIR --lake ROOT [--reconcile]   (only unseen files)
-    python -m triplake report  --lake ROOT [--last-month YYYY-MM] [--min-year 2019]
+    python -m triplake report  --lake ROOT [--raw DIR] [--last-month YYYY-MM] [--min-year 2019]
     python -m triplake audit   --lake ROOT --start-year 2019 [--as-of YYYY-MM-DD]
 """
 
@@ -37,12 +37,14 @@ def _parser() -> argparse.ArgumentParser:
     ap.add_argument("--start-year", type=int, default=2019)
     ap.add_argument("--as-of", default=None, help="YYYY-MM-DD for the month coverage audit")
     ap.add_argument("--top", type=int, default=15)
+    ap.add_argument("--pre-period-end-year", type=int, default=2020,
+                    help="months before this year form the pre-period of the recovery figures")
     return ap
 
 
 def main(argv: list[str] | None = None) -> dict:
     args = _parser().parse_args(argv)
-    from triplake.operators import analytics, audit
+    from triplake.operators import audit
     from triplake.plans import pipeline
     from triplake.plans.inspect import fetch
     from triplake.session import get_spark
@@ -77,13 +79,11 @@ def main(argv: list[str] | None = None) -> dict:
         ingest = ingest_reconciled if args.reconcile else ingest_stream
         out["added"] = ingest(spark, args.raw, lake.bronze(), lake.checkpoint("bronze_ingest"), glob=args.glob)
     elif args.step == "report":
-        month = pipeline.read_layer(spark, lake, "gold", "trips_by_month")
-        series = analytics.month_window(month, args.min_year, args.last_month)
-        time_gold = pipeline.read_layer(spark, lake, "gold", "time_patterns")
-        zones = pipeline.read_layer(spark, lake, "gold", "trips_by_zone")
-        out["insights"] = fetch(analytics.insights(series, time_gold).orderBy("position")).to_dict("records")
-        out["top_zones"] = fetch(analytics.top_zones(zones, args.top)).to_dict("records")
-        out["pareto_80"] = fetch(analytics.pareto_80(analytics.pareto_curve(zones))).to_dict("records")
+        from triplake.plans.report import report_frames
+
+        frames = report_frames(spark, lake, args.min_year, args.last_month, args.top,
+                               args.pre_period_end_year, args.raw, args.glob)
+        out.update({name: fetch(df).to_dict("records") for name, df in frames.items()})
     elif args.step == "audit":
         bronze = pipeline.read_layer(spark, lake, "bronze")
         as_of = dt.date.fromisoformat(args.as_of) if args.as_of else dt.date.today()

@@ -328,12 +328,11 @@ def insights(
 ) -> DataFrame:
     """The report's key-insight table: ``(category, metric, value)``, ten rows.
 
-    Every figure is a field of a scalar subquery over one of the one-row
+    Every figure is a field of one of five scalar subqueries over the
     analytics above, so the result needs no join and no driver round trip.
-    The gold inputs are read by about a dozen subqueries: unless they are
-    stored tables already
-    (``materialize_inputs=False``) they are written once to the shared
-    checkpoint folder first.
+    The gold inputs are read by every subquery: unless they are stored
+    tables already (``materialize_inputs=False``) they are written once to
+    the shared checkpoint folder first, as two concurrent jobs.
     """
     if materialize_inputs:
         month_gold, time_gold = materialize_all(month_gold, time_gold)

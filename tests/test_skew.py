@@ -79,3 +79,13 @@ def test_clustered_silver_splits_a_hot_pickup_second(spark):
     assert sum(r["count"] for r in hot) == N // 3
     # the hot second (a third of all rows) is written by several tasks, not one
     assert len(hot) >= 2 and max(r["count"] for r in hot) < N // 3
+
+
+def test_range_shuffle_is_sized_by_the_input():
+    from triplake.plans.pipeline import CLUSTER_BYTES_PER_TASK, range_partitions
+
+    # small inputs keep the session's count (AQE merges what is too small)
+    assert range_partitions(20 * 1024**2, CLUSTER_BYTES_PER_TASK, 200) is None
+    assert range_partitions(50 * 1024**3, CLUSTER_BYTES_PER_TASK, 200) is None  # 200 tasks suffice
+    # 100 TB would be 500 GB per partition at 200: one partition per 256 MB instead
+    assert range_partitions(100 * 1024**4, CLUSTER_BYTES_PER_TASK, 200) == 409_600

@@ -7,6 +7,7 @@ lost executor only recomputes its own layer).  Row counts come from
 
 from __future__ import annotations
 
+import math
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -20,7 +21,7 @@ from triplake.operators.bronze import bronze as to_bronze
 from triplake.operators.gold import GOLD_BUILDERS
 from triplake.operators.silver import silver as to_silver
 from triplake.plans.sinks import read_table, write_table
-from triplake.sources.files import require_files
+from triplake.sources.files import list_files, require_files
 from triplake.sources.parquet import read_declared, read_reconciled
 
 
@@ -55,8 +56,31 @@ def write_bronze(spark: SparkSession, raw: str | DataFrame, lake: Lake, reconcil
     return int(obs.get["rows"])
 
 
+# Bytes of stored bronze per task of the clustered silver shuffle (and so,
+# roughly, per written silver file).
+CLUSTER_BYTES_PER_TASK = 256 * 1024 * 1024
+
+
+def range_partitions(source_bytes: int, bytes_per_task: int, session_default: int) -> int | None:
+    """Partition count for a range shuffle of ``source_bytes``: ``None``
+    (keep the session's count and let AQE merge small partitions) while that
+    count suffices, else one partition per ``bytes_per_task``.  AQE can merge
+    partitions but never split them, so a large input needs an explicit
+    count: 100 TB at 256 MB per task is 409,600 partitions, not 200."""
+    needed = math.ceil(source_bytes / bytes_per_task)
+    return needed if needed > session_default else None
+
+
+def _session_shuffle_partitions(spark: SparkSession) -> int:
+    try:
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    except (TypeError, ValueError):
+        return 0
+
+
 def write_silver(spark: SparkSession, lake: Lake, rules: QualityRules = QualityRules(),
-                 duration_scale: int | None = None, cluster: bool = False) -> int:
+                 duration_scale: int | None = None, cluster: bool = False,
+                 cluster_bytes_per_task: int = CLUSTER_BYTES_PER_TASK) -> int:
     """Silver partitioned by pickup year/month.
 
     Default: no shuffle; each task writes the months it holds (raw files are
@@ -64,15 +88,17 @@ def write_silver(spark: SparkSession, lake: Lake, rules: QualityRules = QualityR
     (year, month, pickup time, row id) first: fewer, sorted files per month,
     and a busy month - even a single pickup second holding a third of all
     trips - is still split across many tasks, because the row id (stable for
-    a file scan) makes every range key unique.
+    a file scan) makes every range key unique.  The number of range
+    partitions follows the stored bronze size (file listing only, see
+    ``range_partitions``).
     """
     df = to_silver(read_table(spark, lake.bronze(), lake.fmt), rules, duration_scale)
     if cluster:
-        df = (
-            df.withColumn("_row", F.monotonically_increasing_id())
-            .repartitionByRange(*SILVER_PARTITION_COLUMNS, PICKUP, "_row")
-            .drop("_row")
-        )
+        keys = [*SILVER_PARTITION_COLUMNS, PICKUP, "_row"]
+        source_bytes = list_files(spark, lake.bronze(), "*").agg(F.sum("length")).first()[0] or 0
+        n = range_partitions(source_bytes, cluster_bytes_per_task, _session_shuffle_partitions(spark))
+        df = df.withColumn("_row", F.monotonically_increasing_id())
+        df = (df.repartitionByRange(n, *keys) if n else df.repartitionByRange(*keys)).drop("_row")
     df, obs = _counted(df, "silver")
     write_table(df, lake.silver(), lake.fmt, partition_by=SILVER_PARTITION_COLUMNS)
     return int(obs.get["rows"])

@@ -79,11 +79,10 @@ def main(argv: list[str] | None = None) -> dict:
         ingest = ingest_reconciled if args.reconcile else ingest_stream
         out["added"] = ingest(spark, args.raw, lake.bronze(), lake.checkpoint("bronze_ingest"), glob=args.glob)
     elif args.step == "report":
-        from triplake.plans.report import report_frames
+        from triplake.plans.report import fetch_report, report_frames
 
-        frames = report_frames(spark, lake, args.min_year, args.last_month, args.top,
-                               args.pre_period_end_year, args.raw, args.glob)
-        out.update({name: fetch(df).to_dict("records") for name, df in frames.items()})
+        out.update(fetch_report(report_frames(spark, lake, args.min_year, args.last_month, args.top,
+                                              args.pre_period_end_year, args.raw, args.glob)))
     elif args.step == "audit":
         bronze = pipeline.read_layer(spark, lake, "bronze")
         as_of = dt.date.fromisoformat(args.as_of) if args.as_of else dt.date.today()

@@ -8,11 +8,15 @@ calendar or the zone count, so a caller may ``fetch`` them all.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from triplake.config import Lake
 from triplake.contracts import GOLD_TABLES, RAW_FILE_GLOB
 from triplake.operators import analytics, audit
+from triplake.plans.inspect import fetch
 from triplake.plans.materialize import materialize
 from triplake.plans.pipeline import read_layer
 from triplake.sources.files import file_inventory, inventory_summary, list_files
@@ -74,3 +78,19 @@ def report_frames(
         frames["file_inventory"] = file_inventory(listing)
         frames["file_inventory_summary"] = inventory_summary(listing)
     return frames
+
+
+def fetch_report(frames: dict[str, DataFrame], max_rows: int = 100_000) -> dict[str, list[dict]]:
+    """Fetch every (small, bounded) report frame as records.
+
+    The frames are independent, so they run as concurrent jobs from driver
+    threads that inherit the caller's job group and tags; each fetch still
+    refuses a frame above ``max_rows``.
+    """
+    if not frames:
+        return {}
+    spark = next(iter(frames.values())).sparkSession
+    task = inheritable_thread_target(spark)(lambda df: fetch(df, max_rows).to_dict("records"))
+    with ThreadPoolExecutor(max_workers=min(len(frames), 8)) as pool:
+        results = list(pool.map(task, frames.values()))
+    return dict(zip(frames, results))

@@ -85,9 +85,15 @@ def ingest_stream(
     checkpoint: str,
     schema: StructType = RAW_SCHEMA,
     glob: str = RAW_FILE_GLOB,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = 1000,
 ) -> int:
-    """Append the rows of unseen files to bronze; return rows added."""
+    """Append the rows of unseen files to bronze; return rows added.
+
+    ``availableNow`` still takes every unseen file in one run, but in
+    micro-batches of at most ``max_files_per_trigger`` files, each committed
+    on its own: a first load of a large landing folder makes progress batch
+    by batch, and a restarted run resumes after the last committed batch.
+    """
     reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

@@ -61,3 +61,35 @@ def test_extremes_and_recovery_match_the_report_rules(spark, picks):
     assert (r.pre_peak, r.trough_label, r.trough_trips, r.trough_drop_pct, r.recovery_label, r.recovery_text) == (
         want["recovery"]
     )
+
+
+TIME_SCHEMA = "pickup_hour int, pickup_day_of_week int, trip_count bigint, avg_duration_min double, avg_fare double"
+CELLS = [(h, d) for d in range(1, 8) for h in range(24)]
+
+time_series = st.lists(
+    st.tuples(st.sampled_from(CELLS), st.integers(1, 4)), min_size=1, max_size=60, unique_by=lambda t: t[0]
+)
+
+
+@settings(max_examples=6, deadline=None)
+@given(time_series)
+def test_cell_extremes_match_the_report_rules(spark, picks):
+    # the report reads cells in (day of week, hour) order and sums hours per weekday/weekend, by hour
+    cells = sorted(((d, h), n) for (h, d), n in picks)
+    busiest = max(range(len(cells)), key=lambda i: (cells[i][1], -i))
+    quietest = min(range(len(cells)), key=lambda i: (cells[i][1], i))
+    hours = {True: {}, False: {}}
+    for (d, h), n in cells:
+        side = hours[d in (1, 7)]
+        side[h] = side.get(h, 0) + n
+    want = {
+        "busiest": (cells[busiest][0][1], cells[busiest][0][0], cells[busiest][1]),
+        "quietest": (cells[quietest][0][1], cells[quietest][0][0], cells[quietest][1]),
+    }
+    for weekend, name in ((False, "weekday_peak_hour"), (True, "weekend_peak_hour")):
+        if hours[weekend]:
+            h = max(sorted(hours[weekend]), key=lambda k: (hours[weekend][k], -k))
+            want[name] = (h, None, hours[weekend][h])
+    gold = spark.createDataFrame([(h, d, n, 10.0, 15.0) for (d, h), n in cells], TIME_SCHEMA).repartition(3)
+    got = {r.metric: (r.pickup_hour, r.pickup_day_of_week, r.trip_count) for r in analytics.cell_extremes(gold).collect()}
+    assert got == want

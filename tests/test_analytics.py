@@ -164,6 +164,14 @@ def test_insights_without_weekend_trips(spark):
     assert not out[7].value.endswith("Sun") and not out[7].value.endswith("Sat")
 
 
+def test_fixed_decimals_round_like_python(spark):
+    from triplake.functions.labels import fixed
+
+    values = [2.675, 0.125, 0.625, 10.125, 1.005, 2.345, 1234567.125, -2.675, 0.0, 38123.455]
+    got = [r.t for r in spark.createDataFrame([(v,) for v in values], "x double").select(fixed("x", 2).alias("t")).collect()]
+    assert got == [f"{v:.2f}" for v in values]
+
+
 def test_display_orders_and_chart(spark):
     top = analytics.top_zones(zones(spark, [5, 9, 7, 1]), 3, ascending_for_display=True).collect()
     assert [r.pickups for r in top] == sorted(r.pickups for r in top)

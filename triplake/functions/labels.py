@@ -32,6 +32,15 @@ def millions(c: Column | str) -> Column:
     return c / F.lit(1_000_000.0)
 
 
+def fixed(c: Column | str, decimals: int) -> Column:
+    """Text of ``c`` with ``decimals`` digits, as Python's ``f"{x:.2f}"``
+    writes it: rounded half to even from the exact binary value, no
+    separators.  (``format_string("%.2f")`` rounds the shortest decimal text
+    half up instead: 2.675 gives 2.68 there and 2.67 in Python.)"""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.regexp_replace(F.format_number(c, decimals), ",", "")
+
+
 def thousands(c: Column, decimals: int = 0) -> Column:
     """Thousands-separated number text (``1,234``)."""
     return F.format_number(c, decimals)

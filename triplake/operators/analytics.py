@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from triplake.config import next_month, parse_month
-from triplake.functions.labels import DAY_NAMES, day_name, hour_label, is_weekend, millions
+from triplake.functions.labels import DAY_NAMES, day_name, fixed, hour_label, is_weekend, millions
 from triplake.functions.measures import mean_of_quanta, quanta, ratio
 from triplake.functions.ordered import argmax_row, argmin_row, running_totals
 from triplake.functions.timecols import long_month_label, month_key, month_label, month_start
@@ -361,7 +361,7 @@ def insights(
         return F.concat(F.lit("$"), F.format_number(v, 0))
 
     def money2(v: Column) -> Column:
-        return F.concat(F.lit("$"), F.format_string("%.2f", v))
+        return F.concat(F.lit("$"), fixed(v, 2))
 
     pct = c["fare_change_pct"]
     values = [

@@ -293,9 +293,10 @@ def _r(x: str, n: int) -> str:
     return f"CAST(ROUND(CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,18)), {n}) AS DOUBLE)"
 
 
-def _re(x: str, n: int) -> str:
-    """Spark's BROUND(double, n): HALF_EVEN on the shortest decimal text."""
-    return f"CAST(ROUND_EVEN(CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,18)), {n}) AS DOUBLE)"
+def _pr(x: str, n: int) -> str:
+    """Python's round(float, n): half to even on the exact binary value
+    (fmt's fixed formatting rounds the same way)."""
+    return f"CAST(format('{{:.{n}f}}', CAST(({x}) AS DOUBLE)) AS DOUBLE)"
 
 
 def _q(c: str, k: int) -> str:
@@ -556,7 +557,7 @@ SELECT pre.pre_peak AS pre_peak,
   pre.pre_peak * CAST(0.8 AS DOUBLE) AS threshold,
   {_long_label("tr.mk // 12", "tr.mk % 12 + 1")} AS trough_label,
   tr.trip_count AS trough_trips,
-  CAST({_re("(1 - CAST(tr.trip_count AS DOUBLE) / NULLIF(CAST(pre.pre_peak AS DOUBLE), 0)) * 100", 0)}
+  CAST({_pr("(1 - CAST(tr.trip_count AS DOUBLE) / NULLIF(CAST(pre.pre_peak AS DOUBLE), 0)) * 100", 0)}
        AS BIGINT) AS trough_drop_pct,
   {_long_label("rec.rk // 12", "rec.rk % 12 + 1")} AS recovery_label,
   COALESCE({_long_label("rec.rk // 12", "rec.rk % 12 + 1")}, 'Not yet recovered') AS recovery_text
@@ -565,7 +566,7 @@ FROM pre, tr, rec
 
 
 def _first_latest_sql(month_sql: str) -> str:
-    change = _re("dist_latest - dist_first", 2)
+    change = _pr("dist_latest - dist_first", 2)
     return f"""
 WITH a AS (
   SELECT MIN(year) AS first_year, MAX(year) AS latest_year,
@@ -573,7 +574,7 @@ WITH a AS (
     arg_min(avg_distance, year) AS dist_first, arg_max(avg_distance, year) AS dist_latest
   FROM ({_yearly_sql(month_sql)}))
 SELECT first_year, latest_year, fare_first, fare_latest,
-  {_re("(fare_latest - fare_first) / NULLIF(fare_first, 0) * 100", 1)} AS fare_change_pct,
+  {_pr("(fare_latest - fare_first) / NULLIF(fare_first, 0) * 100", 1)} AS fare_change_pct,
   {change} AS dist_change,
   CASE WHEN {change} >= 0 THEN '+' ELSE '' END || CAST({change} AS VARCHAR) || ' mi' AS dist_trend
 FROM a

@@ -172,6 +172,16 @@ def test_fixed_decimals_round_like_python(spark):
     assert got == [f"{v:.2f}" for v in values]
 
 
+def test_python_round_matches_python_on_ties(spark):
+    from triplake.functions.measures import python_round
+
+    values = [0.15, 0.25, 0.35, 2.675, 1.005, -0.15, 12.345, -2.25, 0.05, 7.45, -3.55, 123456.75, 87.5, 88.5]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for n in (0, 1, 2):
+        got = [r.y for r in df.select(python_round("x", n).alias("y")).collect()]
+        assert got == [float(round(v, n)) for v in values]
+
+
 def test_display_orders_and_chart(spark):
     top = analytics.top_zones(zones(spark, [5, 9, 7, 1]), 3, ascending_for_display=True).collect()
     assert [r.pickups for r in top] == sorted(r.pickups for r in top)

@@ -44,3 +44,14 @@ def exact_mean(c: Column | str, per_unit: int) -> Column:
 def exact_total(c: Column | str, per_unit: int) -> Column:
     """Aggregate: sum of ``c`` exact to the quantum, as a double."""
     return ratio(quanta_sum(c, per_unit), F.lit(per_unit))
+
+
+def python_round(c: Column | str, decimals: int) -> Column:
+    """``round(x, decimals)`` as Python computes it on a float: half to even
+    on the exact binary value (0.15 -> 0.1, 2.675 -> 2.67).  ``bround`` rounds
+    the shortest decimal text instead (0.15 -> 0.2).  ``format_number`` rounds
+    the exact binary value half to even, so its text without separators,
+    read back as a double, is Python's result.  Meant for one-row report
+    figures, not per-row hot paths."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.regexp_replace(F.format_number(c, decimals), ",", "").cast("double")

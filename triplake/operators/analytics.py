@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from triplake.config import next_month, parse_month
 from triplake.functions.labels import DAY_NAMES, day_name, fixed, hour_label, is_weekend, millions
-from triplake.functions.measures import mean_of_quanta, quanta, ratio
+from triplake.functions.measures import mean_of_quanta, python_round, quanta, ratio
 from triplake.functions.ordered import argmax_row, argmin_row, running_totals
 from triplake.functions.timecols import long_month_label, month_key, month_label, month_start
 from triplake.plans.materialize import materialize, materialize_all
@@ -240,7 +240,7 @@ def recovery(
     recovery month is the first month after the trough with at least
     ``share * pre_peak`` trips (NULL: not yet recovered, or no pre-period).
     ``trough_drop_pct`` is the trough's fall below the pre-period peak in
-    whole percent, rounded half to even.
+    whole percent, rounded as Python's ``round`` does.
 
     The month table is read by several subqueries; unless the caller passes
     stored gold (``materialize_input=False``) it is written once to the
@@ -269,7 +269,7 @@ def recovery(
         (F.col("pre_peak") * F.lit(share)).alias("threshold"),
         label(F.col("t.month_key")).alias("trough_label"),
         F.col("t.trip_count").alias("trough_trips"),
-        F.bround((1 - ratio(F.col("t.trip_count"), F.col("pre_peak"))) * 100, 0).cast("long").alias(
+        python_round((1 - ratio(F.col("t.trip_count"), F.col("pre_peak"))) * 100, 0).cast("long").alias(
             "trough_drop_pct"
         ),
         label(recovered).alias("recovery_label"),
@@ -288,13 +288,13 @@ def first_latest_change(month_gold: DataFrame) -> DataFrame:
         F.min("year").alias("first_year"),
         F.max("year").alias("latest_year"),
     )
-    dist_change = F.bround(F.col("dist_latest") - F.col("dist_first"), 2)
+    dist_change = python_round(F.col("dist_latest") - F.col("dist_first"), 2)
     return agg.select(
         "first_year",
         "latest_year",
         "fare_first",
         "fare_latest",
-        F.bround(ratio(F.col("fare_latest") - F.col("fare_first"), F.col("fare_first")) * 100, 1).alias(
+        python_round(ratio(F.col("fare_latest") - F.col("fare_first"), F.col("fare_first")) * 100, 1).alias(
             "fare_change_pct"
         ),
         dist_change.alias("dist_change"),

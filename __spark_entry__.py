@@ -686,7 +686,7 @@ FROM ({_L_BRONZE})""",
         "layer_counts": layer_counts,
         "retention": f"""
 SELECT b AS bronze_rows, s AS silver_rows,
-  {_r("CAST(s AS DOUBLE) / NULLIF(CAST(b AS DOUBLE), 0) * 100", 1)} AS retention_pct
+  round_even((CAST(s AS DOUBLE) / NULLIF(CAST(b AS DOUBLE), 0) * 100) * 10, 0) / 10 AS retention_pct
 FROM (SELECT (SELECT CAST(COUNT(*) AS BIGINT) FROM ({_E_BRONZE})) AS b,
              (SELECT CAST(COUNT(*) AS BIGINT) FROM ({_E_SILVER})) AS s)""",
         "month_coverage": f"""
@@ -731,11 +731,11 @@ FROM ({_pareto_sql(_L_ZONE)})""",
         "insights": _insights_sql(),
         # The driver's oracle runs at sf0.01; a file listing needs its folder.
         "file_inventory": f"""
-SELECT parse_filename(filename) AS file, {_r("CAST(size AS DOUBLE) / CAST(1048576 AS DOUBLE)", 1)} AS size_mb
+SELECT parse_filename(filename) AS file, {_pr("CAST(size AS DOUBLE) / CAST(1048576 AS DOUBLE)", 1)} AS size_mb
 FROM read_blob('{ORACLE_DIR}/*.parquet')""",
         "file_inventory_summary": f"""
 SELECT CAST(COUNT(*) AS BIGINT) AS files,
-  CAST(SUM({_q(_r("CAST(size AS DOUBLE) / CAST(1048576 AS DOUBLE)", 1), 10)}) AS DOUBLE)
+  CAST(SUM({_q(_pr("CAST(size AS DOUBLE) / CAST(1048576 AS DOUBLE)", 1), 10)}) AS DOUBLE)
     / CAST(10240 AS DOUBLE) AS total_gb
 FROM read_blob('{ORACLE_DIR}/*.parquet')""",
         "schema_drift_union": _L_BRONZE,

@@ -42,6 +42,27 @@ def test_require_files_raises(spark, tmp_path):
         require_files(spark, str(tmp_path))
 
 
+def test_file_sizes_round_like_the_report(spark, tmp_path):
+    # 0.25 MB and 0.75 MB are exact ties: Python's round gives 0.2 and 0.8
+    sizes = {"a.parquet": 262_144, "b.parquet": 786_432, "c.parquet": 1_100_000}
+    for name, n in sizes.items():
+        (tmp_path / name).write_bytes(b"x" * n)
+    inv = {r.file: r.size_mb for r in file_inventory(list_files(spark, str(tmp_path), "*.parquet")).collect()}
+    assert inv == {name: round(n / 1_048_576, 1) for name, n in sizes.items()} == {
+        "a.parquet": 0.2, "b.parquet": 0.8, "c.parquet": 1.0}
+
+
+def test_retention_rounds_like_numpy(spark):
+    import numpy as np
+    from triplake.functions.measures import numpy_round
+
+    pairs = [(1, 16), (1, 8), (3, 8), (5, 8), (7, 16), (2, 3), (123_457, 200_000), (87_450, 100_000), (1, 1)]
+    df = spark.createDataFrame(pairs, "s long, b long").select(
+        numpy_round(F.col("s").cast("double") / F.col("b").cast("double") * 100, 1).alias("pct"))
+    got = [r.pct for r in df.collect()]
+    assert got == [float(round(np.int64(s) / np.int64(b) * 100, 1)) for s, b in pairs]
+
+
 def test_file_inventory_prunes_content(spark):
     listing = list_files(spark, SF_SMALL, "*.parquet")
     inv = file_inventory(listing).collect()

@@ -55,3 +55,12 @@ def python_round(c: Column | str, decimals: int) -> Column:
     figures, not per-row hot paths."""
     c = F.col(c) if isinstance(c, str) else c
     return F.regexp_replace(F.format_number(c, decimals), ",", "").cast("double")
+
+
+def numpy_round(c: Column | str, decimals: int) -> Column:
+    """``round(x, decimals)`` on a numpy float (what the report gets for
+    figures computed from fetched counts): scale by ``10**decimals``, round
+    half to even on the binary value (``rint``), scale back."""
+    c = F.col(c) if isinstance(c, str) else c
+    scale = F.lit(float(10**decimals))
+    return F.rint(c * scale) / scale

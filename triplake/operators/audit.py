@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from triplake.contracts import PICKUP
-from triplake.functions.measures import ratio
+from triplake.functions.measures import numpy_round, ratio
 from triplake.functions.timecols import ntz
 
 # Fixed value: months between a month's end and its file being published.
@@ -35,13 +35,14 @@ def layer_counts(tables: Mapping[tuple[str, str], DataFrame]) -> DataFrame:
 
 
 def retention(bronze: DataFrame, silver: DataFrame) -> DataFrame:
-    """Silver rows as a share of bronze rows, in percent (1 dp)."""
+    """Silver rows as a share of bronze rows, in percent (1 dp, rounded as
+    the report rounds its numpy figure)."""
     b = bronze.agg(F.count(F.lit(1))).scalar()
     s = silver.agg(F.count(F.lit(1))).scalar()
     return bronze.sparkSession.range(1).select(
         b.alias("bronze_rows"),
         s.alias("silver_rows"),
-        F.round(ratio(s, b) * 100, 1).alias("retention_pct"),
+        numpy_round(ratio(s, b) * 100, 1).alias("retention_pct"),
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from triplake.contracts import RAW_FILE_GLOB
-from triplake.functions.measures import quanta, ratio
+from triplake.functions.measures import python_round, quanta, ratio
 
 _MB = 1_048_576
 
@@ -45,15 +45,16 @@ def require_files(spark: SparkSession, directory: str, glob: str = RAW_FILE_GLOB
 
 
 def file_inventory(listing: DataFrame) -> DataFrame:
-    """Per file: name and size in MB (1 decimal), sorted by name."""
+    """Per file: name and size in MB (1 decimal, rounded as Python's
+    ``round``), sorted by name."""
     return listing.select(
-        F.col("name").alias("file"), F.round(F.col("length") / F.lit(_MB), 1).alias("size_mb")
+        F.col("name").alias("file"), python_round(F.col("length") / F.lit(_MB), 1).alias("size_mb")
     ).orderBy("file")
 
 
 def inventory_summary(listing: DataFrame) -> DataFrame:
     """Number of files and total GB (sum of the rounded MB sizes / 1024)."""
-    size_mb = F.round(F.col("length") / F.lit(_MB), 1)
+    size_mb = python_round(F.col("length") / F.lit(_MB), 1)
     return listing.agg(
         F.count(F.lit(1)).alias("files"),
         ratio(F.sum(quanta(size_mb, 10)), F.lit(10 * 1024)).alias("total_gb"),

@@ -721,7 +721,7 @@ FROM ({_L_MONTH_BOUNDED})""",
         "pareto_curve": _pareto_sql(_L_ZONE),
         "pareto_80": f"""
 SELECT CAST(COUNT(*) AS BIGINT) AS zones, CAST(count_if(cum_pct <= 80) AS BIGINT) AS zones_within,
-  {_r("CAST(count_if(cum_pct <= 80) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) * 100", 1)} AS pct_zones_for_share
+  {_pr("CAST(count_if(cum_pct <= 80) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) * 100", 1)} AS pct_zones_for_share
 FROM ({_pareto_sql(_L_ZONE)})""",
         "month_extremes": _month_extremes_sql(_L_MONTH_BOUNDED),
         "cell_extremes": _cell_extremes_sql(_E_TIME),

@@ -57,6 +57,12 @@ def test_pareto_80(spark, revenues, within, pct):
     assert (r.zones, r.zones_within, r.pct_zones_for_share) == (4, within, pct)
 
 
+def test_pareto_80_share_rounds_like_python(spark):
+    # one zone of sixteen within 80 %: 6.25 % is a tie, Python's round gives 6.2
+    out = analytics.pareto_80(analytics.pareto_curve(zones(spark, [160] + [3] * 12 + [2, 1, 1]))).first()
+    assert (out.zones_within, out.pct_zones_for_share) == (1, round(1 / 16 * 100, 1)) == (1, 6.2)
+
+
 def test_pareto_many_slices(spark):
     # more zones than partitions: offsets across slices must chain correctly
     revenues = [1000 - i for i in range(500)]

@@ -155,7 +155,7 @@ def pareto_80(curve: DataFrame, share: float = 80.0) -> DataFrame:
     return curve.agg(
         F.count(F.lit(1)).alias("zones"),
         within.alias("zones_within"),
-        F.round(ratio(within, F.count(F.lit(1))) * 100, 1).alias("pct_zones_for_share"),
+        python_round(ratio(within, F.count(F.lit(1))) * 100, 1).alias("pct_zones_for_share"),
     )
 
 

@@ -293,6 +293,11 @@ def _r(x: str, n: int) -> str:
     return f"CAST(ROUND(CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,18)), {n}) AS DOUBLE)"
 
 
+def _nr(x: str, n: int) -> str:
+    """numpy's round(float64, n): scale by 10**n, round half to even, scale back."""
+    return f"(round_even(CAST(({x}) AS DOUBLE) * {10.0 ** n}, 0) / {10.0 ** n})"
+
+
 def _pr(x: str, n: int) -> str:
     """Python's round(float, n): half to even on the exact binary value
     (fmt's fixed formatting rounds the same way)."""
@@ -566,7 +571,7 @@ FROM pre, tr, rec
 
 
 def _first_latest_sql(month_sql: str) -> str:
-    change = _pr("dist_latest - dist_first", 2)
+    change = _nr("dist_latest - dist_first", 2)
     return f"""
 WITH a AS (
   SELECT MIN(year) AS first_year, MAX(year) AS latest_year,
@@ -574,7 +579,7 @@ WITH a AS (
     arg_min(avg_distance, year) AS dist_first, arg_max(avg_distance, year) AS dist_latest
   FROM ({_yearly_sql(month_sql)}))
 SELECT first_year, latest_year, fare_first, fare_latest,
-  {_pr("(fare_latest - fare_first) / NULLIF(fare_first, 0) * 100", 1)} AS fare_change_pct,
+  {_nr("(fare_latest - fare_first) / NULLIF(fare_first, 0) * 100", 1)} AS fare_change_pct,
   {change} AS dist_change,
   CASE WHEN {change} >= 0 THEN '+' ELSE '' END || CAST({change} AS VARCHAR) || ' mi' AS dist_trend
 FROM a
@@ -686,7 +691,7 @@ FROM ({_L_BRONZE})""",
         "layer_counts": layer_counts,
         "retention": f"""
 SELECT b AS bronze_rows, s AS silver_rows,
-  round_even((CAST(s AS DOUBLE) / NULLIF(CAST(b AS DOUBLE), 0) * 100) * 10, 0) / 10 AS retention_pct
+  {_nr("CAST(s AS DOUBLE) / NULLIF(CAST(b AS DOUBLE), 0) * 100", 1)} AS retention_pct
 FROM (SELECT (SELECT CAST(COUNT(*) AS BIGINT) FROM ({_E_BRONZE})) AS b,
              (SELECT CAST(COUNT(*) AS BIGINT) FROM ({_E_SILVER})) AS s)""",
         "month_coverage": f"""

@@ -188,6 +188,17 @@ def test_python_round_matches_python_on_ties(spark):
         assert got == [float(round(v, n)) for v in values]
 
 
+def test_numpy_round_matches_numpy_on_ties(spark):
+    import numpy as np
+    from triplake.functions.measures import numpy_round
+
+    values = [0.15, 0.25, 0.35, 2.675, 1.005, -0.15, 12.345, -2.25, 0.05, 7.45, -3.55, 123456.75]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for n in (1, 2):
+        got = [r.y for r in df.select(numpy_round("x", n).alias("y")).collect()]
+        assert got == [float(round(np.float64(v), n)) for v in values]
+
+
 def test_display_orders_and_chart(spark):
     top = analytics.top_zones(zones(spark, [5, 9, 7, 1]), 3, ascending_for_display=True).collect()
     assert [r.pickups for r in top] == sorted(r.pickups for r in top)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from triplake.config import next_month, parse_month
 from triplake.functions.labels import DAY_NAMES, day_name, fixed, hour_label, is_weekend, millions
-from triplake.functions.measures import mean_of_quanta, python_round, quanta, ratio
+from triplake.functions.measures import mean_of_quanta, numpy_round, python_round, quanta, ratio
 from triplake.functions.ordered import argmax_row, argmin_row, running_totals
 from triplake.functions.timecols import long_month_label, month_key, month_label, month_start
 from triplake.plans.materialize import materialize, materialize_all
@@ -288,13 +288,14 @@ def first_latest_change(month_gold: DataFrame) -> DataFrame:
         F.min("year").alias("first_year"),
         F.max("year").alias("latest_year"),
     )
-    dist_change = python_round(F.col("dist_latest") - F.col("dist_first"), 2)
+    # the report rounds these numpy figures with numpy's rule
+    dist_change = numpy_round(F.col("dist_latest") - F.col("dist_first"), 2)
     return agg.select(
         "first_year",
         "latest_year",
         "fare_first",
         "fare_latest",
-        python_round(ratio(F.col("fare_latest") - F.col("fare_first"), F.col("fare_first")) * 100, 1).alias(
+        numpy_round(ratio(F.col("fare_latest") - F.col("fare_first"), F.col("fare_first")) * 100, 1).alias(
             "fare_change_pct"
         ),
         dist_change.alias("dist_change"),

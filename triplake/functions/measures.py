@@ -54,7 +54,8 @@ def python_round(c: Column | str, decimals: int) -> Column:
     read back as a double, is Python's result.  Meant for one-row report
     figures, not per-row hot paths."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.regexp_replace(F.format_number(c, decimals), ",", "").cast("double")
+    # try_cast: a non-finite input formats as a symbol and becomes NULL, not a job failure
+    return F.regexp_replace(F.format_number(c, decimals), ",", "").try_cast("double")
 
 
 def numpy_round(c: Column | str, decimals: int) -> Column:

@@ -14,7 +14,11 @@ total order the way a distributed prefix sum is usually built:
 4. in-slice running sums come from a window partitioned by slice.
 
 No step holds more than one slice in a task, and the only broadcast is the
-per-slice offset table.
+per-slice offset table.  The offsets come from a window over that table
+(one row per slice, so the single-partition window Spark warns about is
+bounded by the partition count).  The global sort takes the session's
+shuffle partition count, which suits aggregated inputs such as the zone
+table; a raw-sized input would need that count sized to the data first.
 
 ``arg_extremes`` picks whole rows at the max/min of a measure with explicit
 tie-breaks in one global aggregation (partial per task, tiny final merge).

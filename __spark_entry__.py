@@ -42,6 +42,20 @@ from triplake.sources.adapters import (  # noqa: E402
 )
 from triplake.streaming.incremental import ingest_reconciled, ingest_stream  # noqa: E402
 
+# The training-data operators are an optional part: only their absence is
+# tolerated here, any other import error is raised.
+try:
+    from triplake.llm import queries as _llm  # noqa: E402
+except ModuleNotFoundError as missing:
+    if missing.name not in ("triplake.llm", "triplake.llm.queries", "corpus_pipeline"):
+        raise
+    _llm = None
+except ImportError:
+    # a namespace left by deleted files: the package has no queries module
+    if os.path.exists(os.path.join(os.path.dirname(os.path.abspath(__file__)), "triplake", "llm", "queries.py")):
+        raise
+    _llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 ORACLE_DIR = "/root/testdata/sf0.01"
 
@@ -282,6 +296,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pipeline_trips_by_month": lambda s, d: read_layer(s, _pipeline_lake(s, d), "gold", "trips_by_month"),
         "pipeline_layer_counts": _pipeline_layer_counts,
     }
+    if _llm is not None:
+        q.update(_llm.queries())
     return q
 
 
@@ -668,7 +684,7 @@ def oracle_sql() -> dict[str, str]:
         " CAST(month(tpep_pickup_datetime) AS INTEGER) AS month, COUNT(*) AS trips"
         f" FROM ({_L_BRONZE}) WHERE tpep_pickup_datetime IS NOT NULL GROUP BY 1, 2"
     )
-    return {
+    own: dict[str, str] = {
         "bronze_contract": _L_BRONZE,
         "silver_trips": f"SELECT {silver_cols} FROM ({_E_SILVER})",
         "silver_bounded_month": _silver_sql(
@@ -758,3 +774,6 @@ FROM read_blob('{ORACLE_DIR}/*.parquet')""",
             }.items()
         ),
     }
+    if _llm is not None:
+        own.update(_llm.oracle_sql())
+    return own

@@ -215,7 +215,7 @@ def decisions(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Zeros and ones at the 255 nodes, top bit first, of counts of bytes."""
     zeros, ones = [], []
     for level in range(8):
-        halves = counts.reshape(len(counts), 1 << level, 2, -1).sum(axis=3)
+        halves = counts.reshape(len(counts), 1 << level, 2, 128 >> level).sum(axis=3)
         zeros.append(halves[:, :, 0])
         ones.append(halves[:, :, 1])
     return np.concatenate(zeros, axis=1), np.concatenate(ones, axis=1)
@@ -226,7 +226,7 @@ def log_bytes(p_one: np.ndarray) -> np.ndarray:
     out, node = np.zeros((len(p_one), 1)), 0
     for level in range(8):
         p = p_one[:, node : node + (1 << level)]
-        out = (out[:, :, None] + np.log10(np.stack([1 - p, p], axis=2))).reshape(len(p), -1)
+        out = (out[:, :, None] + np.log10(np.stack([1 - p, p], axis=2))).reshape(len(p), 2 << level)
         node += 1 << level
     return out
 
@@ -353,7 +353,7 @@ def score_documents(docs: DataFrame, folds: int = FOLDS) -> DataFrame:
                 at = np.minimum(np.searchsorted(keys, word), max(0, len(keys) - 1))
                 hit = keys[at] == word if len(keys) else np.zeros(len(word), bool)
                 n_common = np.bincount(text[hit], minlength=hi - lo)
-                common_log = np.bincount(text[hit], logs[at[hit]], hi - lo)
+                common_log = np.bincount(text[hit], logs[at[hit]], hi - lo).astype(np.float64)
                 rare, times, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [0]
                 rest, owner = word[~hit], text[~hit]
                 order = np.lexsort((rest, owner))
@@ -368,7 +368,7 @@ def score_documents(docs: DataFrame, folds: int = FOLDS) -> DataFrame:
                         b.column(0).slice(lo, hi - lo),
                         pa.array(per_text + 1),
                         pa.array(n_common),
-                        pa.array(common_log),
+                        pa.array(common_log, pa.float64()),
                         pa.array(text_scores(part, child, table)),
                         pa.ListArray.from_arrays(sizes, pa.array(rare)),
                         pa.ListArray.from_arrays(sizes, pa.array(times.astype(np.int64))),

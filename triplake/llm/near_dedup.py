@@ -7,19 +7,21 @@ A document's set holds the 64-bit hashes of its distinct word shingles.
    is folded into an odd sketch: a parity bitmap in which every sample flips
    one bit.  The population count of the XOR of two sketches estimates the
    similarity closely where it is high.
-3. In each band bucket every member is compared with the bucket's pivot, its
-   smallest id: one candidate per member, however large the bucket is.  Sketch
-   estimates drop far candidates, full sets confirm the others.
-4. Pairs without the pivot matter only where a bucket still holds members of
-   different components.  There the members outside the bucket's largest
-   component meet all members of other components; sketches and full sets
-   decide as before.  A family of near copies is one component by then, so
-   its pairs are never listed.
-5. Links between representatives are joined to components.
+3. In each band bucket, a task joins the members to a spanning forest along
+   the smallest sketch distances: fewer candidates than members, and mostly
+   pairs of nearest neighbours.  Full sets confirm them, and the confirmed
+   links are joined to components.  Buckets of more than ``BLOCK`` members are
+   dealt to chunks, twice and differently, so that chunks overlap.
+4. Other pairs matter only where a bucket still holds members of different
+   components.  There the members outside the bucket's largest component meet
+   all others, block by block.  A first pass looks at sketches only and names
+   the rows that need their full set; a second one compares those and returns
+   links.  Pairs are never listed.
+5. All links between representatives are joined to components.
 
 Two documents of similarity 0.85 (0.8) miss all bands with probability 1e-7
-(2e-5).  The sketch threshold lies ``SLACK`` below the
-similarity asked for, over five standard errors of the estimate.
+(2e-5).  The sketch threshold lies ``SLACK`` below the similarity asked for,
+over four standard errors of the estimate.
 
 Defined results: null, empty and blank texts have an empty set, link with
 nothing and are kept; a text with fewer words than a shingle has its whole
@@ -36,17 +38,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from triplake.llm.components import components
+from triplake.llm.groups import group_bounds, lists, matrix, whole_groups
 from triplake.llm.textbytes import chunks, hash_words, mix64, shingle_hashes, word_bounds
 from triplake.plans.materialize import materialize
 
 BANDS = 28
 ROWS = 5
 SKETCH_LONGS = 8  # 512 bits for 140 samples
-SLACK = 0.2
+SLACK = 0.14
+BLOCK = 256  # members of a bucket that a task looks at together
 
 _rng = np.random.Generator(np.random.PCG64(2024))
 _XOR = _rng.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
@@ -125,11 +129,11 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
                     bands[some], sketch[some] = band_keys(signature), odd_sketch(signature)
                     for i in some:
                         digest[i] = np.frombuffer(hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest(), np.int64)
-                lists = lambda m: pa.ListArray.from_arrays(
+                rows_of = lambda m: pa.ListArray.from_arrays(
                     np.arange(len(m) + 1, dtype=np.int32) * m.shape[1], pa.array(m.reshape(-1))
                 )
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(lo, len(sets)), pa.array(sizes), pa.array(digest[:, 0]), pa.array(digest[:, 1]), lists(bands), lists(sketch)],
+                    [b.column(0).slice(lo, len(sets)), pa.array(sizes), pa.array(digest[:, 0]), pa.array(digest[:, 1]), rows_of(bands), rows_of(sketch)],
                     names=[f.split()[0] for f in schema.split(", ")],
                 )
 
@@ -151,73 +155,176 @@ def full_sets(docs: DataFrame, k: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, shingles array<long>")
 
 
-def _odd_bits(a: str, b: str) -> str:
-    return " + ".join(f"bit_count({a}[{i}] ^ {b}[{i}])" for i in range(SKETCH_LONGS))
+def _reach(both: Column, a: Column, b: Column, percent: int) -> Column:
+    return 100 * both >= percent * (a + b - both)
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """Pairs (u, v) whose full sets reach the similarity.  Sets are made again
-    from the texts of the documents that occur in a pair."""
-    ids = pairs.select(F.col("u").alias("doc_id")).union(pairs.select(F.col("v").alias("doc_id"))).distinct()
-    sets = materialize(full_sets(texts.join(ids, "doc_id", "left_semi"), k), "sets")
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (u, v) whose full sets reach the similarity."""
     a = sets.select(F.col("doc_id").alias("u"), F.col("shingles").alias("a"))
     b = sets.select(F.col("doc_id").alias("v"), F.col("shingles").alias("b"))
     both = F.size(F.array_intersect("a", "b"))
-    return (
-        pairs.join(a, "u")
-        .join(b, "v")
-        .where(100 * both >= percent * (F.size("a") + F.size("b") - both))
-        .select("u", "v")
-    )
+    return pairs.join(a, "u").join(b, "v").where(_reach(both, F.size("a"), F.size("b"), percent)).select("u", "v")
+
+
+def odd_bits(sketches: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """Bits in which each sketch differs from ``one``."""
+    # unsigned: numpy counts the bits of a negative number's magnitude
+    return np.bitwise_count((sketches ^ one).view(np.uint64)).sum(axis=1)
+
+
+def spanning_forest(sketches: np.ndarray, near: int) -> list[tuple[int, int]]:
+    """Edges of at most ``near`` odd bits that span a minimal forest (Prim)."""
+    n = len(sketches)
+    if n == 2:
+        return [(0, 1)] if odd_bits(sketches[:1], sketches[1])[0] <= near else []
+    out, best, source = [], np.full(n, 1 << 30), np.zeros(n, np.int64)
+    left, at = np.ones(n, bool), 0
+    left[0] = False
+    for _ in range(n - 1):
+        own = odd_bits(sketches, sketches[at])
+        closer = left & (own < best)
+        best[closer], source[closer] = own[closer], at
+        at = int(np.where(left, best, 1 << 31).argmin())
+        left[at] = False
+        if best[at] <= near:
+            out.append((int(source[at]), at))
+    return out
 
 
-def representative_links(signed: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """Links (u, v) whose components are those of all near-duplicate links
-    between the class representatives in ``signed``."""
-    reps = signed.select("doc_id", "bands", "sketch")
-    in_band = reps.select("doc_id", F.explode("bands").alias("band"))
-    buckets = materialize(
-        in_band.groupBy("band").agg(F.min("doc_id").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "pivot"), "buckets"
+def forest_pairs(members: DataFrame, sketches: DataFrame, near: int) -> DataFrame:
+    """Pairs (u, v) of the spanning forests of all buckets."""
+    chunks_ = F.ceil(F.col("n") / BLOCK).cast("int")
+    first = F.pmod(F.xxhash64("doc_id", "band"), chunks_).cast("int")
+    second = chunks_ + F.pmod(F.xxhash64("band", "doc_id", F.lit(1)), chunks_).cast("int")
+    dealt = members.withColumn("chunk", F.explode(F.when(chunks_ == 1, F.array(F.lit(0))).otherwise(F.array(first, second))))
+    keys = ["band", "chunk"]
+    rows = dealt.join(sketches, "doc_id").select(*keys, "doc_id", "sketch").repartition(*keys).sortWithinPartitions(*keys, "doc_id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, 2):
+            bounds, ids, own = group_bounds(table, 2), table.column("doc_id").to_numpy(), matrix(table.column("sketch"), SKETCH_LONGS)
+            u, v = [], []
+            for lo, hi in zip(bounds[:-1], bounds[1:]):
+                for i, j in spanning_forest(own[lo:hi], near) if hi - lo > 1 else ():
+                    u.append(ids[lo + i])
+                    v.append(ids[lo + j])
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+
+    found = rows.mapInArrow(run, "u long, v long")
+    return found.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+
+
+def meetings(placed: DataFrame) -> DataFrame:
+    """Rows of buckets with several components, dealt so that every member
+    outside the largest component meets every other member: band, block_a,
+    block_b, side (0: outside, 1: all), doc_id, component, band_no."""
+    parts = placed.groupBy("band", "component").agg(F.count(F.lit(1)).alias("k"))
+    largest = parts.groupBy("band").agg(
+        F.max_by("component", F.struct("k", "component")).alias("largest"), F.sum("k").alias("all"), F.max("k").alias("inside"), F.count(F.lit(1)).alias("parts")
     )
-    members = materialize(in_band.join(buckets, "band"), "members")
-    sketches = reps.select("doc_id", "sketch")
-    near = most_odd_bits(percent / 100 - SLACK)
+    split = placed.join(largest.where("parts > 1").drop("parts"), "band")
+    blocks_a = F.ceil((F.col("all") - F.col("inside")) / BLOCK).cast("int")
+    blocks_b = F.ceil(F.col("all") / BLOCK).cast("int")
+    hashed = F.xxhash64("doc_id", "band")
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    rest = ["doc_id", "component", "band_no"]
+    outside = split.where("component <> largest").select(
+        "band", F.pmod(hashed, blocks_a).cast("int").alias("block_a"), every(blocks_b).alias("block_b"), F.lit(0).alias("side"), *rest
+    )
+    all_ = split.select("band", every(blocks_a).alias("block_a"), F.pmod(hashed, blocks_b).cast("int").alias("block_b"), F.lit(1).alias("side"), *rest)
+    return outside.unionByName(all_)
+
+
+KEYS = ["band", "block_a", "block_b"]
 
-    def near_pairs(pairs: DataFrame) -> DataFrame:
-        a = sketches.select(F.col("doc_id").alias("u"), F.col("sketch").alias("a"))
-        b = sketches.select(F.col("doc_id").alias("v"), F.col("sketch").alias("b"))
-        return materialize(pairs.join(a, "u").join(b, "v").where(F.expr(_odd_bits("a", "b")) <= near).select("u", "v"), "pairs")
 
-    to_pivot = members.where("doc_id <> pivot").select(F.col("doc_id").alias("u"), F.col("pivot").alias("v")).distinct()
-    links = materialize(_confirmed(near_pairs(to_pivot), texts, k, percent), "links")
+def worth_comparing(rows: DataFrame, reps: DataFrame, near: int) -> DataFrame:
+    """The rows of ``meetings`` that have a partner whose sketch is near, in
+    the first band that the two share."""
+    data = rows.join(reps.select("doc_id", "bands", "sketch"), "doc_id")
+    data = data.select(*KEYS, "side", "doc_id", "component", "band_no", "bands", "sketch").repartition(*KEYS).sortWithinPartitions(*KEYS, "side", "doc_id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, 3):
+            bounds = group_bounds(table, 3)
+            side, ids, component, band_no = (table.column(c).to_numpy() for c in ("side", "doc_id", "component", "band_no"))
+            bands, sketch = matrix(table.column("bands"), BANDS), matrix(table.column("sketch"), SKETCH_LONGS)
+            wanted = np.zeros(table.num_rows, bool)
+            for lo, hi in zip(bounds[:-1], bounds[1:]):
+                mid = lo + int(np.searchsorted(side[lo:hi], 1))
+                other = np.arange(mid, hi)
+                for i in range(lo, mid):
+                    j = other[component[mid:hi] != component[i]]
+                    j = j[odd_bits(sketch[j], sketch[i]) <= near]
+                    if len(j):
+                        j = j[(bands[j] == bands[i]).argmax(axis=1) == band_no[i]]
+                        wanted[i] = len(j) > 0
+                        wanted[j] = True
+            yield from table.filter(pa.array(wanted)).select([*KEYS, "side", "doc_id", "component"]).to_batches()
+
+    return data.mapInArrow(run, "band long, block_a int, block_b int, side int, doc_id long, component long")
+
+
+def links_across(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) between different components among the rows that meet,
+    by their full sets."""
+    data = rows.join(sets, "doc_id").select(*KEYS, "side", "doc_id", "component", "shingles").repartition(*KEYS).sortWithinPartitions(*KEYS, "side", "doc_id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, 3):
+            bounds = group_bounds(table, 3)
+            side, ids, component = (table.column(c).to_numpy() for c in ("side", "doc_id", "component"))
+            sets_ = lists(table.column("shingles"))
+            u, v = [], []
+            for lo, hi in zip(bounds[:-1], bounds[1:]):
+                mid = lo + int(np.searchsorted(side[lo:hi], 1))
+                if mid in (lo, hi):
+                    continue
+                sizes = np.array([len(s) for s in sets_[mid:hi]])
+                known, at = np.unique(np.concatenate(sets_[mid:hi]), return_inverse=True)
+                starts, mark = np.cumsum(sizes) - sizes, np.zeros(len(known), np.int64)
+                for i in range(lo, mid):
+                    own = np.minimum(np.searchsorted(known, sets_[i]), len(known) - 1)
+                    own = own[known[own] == sets_[i]]
+                    mark[own] = 1
+                    both = np.add.reduceat(mark[at], starts)
+                    mark[own] = 0
+                    linked = (component[mid:hi] != component[i]) & (100 * both >= percent * (sizes + len(sets_[i]) - both))
+                    # one link to each component is enough
+                    for j in np.unique(component[mid:hi][linked], return_index=True)[1]:
+                        u.append(ids[i])
+                        v.append(ids[mid:hi][linked][j])
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+
+    return data.mapInArrow(run, "u long, v long")
+
+
+def representative_links(reps: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links (u, v) whose components are those of all near-duplicate links
+    between the class representatives ``reps``."""
+    near = most_odd_bits(percent / 100 - SLACK)
+    in_band = reps.select("doc_id", F.posexplode("bands").alias("band_no", "band"))
+    buckets = in_band.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = materialize(in_band.join(buckets, "band"), "members")
+    pairs = materialize(forest_pairs(members, reps.select("doc_id", "sketch"), near), "pairs")
+    ends = lambda p: p.select(F.col("u").alias("doc_id")).union(p.select(F.col("v").alias("doc_id"))).distinct()
+    # The sets of documents that occur in a pair are made again from the texts.
+    # A merge join at every size: the texts are much larger than the ids.
+    sets = materialize(full_sets(texts.join(ends(pairs).hint("merge"), "doc_id", "left_semi"), k), "sets")
+    links = materialize(confirmed(pairs, sets, percent), "links")
 
-    # Buckets that still hold several components, and the largest one in each.
     component = components(links).select(F.col("node").alias("doc_id"), "component")
-    placed = materialize(members.join(component, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id")), "placed")
-    largest = (
-        placed.groupBy("band", "component")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("band")
-        .agg(F.max_by("component", "n").alias("largest"), F.count(F.lit(1)).alias("parts"))
-        .where("parts > 1")
-        .select("band", "largest")
-    )
-    split = materialize(placed.join(largest, "band"), "split")
-    left = split.where("component <> largest and doc_id <> pivot").select("band", F.col("doc_id").alias("u"), F.col("component").alias("cu"))
-    right = split.where("doc_id <> pivot").select(
-        "band", F.col("doc_id").alias("v"), F.col("component").alias("cv"), (F.col("component") == F.col("largest")).alias("_in_largest")
-    )
-    with_sketch = lambda rows, id_, name: rows.join(sketches.select(F.col("doc_id").alias(id_), F.col("sketch").alias(name)), id_)
-    across = (
-        with_sketch(left, "u", "a")
-        .join(with_sketch(right, "v", "b"), "band")
-        .where("cu <> cv and (_in_largest or u > v)")
-        .where(F.expr(_odd_bits("a", "b")) <= near)
-        .select("u", "v")
-        .distinct()
-    )
-    across = materialize(across, "pairs")
-    return links if across.isEmpty() else links.unionByName(_confirmed(across, texts, k, percent))
+    placed = members.join(component, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    rows = materialize(worth_comparing(meetings(materialize(placed, "placed")), reps, near), "meetings")
+    if rows.isEmpty():
+        return links
+    # A row of a chunked bucket may need its set for the first time now.
+    missing = rows.select("doc_id").distinct().join(sets.select("doc_id"), "doc_id", "left_anti")
+    missing = materialize(missing, "missing")
+    if not missing.isEmpty():
+        sets = sets.unionByName(materialize(full_sets(texts.join(missing.hint("merge"), "doc_id", "left_semi"), k), "sets"))
+    return links.unionByName(materialize(links_across(rows, sets, percent), "links"))
 
 
 def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85) -> DataFrame:

@@ -83,7 +83,7 @@ def features(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     owner = np.repeat(text, size + 2)
     room = np.repeat(at + size + 2, size + 2) - np.arange(len(line))
     code = np.zeros(len(line), np.uint64)
-    for k in range(max(NGRAMS)):
+    for k in range(min(max(NGRAMS), len(line))):
         code[: len(line) - k] = code[: len(line) - k] << np.uint64(8) | line[k:]
         if k + 1 in NGRAMS:
             full = np.flatnonzero(room > k)

@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from triplake.llm.components import components
+from triplake.llm.groups import whole_groups
 from triplake.llm.textbytes import mix64
 from triplake.plans.materialize import materialize
 
@@ -150,28 +151,6 @@ def coded(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) -> D
     return own.mapInArrow(run, schema)
 
 
-def whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
-    """Tables of whole groups from batches sorted by their first columns."""
-    held: list[pa.RecordBatch] = []
-    for b in batches:
-        if not b.num_rows:
-            continue
-        columns = [b.column(k).to_numpy(zero_copy_only=False) for k in range(keys)]
-        change = np.zeros(b.num_rows, bool)
-        for c in columns:
-            change[1:] |= c[1:] != c[:-1]
-        change[0] = bool(held) and any(held[-1].column(k)[-1].as_py() != c[0] for k, c in enumerate(columns))
-        at = np.flatnonzero(change)
-        if len(at):
-            if held or at[-1]:
-                yield pa.Table.from_batches([*held, b.slice(0, at[-1])])
-            held = [b.slice(at[-1])]
-        else:
-            held.append(b)
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def near_pairs(group: np.ndarray, pairs: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """All pairs of rows of the same group (sorted ids), about ``pairs`` at a time."""
     ends = np.searchsorted(group, group, side="right")

@@ -12,13 +12,13 @@ from triplake.config import Lake
 from triplake.contracts import GOLD_TABLES, INGESTED_AT
 from triplake.operators import audit
 from triplake.operators.bronze import bronze
-from triplake.plans.pipeline import read_layer, run_pipeline
-from triplake.plans.sinks import read_table
+from triplake.plans.pipeline import read_layer, run_pipeline, write_bronze
+from triplake.plans.publish import publications, read_published, vacuum
 from triplake.session import scratch_path
 from triplake.sources.adapters import LINEITEM_RULES, lineitem_raw
 from triplake.sources.files import file_inventory, list_files, require_files
 from triplake.sources.parquet import read_reconciled
-from triplake.streaming.incremental import ingest_reconciled, ingest_stream
+from triplake.streaming.incremental import Added, ingest_reconciled, ingest_stream
 
 
 def test_expected_months_calendar(spark):
@@ -93,20 +93,19 @@ def test_incremental_stream_adds_only_new_files(spark):
     raw = lineitem_raw(spark, SF_SMALL)
     raw.where(F.year("tpep_pickup_datetime") <= 1997).write.parquet(f"{root}/in")
     first = ingest_stream(spark, f"{root}/in", f"{root}/out", f"{root}/ck", glob="*.parquet")
-    assert ingest_stream(spark, f"{root}/in", f"{root}/out", f"{root}/ck", glob="*.parquet") == 0
+    assert ingest_stream(spark, f"{root}/in", f"{root}/out", f"{root}/ck", glob="*.parquet") == Added()
     raw.where(F.year("tpep_pickup_datetime") > 1997).write.mode("append").parquet(f"{root}/in")
     second = ingest_stream(spark, f"{root}/in", f"{root}/out", f"{root}/ck", glob="*.parquet")
-    assert first + second == raw.count()
-    assert read_table(spark, f"{root}/out").count() == raw.count()
+    assert first.rows + second.rows == raw.count()
+    assert read_published(spark, f"{root}/out").count() == raw.count()
 
 
 def test_incremental_reconciled(spark):
     folder = _landing(spark, drift=True)
     root = scratch_path(spark, "test-incr-drift")
     ingest_reconciled(spark, folder, f"{root}/out", f"{root}/ck", glob="*.parquet", max_files_per_trigger=2)
-    assert ingest_reconciled(spark, folder, f"{root}/out", f"{root}/ck", glob="*.parquet") == 0
-    got = read_table(spark, f"{root}/out")
-    assert "ingest_batch" not in got.columns
+    assert ingest_reconciled(spark, folder, f"{root}/out", f"{root}/ck", glob="*.parquet") == Added()
+    got = read_published(spark, f"{root}/out")
     assert got.count() == lineitem_raw(spark, SF_SMALL).count()
 
 
@@ -123,7 +122,8 @@ def test_pipeline_run_report_and_invariants(spark):
     assert read_layer(spark, lake, "gold", "trips_by_zone").agg(F.sum("pickups")).first()[0] == report.silver_rows
     assert set(report.gold_rows) == set(GOLD_TABLES)
     # silver is partitioned by pickup year and month
-    local = lake.silver().replace("file:", "")
+    (live,) = publications(spark, lake.silver())
+    local = f"{lake.silver()}/{live['folder']}/data".replace("file:", "")
     assert any(d.startswith("pickup_year=") for d in os.listdir(local))
 
 
@@ -132,9 +132,9 @@ def test_failed_gold_table_is_reported_and_others_are_written(spark, monkeypatch
 
     folder = _landing(spark, drift=False)
     lake = Lake(scratch_path(spark, "test-lake-fail"))
-    broken = dict(gold_ops.GOLD_BUILDERS)
-    broken["trips_by_zone"] = lambda silver, opts: silver.select("no_such_column")
-    monkeypatch.setattr("triplake.plans.pipeline.GOLD_BUILDERS", broken)
+    broken = dict(gold_ops.GOLD_FINISHERS)
+    broken["trips_by_zone"] = lambda cells, opts: cells.select("no_such_column")
+    monkeypatch.setattr("triplake.plans.pipeline.GOLD_FINISHERS", broken)
     report = run_pipeline(spark, folder, lake, LINEITEM_RULES, glob="*.parquet", raise_on_failure=False)
     assert set(report.failed) == {"trips_by_zone"} and not report.complete
     assert set(report.gold_rows) == {"trips_by_month", "time_patterns"}
@@ -173,4 +173,82 @@ def test_incremental_counts_every_micro_batch(spark):
     raw = lineitem_raw(spark, SF_SMALL)
     raw.repartition(6).write.parquet(f"{root}/in")
     n = ingest_stream(spark, f"{root}/in", f"{root}/out", f"{root}/ck", glob="*.parquet", max_files_per_trigger=1)
-    assert n == raw.count()
+    assert (n.files, n.rows) == (6, raw.count())
+
+
+def _trips(spark, n, day=1):
+    when = dt.datetime(2020, 1, day)
+    return frame(spark, [trip(VendorID=i, tpep_pickup_datetime=when, tpep_dropoff_datetime=when + dt.timedelta(hours=1)) for i in range(n)])
+
+
+def _land(spark, folder, n, name, day=1):
+    """One raw file of ``n`` trips under a given name."""
+    import glob
+    import shutil
+
+    part = scratch_path(spark, "part")
+    _trips(spark, n, day).coalesce(1).write.parquet(part)
+    local = folder.replace("file:", "")
+    os.makedirs(local, exist_ok=True)
+    shutil.copy(glob.glob(f"{part.replace('file:', '')}/*.parquet")[0], f"{local}/{name}")
+    return f"{local}/{name}"
+
+
+def test_rebuild_and_increments_share_bronze(spark):
+    root = scratch_path(spark, "test-rebuild")
+    landing, lake = f"{root}/in", Lake(f"{root}/lake")
+    run = lambda ck: ingest_stream(spark, landing, lake.bronze(), f"{root}/{ck}", glob="*.parquet")
+    first = _land(spark, landing, 10, "a.parquet")
+    assert run("ck") == Added(1, 10)
+    assert write_bronze(spark, landing, lake, glob="*.parquet") == 10
+    # a late file with an old time stamp, and the first one archived
+    late = _land(spark, landing, 7, "b.parquet", 2)
+    then = dt.datetime.now().timestamp() - 30 * 86400
+    os.utime(late, (then, then))
+    os.rename(first, first + ".archived")
+    assert run("ck") == Added(1, 7)
+    assert read_layer(spark, lake, "bronze").count() == 17
+    # a new checkpoint and the file back under its name add nothing
+    os.rename(first + ".archived", first)
+    assert run("ck-new") == Added()
+    assert read_layer(spark, lake, "bronze").count() == 17
+    # a rebuild supersedes the increments
+    assert write_bronze(spark, landing, lake, glob="*.parquet") == 17
+    assert read_layer(spark, lake, "bronze").count() == 17 and run("ck-new") == Added()
+
+
+def test_failed_rebuild_keeps_the_table(spark):
+    root = scratch_path(spark, "test-failed")
+    landing, lake = f"{root}/in", Lake(f"{root}/lake")
+    _land(spark, landing, 10, "a.parquet")
+    write_bronze(spark, landing, lake, glob="*.parquet")
+    with open(f"{landing.replace('file:', '')}/b.parquet", "wb") as f:
+        f.write(b"no parquet file")
+    with pytest.raises(Exception):
+        write_bronze(spark, landing, lake, glob="*.parquet", files_per_batch=1)
+    assert read_layer(spark, lake, "bronze").count() == 10
+    assert len(vacuum(spark, lake.bronze())) == 1 and read_layer(spark, lake, "bronze").count() == 10
+
+
+def test_bronze_batches_and_drift_under_another_zone(spark):
+    folder = _landing(spark, drift=True)
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "America/New_York")
+    lake = Lake(scratch_path(spark, "test-zone"))
+    assert write_bronze(other, folder, lake, glob="*.parquet", files_per_batch=3) == lineitem_raw(spark, SF_SMALL).count()
+    got = read_layer(spark, lake, "bronze").drop(INGESTED_AT)
+    want = bronze(lineitem_raw(spark, SF_SMALL)).drop(INGESTED_AT)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_nothing_published(spark):
+    with pytest.raises(FileNotFoundError, match="nothing is published"):
+        read_published(spark, scratch_path(spark, "none"))
+
+
+def test_rules_all_fire(spark):
+    import __spark_entry__ as e
+
+    row = e.queries()["silver_rule_report"](spark, "/root/testdata/sf0.01").first().asDict()
+    assert all(n > 0 for k, n in row.items() if k.startswith("failed_")), row
+    assert e.queries()["silver_trips"](spark, "/root/testdata/sf0.01").where("avg_speed_mph is null").count() > 0

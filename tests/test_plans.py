@@ -5,6 +5,7 @@ import __spark_entry__ as entry
 from tests.conftest import SF_SMALL
 from triplake.operators import analytics, gold
 from triplake.plans.inspect import plan_text
+from triplake.plans.materialize import materialize
 
 PY_NODES = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas")
 CROSS = ("CartesianProduct", "BroadcastNestedLoopJoin")
@@ -35,7 +36,7 @@ def test_pareto_window_is_partitioned_by_slice(spark):
 
 
 def test_report_analytics_have_no_cross_products(spark):
-    month, tp = entry._gm(spark, SF_SMALL), entry._gt(spark, SF_SMALL)
+    month, tp = entry._gm(spark, SF_SMALL), materialize(entry._e_time(spark, SF_SMALL))
     for df in (
         analytics.insights(month, tp),
         analytics.recovery(month),
@@ -54,7 +55,7 @@ def test_events_filter_stays_cheap(spark):
 
 
 def test_materialize_all_matches_sequential_and_keeps_job_group(spark):
-    from triplake.plans.materialize import materialize, materialize_all
+    from triplake.plans.materialize import materialize_all
 
     month, time_gold = entry._l_month(spark, SF_SMALL), entry._e_time(spark, SF_SMALL)
     sc = spark.sparkContext

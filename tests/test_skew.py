@@ -65,7 +65,7 @@ def test_clustered_silver_splits_a_hot_pickup_second(spark):
     before = spark.conf.get(key)
     spark.conf.set(key, "false")
     try:
-        kept = write_silver(spark, lake, cluster=True)
+        kept = write_silver(spark, lake, cluster=True, cluster_bytes_per_task=4096)
     finally:
         spark.conf.set(key, before)
     assert kept == N
@@ -84,8 +84,8 @@ def test_clustered_silver_splits_a_hot_pickup_second(spark):
 def test_range_shuffle_is_sized_by_the_input():
     from triplake.plans.pipeline import CLUSTER_BYTES_PER_TASK, range_partitions
 
-    # small inputs keep the session's count (AQE merges what is too small)
-    assert range_partitions(20 * 1024**2, CLUSTER_BYTES_PER_TASK, 200) is None
-    assert range_partitions(50 * 1024**3, CLUSTER_BYTES_PER_TASK, 200) is None  # 200 tasks suffice
-    # 100 TB would be 500 GB per partition at 200: one partition per 256 MB instead
-    assert range_partitions(100 * 1024**4, CLUSTER_BYTES_PER_TASK, 200) == 409_600
+    # the count follows the bytes at every size
+    assert range_partitions(0, CLUSTER_BYTES_PER_TASK) == 1
+    assert range_partitions(20 * 1024**2, 1024**2) == 20
+    # 100 TB would be 500 GB per partition at 200
+    assert range_partitions(100 * 1024**4, CLUSTER_BYTES_PER_TASK) == 819_200

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 _MONTH = re.compile(r"^(\d{4})-(\d{1,2})$")
 
@@ -57,18 +57,12 @@ class GoldOptions:
     """Gold aggregation options.
 
     ``drop_null_zone`` drops trips without a pickup zone from ``trips_by_zone``.
-    ``money_per_unit`` / ``distance_per_unit`` give the quantum of amounts and
-    distances (100 = cents): sums and means are computed over these integer
-    quanta, so they are exact and independent of partitioning.
-    ``duration_per_minute`` is 60 for the unrounded silver duration
-    (whole seconds); for a silver duration rounded to n decimals use 10**n.
+    ``duration_scale`` is the number of decimals silver's duration is rounded
+    to (at most 5), None for the unrounded duration (whole seconds).
     """
 
     drop_null_zone: bool = True
-    money_per_unit: int = 100
-    distance_per_unit: int = 100
-    passengers_per_unit: int = 1
-    duration_per_minute: int = 60
+    duration_scale: int | None = None
 
 
 @dataclass(frozen=True)
@@ -77,7 +71,6 @@ class Lake:
 
     root: str
     fmt: str = "parquet"
-    layers: tuple[str, ...] = field(default=("bronze", "silver", "gold"))
 
     def _path(self, layer: str, name: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{name}"
@@ -93,6 +86,3 @@ class Lake:
 
     def checkpoint(self, name: str) -> str:
         return self._path("_checkpoints", name)
-
-    def manifest(self, name: str = "ingested_files") -> str:
-        return self._path("_manifest", name)

@@ -75,4 +75,18 @@ PICKUP = "tpep_pickup_datetime"
 DROPOFF = "tpep_dropoff_datetime"
 ZONE = "PULocationID"
 
+# The gold tables, their keys and their columns in order.
 GOLD_TABLES = ("trips_by_month", "trips_by_zone", "time_patterns")
+GOLD_KEYS = {
+    "trips_by_month": ("pickup_year", "pickup_month"),
+    "trips_by_zone": (ZONE,),
+    "time_patterns": ("pickup_hour", "pickup_day_of_week"),
+}
+GOLD_COLUMNS = {
+    "trips_by_month": (
+        "pickup_year", "pickup_month", "trip_count", "total_revenue", "avg_fare", "avg_distance_miles",
+        "avg_duration_min", "avg_passengers",
+    ),
+    "trips_by_zone": ("zone_id", "pickups", "total_revenue", "avg_fare", "avg_distance_miles"),
+    "time_patterns": ("pickup_hour", "pickup_day_of_week", "trip_count", "avg_duration_min", "avg_fare"),
+}

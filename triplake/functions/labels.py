@@ -39,8 +39,3 @@ def fixed(c: Column | str, decimals: int) -> Column:
     half up instead: 2.675 gives 2.68 there and 2.67 in Python.)"""
     c = F.col(c) if isinstance(c, str) else c
     return F.regexp_replace(F.format_number(c, decimals), ",", "")
-
-
-def thousands(c: Column, decimals: int = 0) -> Column:
-    """Thousands-separated number text (``1,234``)."""
-    return F.format_number(c, decimals)

@@ -1,12 +1,13 @@
 """Exact, partition-independent sums and means.
 
-Amounts and distances arrive as doubles holding a fixed number of decimals
-(cents, hundredths of a mile); durations are whole seconds.  Summing them as
-doubles makes the result depend on the order in which partial aggregates are
-merged, i.e. on the cluster layout.  Here every measure is summed as an
-integer count of its quantum (``rint(x * per_unit)`` as BIGINT: a fused,
-codegen-friendly expression) and divided once at the end, so a mean is the
-correctly rounded value of the exact rational mean on any number of executors.
+Summing doubles makes the result depend on the order in which partial
+aggregates are merged, i.e. on the cluster layout.  Measured values (amounts,
+distances, parties) are summed as decimals with ``DECIMALS`` fraction digits:
+values of up to that many decimals are summed as they are stored, none is
+rounded to cents first.  Values that silver makes itself (durations, whole
+seconds) and rounded gold figures are summed as integer counts of their
+quantum.  Both are divided once at the end, so a mean is the same on any
+number of executors.
 """
 
 from __future__ import annotations
@@ -14,6 +15,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fraction digits of decimal sums.  18 digits in all keep a value in a long.
+DECIMALS = 6
+DECIMAL_TYPE = f"decimal(18,{DECIMALS})"
+
+
+def decimal_sum(c: Column | str) -> Column:
+    """Aggregate: exact sum of ``c`` as a decimal.  A value that is not finite
+    or has more than 12 digits before the point counts as NULL."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.sum(c.try_cast(DECIMAL_TYPE))
+
 
 def quanta(c: Column | str, per_unit: int) -> Column:
     """``c`` as an integer number of ``1/per_unit`` quanta (NULL stays NULL)."""
@@ -35,17 +47,6 @@ def mean_of_quanta(q_sum: Column, n: Column, per_unit: int) -> Column:
     return ratio(q_sum, n * F.lit(per_unit))
 
 
-def exact_mean(c: Column | str, per_unit: int) -> Column:
-    """Aggregate: mean of ``c`` over non-NULL values, exact to the quantum."""
-    c = F.col(c) if isinstance(c, str) else c
-    return mean_of_quanta(quanta_sum(c, per_unit), F.count(c), per_unit)
-
-
-def exact_total(c: Column | str, per_unit: int) -> Column:
-    """Aggregate: sum of ``c`` exact to the quantum, as a double."""
-    return ratio(quanta_sum(c, per_unit), F.lit(per_unit))
-
-
 def python_round(c: Column | str, decimals: int) -> Column:
     """``round(x, decimals)`` as Python computes it on a float: half to even
     on the exact binary value (0.15 -> 0.1, 2.675 -> 2.67).  ``bround`` rounds

@@ -9,7 +9,7 @@ distributed prefix sum (``triplake.functions.ordered.running_totals``).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from triplake.config import next_month, parse_month
@@ -119,12 +119,14 @@ def yearly_distance_duration(month_gold: DataFrame) -> DataFrame:
     return yearly_stats(month_gold).select("year", "avg_distance", "avg_duration")
 
 
+def _weighted_fare() -> Column:
+    return mean_of_quanta(F.sum(quanta("avg_fare", 100) * F.col("trip_count")), F.sum("trip_count"), 100)
+
+
 def weighted_avg_fare(month_gold: DataFrame) -> DataFrame:
     """Trip-weighted overall average fare: sum(avg_fare * trips) / sum(trips)."""
     return month_gold.agg(
-        mean_of_quanta(
-            F.sum(quanta("avg_fare", 100) * F.col("trip_count")), F.sum("trip_count"), 100
-        ).alias("avg_fare_overall"),
+        _weighted_fare().alias("avg_fare_overall"),
         F.sum("trip_count").alias("trip_count"),
     )
 
@@ -192,40 +194,44 @@ def month_extremes(month_gold: DataFrame) -> DataFrame:
     )
 
 
-def cell_extremes(time_gold: DataFrame) -> DataFrame:
-    """Busiest and quietest hour x weekday cells, and the busiest hour of
-    weekdays and of weekends (hour totals).  Ties go to the first cell in
-    (day_of_week, hour) order, the first hour respectively."""
-    cell_key = F.col("pickup_day_of_week") * 24 + F.col("pickup_hour")
+_CELL_METRICS = ("busiest", "quietest", "weekday_peak_hour", "weekend_peak_hour")
+
+
+def _cell_figures(time_gold: DataFrame) -> DataFrame:
+    """One row with a struct per cell metric, in one aggregation.  The hour
+    totals come from a window over (hour, weekend): at most 48 groups of at
+    most 5 cells."""
+    hour_cells = Window.partitionBy("pickup_hour", is_weekend("pickup_day_of_week"))
+    cells = time_gold.withColumns(
+        {
+            "cell_key": F.col("pickup_day_of_week") * 24 + F.col("pickup_hour"),
+            "hour_trips": F.sum("trip_count").over(hour_cells),
+        }
+    )
     fields = ["pickup_hour", "pickup_day_of_week", "trip_count"]
-    cells = time_gold.withColumn("cell_key", cell_key).agg(
+    peak = F.struct(
+        F.col("pickup_hour"), F.lit(None).cast("int").alias("pickup_day_of_week"), F.col("hour_trips").alias("trip_count")
+    )
+    rank = F.struct(F.col("hour_trips"), -F.col("pickup_hour"))
+    weekend = is_weekend("pickup_day_of_week")
+    return cells.agg(
         argmax_row(fields, "trip_count", "cell_key").alias("busiest"),
         argmin_row(fields, "trip_count", "cell_key").alias("quietest"),
+        F.max_by(peak, F.when(~weekend, rank)).alias("weekday_peak_hour"),
+        F.max_by(peak, F.when(weekend, rank)).alias("weekend_peak_hour"),
     )
-    hours = weekday_weekend_by_hour(time_gold).groupBy("is_weekend").agg(
-        argmax_row(["pickup_hour", "trip_count"], "trip_count", "pickup_hour").alias("peak")
-    )
-    rows = [
-        cells.select(
-            F.lit(name).alias("metric"),
-            F.col(f"{name}.pickup_hour").alias("pickup_hour"),
-            F.col(f"{name}.pickup_day_of_week").alias("pickup_day_of_week"),
-            F.col(f"{name}.trip_count").alias("trip_count"),
-        )
-        for name in ("busiest", "quietest")
-    ]
-    rows.append(
-        hours.select(
-            F.when(F.col("is_weekend"), "weekend_peak_hour").otherwise("weekday_peak_hour").alias("metric"),
-            F.col("peak.pickup_hour").alias("pickup_hour"),
-            F.lit(None).cast("int").alias("pickup_day_of_week"),
-            F.col("peak.trip_count").alias("trip_count"),
-        )
+
+
+def cell_extremes(time_gold: DataFrame) -> DataFrame:
+    """Busiest and quietest hour x weekday cells, and the busiest hour of
+    weekdays and of weekends (hour totals).  Ties go to the first cell in
+    (day_of_week, hour) order, the first hour respectively.  A peak hour
+    without cells has no row."""
+    entries = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("row")) for m in _CELL_METRICS])
+    long = _cell_figures(time_gold).select(F.explode(entries).alias("m")).where(
+        F.col("m.row").isNotNull() | F.col("m.metric").isin("busiest", "quietest")
     )
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out.withColumns(
+    return long.select("m.metric", "m.row.pickup_hour", "m.row.pickup_day_of_week", "m.row.trip_count").withColumns(
         {"hour_label": hour_label("pickup_hour"), "day_name": day_name("pickup_day_of_week")}
     )
 
@@ -249,32 +255,45 @@ def recovery(
     """
     if materialize_input:
         month_gold = materialize(month_gold)
-    g = month_gold.withColumn("month_key", month_key("pickup_year", "pickup_month"))
-    stats = g.agg(
-        F.max(F.when(F.col("pickup_year") < pre_period_end_year, F.col("trip_count"))).alias("pre_peak"),
-        argmin_row(["month_key", "trip_count"], "trip_count", "month_key").alias("t"),
-    )
+    stats = _keyed(month_gold).agg(*_recovery_stats(pre_period_end_year))
     # one scalar subquery (referenced twice, planned once) carries both bounds
-    bounds = stats.select(F.struct(F.col("pre_peak"), F.col("t.month_key").alias("trough_key"))).scalar()
-    recovered = g.where(
-        (F.col("month_key") > bounds["trough_key"]) & (F.col("trip_count") >= bounds["pre_peak"] * F.lit(share))
-    ).agg(F.min("month_key").alias("k")).scalar()
-    trough = stats
+    bounds = stats.select(F.struct("pre_peak", "trough")).scalar()
+    recovered = _recovery_key(month_gold, bounds, share)
+    return stats.select(*_recovery_columns(F.col("pre_peak"), F.col("trough"), recovered, share))
+
+
+def _keyed(month_gold: DataFrame) -> DataFrame:
+    return month_gold.withColumn("month_key", month_key("pickup_year", "pickup_month"))
+
+
+def _recovery_stats(pre_period_end_year: int) -> list[Column]:
+    """Aggregates over keyed months: pre-period peak and trough."""
+    return [
+        F.max(F.when(F.col("pickup_year") < pre_period_end_year, F.col("trip_count"))).alias("pre_peak"),
+        argmin_row([*_MONTH_FIELDS, "month_key"], "trip_count", "month_key").alias("trough"),
+    ]
+
 
+def _recovery_key(month_gold: DataFrame, stats: Column, share: float) -> Column:
+    """First month after the trough that reaches the share (scalar subquery)."""
+    later = (F.col("month_key") > stats["trough"]["month_key"]) & (F.col("trip_count") >= stats["pre_peak"] * F.lit(share))
+    return _keyed(month_gold).where(later).agg(F.min("month_key")).scalar()
+
+
+def _recovery_columns(pre_peak: Column, trough: Column, recovered: Column, share: float) -> list[Column]:
     def label(key: Column) -> Column:
         return long_month_label(F.make_date(F.floor(key / 12).cast("int"), (key % 12 + 1).cast("int"), F.lit(1)))
 
-    return trough.select(
-        F.col("pre_peak"),
-        (F.col("pre_peak") * F.lit(share)).alias("threshold"),
-        label(F.col("t.month_key")).alias("trough_label"),
-        F.col("t.trip_count").alias("trough_trips"),
-        python_round((1 - ratio(F.col("t.trip_count"), F.col("pre_peak"))) * 100, 0).cast("long").alias(
-            "trough_drop_pct"
-        ),
+    drop = python_round((1 - ratio(trough["trip_count"], pre_peak)) * 100, 0).cast("long")
+    return [
+        pre_peak.alias("pre_peak"),
+        (pre_peak * F.lit(share)).alias("threshold"),
+        label(trough["month_key"]).alias("trough_label"),
+        trough["trip_count"].alias("trough_trips"),
+        drop.alias("trough_drop_pct"),
         label(recovered).alias("recovery_label"),
         F.coalesce(label(recovered), F.lit("Not yet recovered")).alias("recovery_text"),
-    )
+    ]
 
 
 def first_latest_change(month_gold: DataFrame) -> DataFrame:
@@ -305,6 +324,10 @@ def first_latest_change(month_gold: DataFrame) -> DataFrame:
     )
 
 
+_RECOVERY_FIELDS = (
+    "pre_peak", "threshold", "trough_label", "trough_trips", "trough_drop_pct", "recovery_label", "recovery_text",
+)
+
 # Insight categories and metric labels of the report.
 INSIGHT_ROWS = (
     ("Volume", "Peak month"),
@@ -329,34 +352,34 @@ def insights(
 ) -> DataFrame:
     """The report's key-insight table: ``(category, metric, value)``, ten rows.
 
-    Every figure is a field of one of five scalar subqueries over the
-    analytics above, so the result needs no join and no driver round trip.
+    Every figure is a field of one of four scalar subqueries, so the result
+    needs no join and no driver round trip.
     The gold inputs are read by every subquery: unless they are stored
     tables already (``materialize_inputs=False``) they are written once to
     the shared checkpoint folder first, as two concurrent jobs.
     """
     if materialize_inputs:
         month_gold, time_gold = materialize_all(month_gold, time_gold)
-    ext = month_extremes(month_gold)
-    rec = recovery(month_gold, pre_period_end_year, share, materialize_input=False)
-    fare = weighted_avg_fare(month_gold)
-    cells = cell_extremes(time_gold)
+    # All plain figures of the month table in one aggregation; the recovery
+    # month needs them; the yearly means and the cells are one each.
+    months = _keyed(month_gold).agg(
+        argmax_row(_MONTH_FIELDS, "trip_count", "month_key").alias("peak"),
+        argmax_row(_MONTH_FIELDS, "total_revenue", "month_key").alias("best"),
+        *_recovery_stats(pre_period_end_year),
+        _weighted_fare().alias("avg_fare_overall"),
+    )
     change = first_latest_change(month_gold)
+    m = months.select(F.struct(*months.columns)).scalar()
+    c = change.select(F.struct(*change.columns)).scalar()
+    cells = _cell_figures(time_gold).select(F.struct(*_CELL_METRICS)).scalar()
+    recovered = _recovery_key(month_gold, m, share)
+    figures = {x: v for x, v in zip(_RECOVERY_FIELDS, _recovery_columns(m["pre_peak"], m["trough"], recovered, share))}
 
-    # One scalar subquery per analytic frame; the figures below read fields of
-    # these five subqueries.  One-row frames come back as a struct; the
-    # extremes frames (one row per metric: 3 and 4 rows) as a map from the
-    # metric name to its row.
-    def row(df: DataFrame) -> Column:
-        return df.select(F.struct(*df.columns)).scalar()
-
-    def by_metric(df: DataFrame, *metrics: str) -> list[Column]:
-        rows = df.select(F.map_from_entries(F.collect_list(F.struct("metric", F.struct(*df.columns))))).scalar()
-        return [rows[m] for m in metrics]
+    def label(row: Column) -> Column:
+        return long_month_label(F.make_date(row["pickup_year"], row["pickup_month"], F.lit(1)))
 
-    peak, trough, best = by_metric(ext, "peak", "trough", "best_revenue")
-    weekday, weekend, quiet = by_metric(cells, "weekday_peak_hour", "weekend_peak_hour", "quietest")
-    r, f, c = row(rec), row(fare), row(change)
+    peak, trough, best = m["peak"], m["trough"], m["best"]
+    weekday, weekend, quiet = cells["weekday_peak_hour"], cells["weekend_peak_hour"], cells["quietest"]
 
     def money0(v: Column) -> Column:
         return F.concat(F.lit("$"), F.format_number(v, 0))
@@ -366,13 +389,13 @@ def insights(
 
     pct = c["fare_change_pct"]
     values = [
-        F.concat(peak["period_label"], F.lit(" — "), F.format_number(peak["trip_count"], 0), F.lit(" trips")),
-        F.concat(trough["period_label"], F.lit(" — "), F.format_number(trough["trip_count"], 0),
-                 F.lit(" trips (−"), r["trough_drop_pct"].cast("string"), F.lit("% vs pre-COVID peak)")),
-        F.concat(r["recovery_text"], F.lit(" (≥"), F.lit(str(round(share * 100))),
+        F.concat(label(peak), F.lit(" — "), F.format_number(peak["trip_count"], 0), F.lit(" trips")),
+        F.concat(label(trough), F.lit(" — "), F.format_number(trough["trip_count"], 0),
+                 F.lit(" trips (−"), figures["trough_drop_pct"].cast("string"), F.lit("% vs pre-COVID peak)")),
+        F.concat(figures["recovery_text"], F.lit(" (≥"), F.lit(str(round(share * 100))),
                  F.lit("% of pre-COVID peak)")),
-        F.concat(best["period_label"], F.lit(" — "), money0(best["total_revenue"])),
-        money2(f["avg_fare_overall"]),
+        F.concat(label(best), F.lit(" — "), money0(best["total_revenue"])),
+        money2(m["avg_fare_overall"]),
         hour_label(weekday["pickup_hour"]),
         hour_label(weekend["pickup_hour"]),
         F.concat(hour_label(quiet["pickup_hour"]), F.lit(" on "), day_name(quiet["pickup_day_of_week"])),

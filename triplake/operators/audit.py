@@ -46,6 +46,15 @@ def retention(bronze: DataFrame, silver: DataFrame) -> DataFrame:
     )
 
 
+def retention_of(report: DataFrame) -> DataFrame:
+    """The same from a rule report (one row), whose counts come from one pass."""
+    return report.select(
+        "bronze_rows",
+        "silver_rows",
+        numpy_round(ratio(F.col("silver_rows"), F.col("bronze_rows")) * 100, 1).alias("retention_pct"),
+    )
+
+
 def load_validation(bronze: DataFrame) -> DataFrame:
     """Row count, earliest/latest pickup and the exact number of distinct pickup months."""
     return bronze.agg(

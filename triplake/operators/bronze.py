@@ -4,17 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructType, TimestampNTZType, TimestampType
 
 from triplake.contracts import INGESTED_AT, RAW_SCHEMA, SOURCE, SOURCE_NAME
 
 
+def utc_wall_clock(instant: Column) -> Column:
+    """The UTC wall-clock time of an instant.  A plain cast would use the
+    session's time zone."""
+    seconds = F.unix_micros(instant).cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(7,0)")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return epoch + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+
+
 def contract_columns(df: DataFrame, schema: StructType = RAW_SCHEMA, safe: bool = False) -> list[Column]:
     """One typed column per contract field.
 
     Names match case-insensitively (``airport_fee`` feeds ``Airport_fee``);
     a field missing from ``df`` becomes a typed NULL.  ``safe=True`` uses
     ``try_cast`` so malformed values turn into NULL instead of failing the job.
+    A zoned instant becomes its UTC wall-clock time, whatever zone the session
+    has.
     """
     by_lower = {c.lower(): c for c in df.columns}
     cols = []
@@ -24,6 +34,8 @@ def contract_columns(df: DataFrame, schema: StructType = RAW_SCHEMA, safe: bool
             cols.append(F.lit(None).cast(field.dataType).alias(field.name))
         else:
             c = F.col(f"`{src}`")
+            if isinstance(df.schema[src].dataType, TimestampType) and isinstance(field.dataType, TimestampNTZType):
+                c = utc_wall_clock(c)
             cols.append((c.try_cast(field.dataType) if safe else c.cast(field.dataType)).alias(field.name))
     return cols
 

@@ -1,29 +1,46 @@
 """End to end: raw files -> bronze -> silver -> gold, with a run report.
 
-Layers hand over through written tables (lineage is cut at every layer, so a
-lost executor only recomputes its own layer).  Row counts come from
-``Observation`` on the write jobs themselves: no extra scans.
+Layers hand over through published tables (``triplake.plans.publish``): a
+layer that fails leaves the published one as it was, and a lost executor
+recomputes its own layer only.  Row counts come from ``Observation`` on the
+write jobs themselves: no extra scans.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from itertools import islice
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from triplake.config import GoldOptions, Lake, QualityRules
 from triplake.contracts import GOLD_TABLES, PICKUP, RAW_FILE_GLOB, SILVER_PARTITION_COLUMNS
 from triplake.operators.bronze import bronze as to_bronze
-from triplake.operators.gold import GOLD_BUILDERS
+from triplake.operators.gold import GOLD_FINISHERS, additive_cells
 from triplake.operators.silver import silver as to_silver
-from triplake.plans.sinks import read_table, write_table
+from triplake.plans.materialize import materialize
+from triplake.plans.publish import (
+    data_path,
+    names_path,
+    new_folder,
+    publications,
+    publish,
+    read_published,
+    write_counted,
+    write_published,
+)
 from triplake.sources.files import list_files, require_files
 from triplake.sources.parquet import read_declared, read_reconciled
 
+# Raw files whose schemas are reconciled together; their paths are on the
+# driver while they are read.
+FILES_PER_BATCH = 1000
+
 
 @dataclass
 class RunReport:
@@ -41,41 +58,46 @@ class RunReport:
         return not self.failed and set(self.gold_rows) == set(GOLD_TABLES)
 
 
-def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+def _batches(paths: Iterator[str], size: int) -> Iterator[list[str]]:
+    while batch := list(islice(paths, size)):
+        yield batch
+
 
+def write_bronze(spark: SparkSession, raw: str | DataFrame, lake: Lake, reconcile: bool = True,
+                 glob: str = RAW_FILE_GLOB, files_per_batch: int = FILES_PER_BATCH) -> int:
+    """Rebuild bronze from a landing folder (or raw rows); supersedes what
+    increments have added.
 
-def write_bronze(spark: SparkSession, raw: str | DataFrame, lake: Lake, reconcile: bool = False,
-                 glob: str = RAW_FILE_GLOB) -> int:
-    if isinstance(raw, str):
-        require_files(spark, raw, glob)
-        raw = read_reconciled(spark, raw, glob=glob) if reconcile else read_declared(spark, raw, glob=glob)
-    df, obs = _counted(to_bronze(raw), "bronze")
-    write_table(df, lake.bronze(), lake.fmt)
-    return int(obs.get["rows"])
+    With ``reconcile`` (the default) files may differ in physical schema.
+    They are read ``files_per_batch`` at a time into one unpublished folder,
+    so the driver never holds more paths than that; the folder is published
+    when all are in.
+    """
+    if not isinstance(raw, str):
+        return write_published(to_bronze(raw), lake.bronze(), lake.fmt)
+    listing = require_files(spark, raw, glob).select("path", "name")
+    if not reconcile:
+        return write_published(to_bronze(read_declared(spark, raw, glob=glob)), lake.bronze(), lake.fmt, names=listing)
+    folder, rows = new_folder(), 0
+    target = data_path(lake.bronze(), folder)
+    paths = (r["path"] for r in listing.select("path").orderBy("path").toLocalIterator())
+    for batch in _batches(paths, files_per_batch):
+        rows += write_counted(to_bronze(read_reconciled(spark, batch)), target, lake.fmt, mode="append")
+    listing.select("name").distinct().write.parquet(names_path(lake.bronze(), folder))
+    publish(spark, lake.bronze(), folder, "replace", rows, named=True)
+    return rows
 
 
 # Bytes of stored bronze per task of the clustered silver shuffle (and so,
 # roughly, per written silver file).
-CLUSTER_BYTES_PER_TASK = 256 * 1024 * 1024
-
-
-def range_partitions(source_bytes: int, bytes_per_task: int, session_default: int) -> int | None:
-    """Partition count for a range shuffle of ``source_bytes``: ``None``
-    (keep the session's count and let AQE merge small partitions) while that
-    count suffices, else one partition per ``bytes_per_task``.  AQE can merge
-    partitions but never split them, so a large input needs an explicit
-    count: 100 TB at 256 MB per task is 409,600 partitions, not 200."""
-    needed = math.ceil(source_bytes / bytes_per_task)
-    return needed if needed > session_default else None
+CLUSTER_BYTES_PER_TASK = 128 * 1024 * 1024
 
 
-def _session_shuffle_partitions(spark: SparkSession) -> int:
-    try:
-        return int(spark.conf.get("spark.sql.shuffle.partitions"))
-    except (TypeError, ValueError):
-        return 0
+def range_partitions(source_bytes: int, bytes_per_task: int) -> int:
+    """Partitions of a range shuffle of ``source_bytes``.  AQE can merge
+    partitions but never split them, so the count follows the bytes at every
+    size: 100 TB at 128 MB per task is 819,200 partitions, not 200."""
+    return max(1, math.ceil(source_bytes / bytes_per_task))
 
 
 def write_silver(spark: SparkSession, lake: Lake, rules: QualityRules = QualityRules(),
@@ -92,33 +114,30 @@ def write_silver(spark: SparkSession, lake: Lake, rules: QualityRules = QualityR
     partitions follows the stored bronze size (file listing only, see
     ``range_partitions``).
     """
-    df = to_silver(read_table(spark, lake.bronze(), lake.fmt), rules, duration_scale)
+    df = to_silver(read_layer(spark, lake, "bronze"), rules, duration_scale)
     if cluster:
         keys = [*SILVER_PARTITION_COLUMNS, PICKUP, "_row"]
-        source_bytes = list_files(spark, lake.bronze(), "*").agg(F.sum("length")).first()[0] or 0
-        n = range_partitions(source_bytes, cluster_bytes_per_task, _session_shuffle_partitions(spark))
-        df = df.withColumn("_row", F.monotonically_increasing_id())
-        df = (df.repartitionByRange(n, *keys) if n else df.repartitionByRange(*keys)).drop("_row")
-    df, obs = _counted(df, "silver")
-    write_table(df, lake.silver(), lake.fmt, partition_by=SILVER_PARTITION_COLUMNS)
-    return int(obs.get["rows"])
+        stored = [data_path(lake.bronze(), r["folder"]) for r in publications(spark, lake.bronze())]
+        source_bytes = sum(list_files(spark, d, "*").agg(F.sum("length")).first()[0] or 0 for d in stored)
+        n = range_partitions(source_bytes, cluster_bytes_per_task)
+        df = df.withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(n, *keys).drop("_row")
+    return write_published(df, lake.silver(), lake.fmt, SILVER_PARTITION_COLUMNS)
 
 
 def write_gold(spark: SparkSession, lake: Lake, opts: GoldOptions = GoldOptions(),
                tables: tuple[str, ...] = GOLD_TABLES) -> tuple[dict[str, int], dict[str, str]]:
-    """Build each gold table from silver; one failure does not stop the others.
+    """Build the gold tables from one scan of silver; one failure does not
+    stop the others.
 
-    The tables are independent jobs over the same silver table, so they are
-    submitted together from driver threads: while one job is in its small
-    final aggregation stage the scheduler keeps the executors busy with the
-    scans of the others.  The threads inherit the caller's job group and tags.
+    The additive measures of all tables come from a single grouping-sets
+    aggregation, whose few rows are written once.  Each table is finished
+    from those rows by its own job; the jobs are submitted together from
+    driver threads that inherit the caller's job group and tags.
     """
-    silver = read_table(spark, lake.silver(), lake.fmt)
+    cells = materialize(additive_cells(read_layer(spark, lake, "silver"), tables), "gold-cells")
 
     def build(name: str) -> int:
-        df, obs = _counted(GOLD_BUILDERS[name](silver, opts), name)
-        write_table(df, lake.gold(name), lake.fmt)
-        return int(obs.get["rows"])
+        return write_published(GOLD_FINISHERS[name](cells, opts), lake.gold(name), lake.fmt)
 
     done: dict[str, int] = {}
     failed: dict[str, str] = {}
@@ -138,20 +157,26 @@ def run_pipeline(
     lake: Lake,
     rules: QualityRules = QualityRules(),
     gold_opts: GoldOptions = GoldOptions(),
-    reconcile: bool = False,
+    reconcile: bool = True,
     glob: str = RAW_FILE_GLOB,
     raise_on_failure: bool = True,
     cluster_silver: bool = False,
+    duration_scale: int | None = None,
+    cluster_bytes_per_task: int = CLUSTER_BYTES_PER_TASK,
 ) -> RunReport:
     """Run bronze, silver and gold; raise at the end if any gold table failed.
 
     ``cluster_silver`` range-partitions silver by pickup time before the
     partitioned write; use it when raw files are not already one month each.
+    ``duration_scale`` rounds silver's duration to that many decimals, and
+    gold's means follow it.
     """
     report = RunReport()
     report.bronze_rows = write_bronze(spark, raw, lake, reconcile, glob)
-    report.silver_rows = write_silver(spark, lake, rules, cluster=cluster_silver)
-    report.gold_rows, report.failed = write_gold(spark, lake, gold_opts)
+    report.silver_rows = write_silver(
+        spark, lake, rules, duration_scale, cluster=cluster_silver, cluster_bytes_per_task=cluster_bytes_per_task
+    )
+    report.gold_rows, report.failed = write_gold(spark, lake, replace(gold_opts, duration_scale=duration_scale))
     if report.failed and raise_on_failure:
         raise RuntimeError(f"gold tables failed: {sorted(report.failed)}; report={report}")
     return report
@@ -160,7 +185,7 @@ def run_pipeline(
 def read_layer(spark: SparkSession, lake: Lake, layer: str, name: str | None = None) -> DataFrame:
     path = {"bronze": lake.bronze, "silver": lake.silver}.get(layer)
     if path is not None:
-        return read_table(spark, path(), lake.fmt)
+        return read_published(spark, path(), lake.fmt)
     if name is None:
         raise ValueError("gold tables need a name")
-    return read_table(spark, lake.gold(name), lake.fmt)
+    return read_published(spark, lake.gold(name), lake.fmt)

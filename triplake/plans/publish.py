@@ -1,0 +1,135 @@
+"""Published tables: every write goes to a fresh folder, a manifest switches.
+
+Layout of a table at ``path``::
+
+    path/<folder>/data/...     rows of one write (partitioned if asked for)
+    path/<folder>/names/...    names of the raw files in it, if it has any
+    path/_manifest/...         one row per publication
+
+A write becomes visible when its manifest row is committed, which is the last
+thing it does.  A failed or repeated write leaves an unlisted folder and the
+published rows as they were; ``vacuum`` removes such folders.  A ``replace``
+supersedes all earlier publications, an ``append`` adds to them, so full
+rebuilds and increments share one table.  One writer per table at a time.
+"""
+
+from __future__ import annotations
+
+import uuid
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import functions as F
+
+MANIFEST_SCHEMA = "version long, kind string, folder string, rows long, named boolean, published timestamp"
+
+
+def _manifest(path: str) -> str:
+    return f"{path.rstrip('/')}/_manifest"
+
+
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop's file system and path object (driver side)."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), root
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, root = _file_system(spark, path)
+    return fs.exists(root)
+
+
+def new_folder() -> str:
+    return f"w-{uuid.uuid4().hex}"
+
+
+def data_path(path: str, folder: str) -> str:
+    return f"{path.rstrip('/')}/{folder}/data"
+
+
+def names_path(path: str, folder: str) -> str:
+    return f"{path.rstrip('/')}/{folder}/names"
+
+
+def publications(spark: SparkSession, path: str) -> list[Row]:
+    """The live publications in order: the last replacement and what was
+    appended since (one row per write, none if nothing is published)."""
+    if not _exists(spark, _manifest(path)):
+        return []
+    manifest = spark.read.schema(MANIFEST_SCHEMA).parquet(_manifest(path))
+    since = manifest.where("kind = 'replace'").agg(F.coalesce(F.max("version"), F.lit(0))).scalar()
+    return manifest.where(F.col("version") >= since).orderBy("version").collect()
+
+
+def publish(spark: SparkSession, path: str, folder: str, kind: str, rows: int, named: bool = False) -> int:
+    """Makes a written folder visible; returns its version."""
+    if kind not in ("replace", "append"):
+        raise ValueError(f"kind {kind!r} is neither replace nor append")
+    last = 0
+    if _exists(spark, _manifest(path)):
+        last = spark.read.schema(MANIFEST_SCHEMA).parquet(_manifest(path)).agg(F.max("version")).first()[0] or 0
+    row = spark.range(1).select(
+        F.lit(last + 1).cast("long").alias("version"),
+        F.lit(kind).alias("kind"),
+        F.lit(folder).alias("folder"),
+        F.lit(rows).cast("long").alias("rows"),
+        F.lit(named).alias("named"),
+        F.current_timestamp().alias("published"),
+    )
+    row.coalesce(1).write.mode("append").parquet(_manifest(path))
+    return last + 1
+
+
+def write_counted(df: DataFrame, target: str, fmt: str = "parquet", partition_by: Sequence[str] | None = None, mode: str = "errorifexists") -> int:
+    """Writes rows and returns their number, counted by the write itself."""
+    seen = Observation()
+    w = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode(mode)
+    (w.partitionBy(*partition_by) if partition_by else w).save(target)
+    return int(seen.get["rows"])
+
+
+def write_published(
+    df: DataFrame,
+    path: str,
+    fmt: str = "parquet",
+    partition_by: Sequence[str] | None = None,
+    kind: str = "replace",
+    names: DataFrame | None = None,
+) -> int:
+    """Writes ``df`` to a fresh folder of the table and publishes it; returns
+    the number of rows.  ``names`` (name) lists the raw files it holds."""
+    spark, folder = df.sparkSession, new_folder()
+    rows = write_counted(df, data_path(path, folder), fmt, partition_by)
+    if names is not None:
+        names.select("name").distinct().write.parquet(names_path(path, folder))
+    publish(spark, path, folder, kind, rows, names is not None)
+    return rows
+
+
+def read_published(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """The published rows of a table."""
+    live = publications(spark, path)
+    if not live:
+        raise FileNotFoundError(f"nothing is published at {path}")
+    return spark.read.format(fmt).load([data_path(path, r["folder"]) for r in live])
+
+
+def published_files(spark: SparkSession, path: str) -> DataFrame | None:
+    """(name) of the raw files whose rows are published; None without any."""
+    live = [names_path(path, r["folder"]) for r in publications(spark, path) if r["named"]]
+    return spark.read.schema("name string").parquet(*live).distinct() if live else None
+
+
+def vacuum(spark: SparkSession, path: str) -> list[str]:
+    """Deletes the folders of a table that are not published; returns them.
+    Run it when no reader or writer uses the table."""
+    live = {r["folder"] for r in publications(spark, path)}
+    fs, root = _file_system(spark, path)
+    gone = []
+    if fs.exists(root):
+        for status in fs.listStatus(root):
+            name = status.getPath().getName()
+            if name.startswith("w-") and name not in live:
+                fs.delete(status.getPath(), True)
+                gone.append(name)
+    return sorted(gone)

@@ -1,19 +1,16 @@
-"""Table sinks and readers for the lake layers.
+"""Plain and managed table sinks, namespaces and catalog checks.
 
-Path-based Parquet tables by default (``fmt`` is a parameter, so a table
-format with its jars on the classpath can be swapped in).  Overwrites must
-never target their own input: every layer reads the previous layer's path.
+The lake's layers use published tables (``triplake.plans.publish``); the
+functions here write a folder or a catalog table directly.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-BATCH_COLUMN = "ingest_batch"
-
 
 def write_table(
     df: DataFrame,
@@ -21,27 +18,29 @@ def write_table(
     fmt: str = "parquet",
     mode: str = "overwrite",
     partition_by: Sequence[str] | None = None,
-    max_records_per_file: int | None = None,
 ) -> None:
     """Write ``df`` to ``path`` (full overwrite replaces data and schema)."""
     w = df.write.format(fmt).mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    if max_records_per_file:
-        w = w.option("maxRecordsPerFile", max_records_per_file)
     w.save(path)
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Read a layer table; ingestion-batch folders (incremental bronze) are
-    folded back into one table."""
-    df = spark.read.format(fmt).load(path)
-    return df.drop(BATCH_COLUMN) if BATCH_COLUMN in df.columns else df
+    """Read a folder written by ``write_table``."""
+    return spark.read.format(fmt).load(path)
+
+
+def _quoted(name: str) -> str:
+    """A name of one or more levels, each level quoted."""
+    return ".".join(f"`{part.strip('`')}`" for part in name.split("."))
 
 
-def ensure_namespace(spark: SparkSession, name: str) -> None:
-    """``CREATE SCHEMA IF NOT EXISTS`` for managed tables."""
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{name}`")
+def ensure_namespace(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """``CREATE SCHEMA IF NOT EXISTS``; ``name`` may carry its catalog
+    (``catalog.schema``), ``location`` is the folder of its managed tables."""
+    at = " LOCATION '{}'".format(location.replace("'", "\\'")) if location else ""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {_quoted(name)}{at}")
 
 
 def namespace_exists(spark: SparkSession, name: str) -> bool:
@@ -52,11 +51,25 @@ def catalogs(spark: SparkSession) -> list[str]:
     return [c.name for c in spark.catalog.listCatalogs()]
 
 
+def require_tables(spark: SparkSession, names: Iterable[str]) -> None:
+    """Stop the step, naming every table that is not in the catalog."""
+    missing = [n for n in names if not spark.catalog.tableExists(n)]
+    if missing:
+        raise LookupError(f"tables not found: {', '.join(missing)}")
+
+
 def create_table(spark: SparkSession, name: str, schema: StructType, fmt: str = "parquet",
                  replace: bool = True) -> None:
-    """Create (or replace) an empty managed table with declared columns."""
-    if replace:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    """Create an empty managed table with declared columns.  ``replace`` drops
+    an older one first; it is dropped only once the new definition has been
+    accepted under a temporary name."""
+    if replace and spark.catalog.tableExists(name):
+        trial = f"{name}__new"
+        spark.sql(f"DROP TABLE IF EXISTS {_quoted(trial)}")
+        spark.catalog.createTable(trial, source=fmt, schema=schema)
+        spark.sql(f"DROP TABLE {_quoted(name)}")
+        spark.sql(f"ALTER TABLE {_quoted(trial)} RENAME TO {_quoted(name)}")
+        return
     spark.catalog.createTable(name, source=fmt, schema=schema)
 
 

@@ -14,6 +14,10 @@ Adapter E (``events``): one January of trips with varied hours and weekdays.
   k = (event_id * 37 + user_id * 11) mod 100, a cheap per-row pseudo-random
   digit pair (id arithmetic only: the quality filter is pushed below this
   projection and repeats it per rule, so it must stay cheap).
+  So that every rule has rows that fail it, id arithmetic also gives: no
+  pickup (event_id mod 97 = 13), a negative distance (mod 89 = 7), a pickup
+  2,190 days earlier (mod 83 = 5) and a trip of half a second, which has no
+  speed (mod 79 = 3).
 
 Adapter L (``lineitem``): seven years of trips for monthly/yearly analytics.
   pickup = l_shipdate; dropoff = pickup + l_quantity * l_linenumber * 3 minutes;
@@ -51,14 +55,19 @@ def events_trips(events: DataFrame) -> DataFrame:
     no_dropoff = (F.col("event_type") == "error") & (k % 10 == 0)
     no_zone = (F.col("event_type") == "signup") & (k % 10 == 0)
     party = k % 12
+
+    def every(n: int, rest: int):
+        return F.col("event_id") % n == rest
+
+    start = F.when(every(83, 5), F.timestamp_add("DAY", F.lit(-2190), F.col("ts"))).otherwise(F.col("ts"))
+    start = F.when(every(79, 3), F.date_trunc("second", start).cast("timestamp_ntz")).otherwise(start)
+    end = F.when(every(79, 3), F.timestamp_add("MILLISECOND", F.lit(500), start)).otherwise(F.timestamp_add("SECOND", secs, start))
     trips = events.select(
         (F.col("event_id") % 2 + 1).alias("VendorID"),
-        F.col("ts").alias("tpep_pickup_datetime"),
-        F.when(no_dropoff, F.lit(None)).otherwise(F.timestamp_add("SECOND", secs, F.col("ts"))).alias(
-            "tpep_dropoff_datetime"
-        ),
+        F.when(~every(97, 13), start).alias("tpep_pickup_datetime"),
+        F.when(~no_dropoff, end).alias("tpep_dropoff_datetime"),
         F.when(party == 11, F.lit(None)).otherwise(party).cast("double").alias("passenger_count"),
-        value.alias("trip_distance"),
+        F.when(every(89, 7), -value).otherwise(value).alias("trip_distance"),
         F.lit(1.0).alias("RatecodeID"),
         F.lit("N").alias("store_and_fwd_flag"),
         F.when(no_zone, F.lit(None)).otherwise(F.col("user_id")).alias("PULocationID"),

@@ -9,7 +9,11 @@ example passenger counts stored as INT64 in one year and DOUBLE in another).
 executors (pyarrow, one small read per file), files are grouped by their
 physical schema, each group is read once with its own schema and cast to the
 contract, and the groups are unioned.  The number of scans equals the number
-of distinct schemas, not the number of files.
+of distinct schemas, not the number of files.  Footers are read through
+pyarrow's file systems (file, hdfs, s3/s3a, gs, abfs) with their own
+credentials.  A large folder is read in batches of files
+(``plans.pipeline.write_bronze``, ``streaming.incremental.ingest``), which
+bounds the paths on the driver.
 """
 
 from __future__ import annotations
@@ -54,7 +58,10 @@ def footer_signatures(listing: DataFrame) -> DataFrame:
             parsed = urlparse(uri)
             if parsed.scheme in ("", "file"):
                 return pq.read_schema(unquote(parsed.path))
-            filesystem, path = fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+            try:
+                filesystem, path = fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+            except Exception as e:
+                raise ValueError(f"footers are read through pyarrow (file, hdfs, s3, s3a, gs, abfs), not from {uri}") from e
             with filesystem.open_input_file(path) as f:
                 return pq.read_schema(f)
 

@@ -1,141 +1,98 @@
 """Load only raw files not seen before, safely re-runnable.
 
-Both entry points are Structured Streaming queries run with
-``trigger(availableNow=True)``: each run processes every file that landed
-since the last run and stops.  The file source records the files it has
-taken in the query checkpoint (keep it in the shared checkpoint folder), so
-a repeated run adds nothing and a new file adds only its rows.
-
-* ``ingest_stream`` - files share the declared schema: rows stream straight
-  into the bronze Parquet sink, whose commit log makes the output
-  exactly-once.
-* ``ingest_reconciled`` - file schemas drift: only the file *listing* is
-  streamed (no contents); each micro-batch reads its files with
-  ``read_reconciled`` and overwrites its own ``ingest_batch=<epoch>`` folder
-  of bronze, so a replayed epoch rewrites instead of duplicating.  At most
-  ``max_files_per_trigger`` paths reach the driver per micro-batch.
+A Structured Streaming query over the *listing* of the landing folder, run
+with ``trigger(availableNow=True)``: each run takes the files that landed since
+the last one and stops.  A micro-batch of at most ``max_files_per_trigger``
+files drops those whose name is published already, writes the rows of the
+others to a fresh folder of the bronze table and publishes it together with
+their names (``triplake.plans.publish``).
+
+A file is known by its name, as in the reference's upload step: neither its
+path nor its time matters.  So a file that arrives late with an old time stamp
+is taken, a renamed landing folder or a new checkpoint adds nothing twice, and
+a batch that is replayed after a failure publishes nothing twice.  A full
+rebuild of bronze supersedes the increments before it.
 """
 
 from __future__ import annotations
 
-import threading
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQueryListener
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from triplake.contracts import RAW_FILE_GLOB, RAW_SCHEMA
 from triplake.operators.bronze import bronze
-from triplake.plans.sinks import BATCH_COLUMN
+from triplake.plans.publish import published_files, write_published
 from triplake.sources.parquet import read_reconciled
 
+_LISTING_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+# Files older than this behind the newest one would be skipped by the source:
+# its default of a week would lose late files.
+_ANY_AGE = "36500d"
 
-_BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
+@dataclass(frozen=True)
+class Added:
+    """What one run added."""
 
-class _InputRows(StreamingQueryListener):
-    """Sums ``numInputRows`` over every micro-batch of one query run.
+    files: int = 0
+    rows: int = 0
 
-    ``query.recentProgress`` keeps only the last few updates, so a catch-up
-    run with many micro-batches would be under-counted; the listener sees
-    all of them and signals when the query has terminated.
-    """
 
-    def __init__(self) -> None:
-        self.rows: dict[str, int] = {}
-        self.done: dict[str, threading.Event] = {}
-        self._lock = threading.Lock()
-
-    def _event(self, run_id: str) -> threading.Event:
-        with self._lock:
-            return self.done.setdefault(run_id, threading.Event())
-
-    def onQueryStarted(self, event) -> None:
-        self._event(str(event.runId))
-
-    def onQueryProgress(self, event) -> None:
-        run = str(event.progress.runId)
-        with self._lock:
-            self.rows[run] = self.rows.get(run, 0) + int(event.progress.numInputRows or 0)
-
-    def onQueryIdle(self, event) -> None:
-        pass
-
-    def onQueryTerminated(self, event) -> None:
-        self._event(str(event.runId)).set()
-
-
-def _run_counted(spark: SparkSession, start) -> int:
-    """Start a query with ``start()``, wait for it, return rows it read."""
-    listener = _InputRows()
-    spark.streams.addListener(listener)
-    try:
-        query = start()
-        query.awaitTermination()
-        listener._event(str(query.runId)).wait(timeout=60)
-        return listener.rows.get(str(query.runId), 0)
-    finally:
-        spark.streams.removeListener(listener)
-
-
-def ingest_stream(
-    spark: SparkSession,
-    raw_dir: str,
-    bronze_path: str,
-    checkpoint: str,
-    schema: StructType = RAW_SCHEMA,
-    glob: str = RAW_FILE_GLOB,
-    max_files_per_trigger: int | None = 1000,
-) -> int:
-    """Append the rows of unseen files to bronze; return rows added.
-
-    ``availableNow`` still takes every unseen file in one run, but in
-    micro-batches of at most ``max_files_per_trigger`` files, each committed
-    on its own: a first load of a large landing folder makes progress batch
-    by batch, and a restarted run resumes after the last committed batch.
-    """
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    writer = (
-        bronze(reader.parquet(raw_dir))
-        .writeStream.format("parquet")
-        .option("path", bronze_path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-    )
-    return _run_counted(spark, writer.start)
-
-
-def ingest_reconciled(
+def ingest(
     spark: SparkSession,
     raw_dir: str,
     bronze_path: str,
     checkpoint: str,
+    reconcile: bool = True,
     schema: StructType = RAW_SCHEMA,
     glob: str = RAW_FILE_GLOB,
     max_files_per_trigger: int = 1000,
-) -> int:
-    """Append unseen files whose schemas may differ; return files taken."""
+) -> Added:
+    """Publishes the rows of unseen files; ``reconcile`` allows files whose
+    physical schemas differ."""
     listing = (
         spark.readStream.format("binaryFile")
-        .schema(_BINARY_FILE_SCHEMA)
+        .schema(_LISTING_SCHEMA)
         .option("pathGlobFilter", glob)
         .option("maxFilesPerTrigger", max_files_per_trigger)
+        .option("maxFileAge", _ANY_AGE)
         .load(raw_dir)
-        .select("path")
+        .select("path", F.element_at(F.split("path", "/"), -1).alias("name"))
     )
-
-    def load_batch(batch: DataFrame, epoch_id: int) -> None:
-        paths = sorted(r.path for r in batch.collect())  # <= max_files_per_trigger
-        if not paths:
+    added: list[Added] = []
+
+    def load_batch(batch: DataFrame, _: int) -> None:
+        session = batch.sparkSession
+        files = batch.dropDuplicates(["name"])
+        known = published_files(session, bronze_path)
+        if known is not None:
+            files = files.join(known, "name", "left_anti")
+        taken = sorted((r.path, r.name) for r in files.collect())  # <= max_files_per_trigger
+        if not taken:
             return
-        rows = bronze(read_reconciled(batch.sparkSession, paths, schema, glob))
-        rows.write.mode("overwrite").parquet(f"{bronze_path.rstrip('/')}/{BATCH_COLUMN}={epoch_id}")
+        paths = [p for p, _ in taken]
+        raw = read_reconciled(session, paths, schema) if reconcile else session.read.schema(schema).parquet(*paths)
+        names = session.createDataFrame([(n,) for _, n in taken], "name string")
+        added.append(Added(len(taken), write_published(bronze(raw), bronze_path, kind="append", names=names)))
 
-    writer = (
+    query = (
         listing.writeStream.foreachBatch(load_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
+        .start()
     )
-    return _run_counted(spark, writer.start)
+    query.awaitTermination()
+    return Added(sum(a.files for a in added), sum(a.rows for a in added))
+
+
+def ingest_stream(spark: SparkSession, raw_dir: str, bronze_path: str, checkpoint: str, **options) -> Added:
+    """``ingest`` of files that share the declared schema."""
+    return ingest(spark, raw_dir, bronze_path, checkpoint, reconcile=False, **options)
+
+
+def ingest_reconciled(spark: SparkSession, raw_dir: str, bronze_path: str, checkpoint: str, **options) -> Added:
+    """``ingest`` of files whose physical schemas may differ."""
+    return ingest(spark, raw_dir, bronze_path, checkpoint, reconcile=True, **options)

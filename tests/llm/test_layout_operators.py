@@ -46,14 +46,14 @@ def test_encoder_equals_the_tokenizer(spark, monkeypatch):
     texts = ODD_TEXTS + [r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
     rng = random.Random(3)
     texts += ["".join(rng.choice("aB'stl vemrd ,.!é9\nß") for _ in range(40)) for _ in range(500)]
-    for limit in (tokens.CACHED_PIECES, 300):
-        monkeypatch.setattr(tokens, "CACHED_PIECES", limit)
+    for limit in (tokens.CACHED_WORDS, 300):
+        monkeypatch.setattr(tokens, "CACHED_WORDS", limit)
         enc = tokens.Encoder(tokens.vocabulary_path())
-        assert enc.by_piece
+        assert enc.by_word
         for text in texts:
             assert enc.encode(text).tolist() == t.encode(text, add_special_tokens=False).ids, text[:50]
     other = tokens.Encoder(tokens.vocabulary_path("byte_bpe_50k.json"))
-    assert not other.by_piece and len(other.encode("some text"))
+    assert not other.by_word and len(other.encode("some text"))
 
 
 # ---------------------------------------------------------------- token files

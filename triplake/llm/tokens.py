@@ -1,31 +1,34 @@
 """Token ids of whole texts with a public tokenizer, fast inside tasks.
 
 The ids are exactly those of ``Tokenizer.encode(text, add_special_tokens=
-False)``.  A text of plain Latin characters is split by the tokenizer's own
-pre-tokenizer pattern into pieces that encode independently, so a piece's ids
-are asked for once and then looked up.  Every other text (other scripts,
+False)``.  The tokenizer's pieces never span white space, so the words of a
+text of plain Latin characters encode independently, and so do the pieces of
+a word.  The ids of a piece are asked for once, many new pieces in one call;
+words and pieces are then looked up.  Every other text (other scripts,
 combining marks, control characters, special-token strings) goes through the
-tokenizer whole.  The piece table of a worker is emptied when it reaches
-``CACHED_PIECES``; this bounds memory and changes no result.
+tokenizer whole.  The tables of a worker are emptied when they reach
+``CACHED_WORDS``; this bounds memory and changes no result.
 """
 
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
-import regex
 
 #: Vocabulary file of the registered queries (a parameter everywhere else).
 WORD_BPE = "word_bpe_49k.json"
 
-CACHED_PIECES = 400_000
+CACHED_WORDS = 700_000
 
-# Fixed value: the pre-tokenizer pattern of the vocabulary file above.
-PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+# The pre-tokenizer pattern that the shortcut is for, as written
+# here for lower-cased plain Latin text, and its end in the vocabulary file.
+PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ž]+|[0-9]|[^a-zß-öø-ž0-9]+")
+WORD_PATTERN = '[^\\\\s\\\\p{L}\\\\p{N}]+"}'
 # Characters outside of which lower-casing, composition or classes may differ
 # between libraries: printable ASCII, white space, Latin letters with marks.
-UNUSUAL = regex.compile("[^\t-\r\x20-\x7eÀ-įı-ňŊ-ž]|<\\|")
+UNUSUAL = re.compile("[^\t-\r\x20-\x7eÀ-įı-ňŊ-ž]|<\\|")
 
 
 def vocabulary_path(name: str = WORD_BPE) -> str:
@@ -34,6 +37,38 @@ def vocabulary_path(name: str = WORD_BPE) -> str:
     return public_tokenizers.path(name)
 
 
+class Runs:
+    """Runs of ids by name: a growing table with a number for each name."""
+
+    def __init__(self) -> None:
+        self.number: dict[str, int] = {}
+        self.flat = np.zeros(1 << 16, np.uint32)
+        self.first = np.zeros(1 << 14, np.int64)
+        self.count = np.zeros(1 << 14, np.int64)
+        self.used = 0
+
+    def add(self, names: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
+        """Adds new names, whose runs stand one after the other in ``ids``."""
+        known = len(self.number)
+        while known + len(names) > len(self.first):
+            self.first = np.concatenate([self.first, np.zeros_like(self.first)])
+            self.count = np.concatenate([self.count, np.zeros_like(self.count)])
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.first[known : known + len(names)] = self.used + np.cumsum(counts) - counts
+        self.count[known : known + len(names)] = counts
+        self.used += len(ids)
+        self.number.update(zip(names, range(known, known + len(names))))
+
+    def of(self, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The runs of known names one after the other, and their lengths."""
+        at = np.fromiter(map(self.number.__getitem__, names), np.int64, len(names))
+        counts = self.count[at]
+        ends = np.cumsum(counts)
+        return self.flat[np.repeat(self.first[at] - (ends - counts), counts) + np.arange(ends[-1])], counts
+
+
 class Encoder:
     """Ids of texts as unsigned 32-bit arrays."""
 
@@ -43,48 +78,43 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        # The shortcut holds for the pattern it was written for.
-        self.by_piece = '[^\\\\s\\\\p{L}\\\\p{N}]+"}' in self.tokenizer.to_str() and "</w>" in self.tokenizer.to_str()
-        self._empty()
-
-    def _empty(self) -> None:
-        self.number: dict[str, int] = {}
-        self.flat = np.zeros(1 << 16, np.uint32)
-        self.first = np.zeros(1 << 14, np.int64)
-        self.count = np.zeros(1 << 14, np.int64)
-        self.used = 0
-
-    def _learn(self, pieces: list[str]) -> None:
-        for piece, e in zip(pieces, self.tokenizer.encode_batch(pieces, add_special_tokens=False)):
-            ids, k = e.ids, len(self.number)
-            if k == len(self.first):
-                self.first = np.concatenate([self.first, np.zeros_like(self.first)])
-                self.count = np.concatenate([self.count, np.zeros_like(self.count)])
-            while self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.first[k], self.count[k] = self.used, len(ids)
-            self.used += len(ids)
-            self.number[piece] = k
+        whole = self.tokenizer.to_str()
+        self.by_word = WORD_PATTERN in whole and "</w>" in whole
+        self.words, self.pieces = Runs(), Runs()
+
+    def _learn_pieces(self, pieces: list[str]) -> None:
+        """New pieces, all encoded as one text."""
+        e = self.tokenizer.encode(" ".join(pieces), add_special_tokens=False)
+        starts = np.cumsum([0, *(len(p) + 1 for p in pieces)])
+        owner = np.searchsorted(starts, [a for a, _ in e.offsets], side="right") - 1
+        self.pieces.add(pieces, np.asarray(e.ids, np.uint32), np.bincount(owner, minlength=len(pieces)))
+
+    def _learn_words(self, words: list[str]) -> None:
+        parts = [PIECES.findall(w) for w in words]
+        flat = [p for own in parts for p in own]
+        if len(self.pieces.number) + len(flat) > CACHED_WORDS:
+            self.pieces = Runs()
+        if new := set(flat).difference(self.pieces.number):
+            self._learn_pieces(sorted(new))
+        ids, counts = self.pieces.of(flat)
+        firsts = np.cumsum([0, *map(len, parts)])[:-1]
+        self.words.add(words, ids, np.add.reduceat(counts, firsts))
 
     def encode(self, text: str | None) -> np.ndarray:
         if not text:
             return np.zeros(0, np.uint32)
-        if not self.by_piece or UNUSUAL.search(text):
+        if not self.by_word or UNUSUAL.search(text):
             return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-        pieces = PIECES.findall(text.lower())
-        if not pieces:
+        words = text.lower().split()
+        if not words:
             return np.zeros(0, np.uint32)
-        new = set(pieces).difference(self.number)
+        new = set(words).difference(self.words.number)
         if new:
-            if len(self.number) + len(new) > CACHED_PIECES:
-                self._empty()
-                new = set(pieces)
-            self._learn(sorted(new))
-        at = np.fromiter(map(self.number.__getitem__, pieces), np.int64, len(pieces))
-        counts = self.count[at]
-        ends = np.cumsum(counts)
-        return self.flat[np.repeat(self.first[at] - (ends - counts), counts) + np.arange(ends[-1])]
+            if len(self.words.number) + len(new) > CACHED_WORDS:
+                self.words = Runs()
+                new = set(words)
+            self._learn_words(sorted(new))
+        return self.words.of(words)[0]
 
 
 _encoders: dict[str, Encoder] = {}

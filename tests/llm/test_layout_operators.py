@@ -46,8 +46,9 @@ def test_encoder_equals_the_tokenizer(spark, monkeypatch):
     texts = ODD_TEXTS + [r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
     rng = random.Random(3)
     texts += ["".join(rng.choice("aB'stl vemrd ,.!é9\nß") for _ in range(40)) for _ in range(500)]
-    for limit in (tokens.CACHED_WORDS, 300):
+    for limit in (tokens.CACHED_WORDS, 300):  # a small table is emptied often
         monkeypatch.setattr(tokens, "CACHED_WORDS", limit)
+        monkeypatch.setattr(tokens, "CACHED_PIECES", limit)
         enc = tokens.Encoder(tokens.vocabulary_path())
         assert enc.by_word
         for text in texts:

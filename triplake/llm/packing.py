@@ -85,9 +85,9 @@ def document_frequencies(parts: DataFrame, size: int) -> tuple[np.ndarray, int,
         total = np.zeros(size + 2, np.int64)
         for b in batches:
             for tail in b.column(0):
-                ids = np.frombuffer(tail.as_py(), kind)
+                ids = np.sort(np.frombuffer(tail.as_py(), kind))
                 if len(ids):
-                    total[np.unique(ids)] += 1
+                    total[ids[np.append(True, ids[1:] != ids[:-1])]] += 1
                     total[size] += 1
                     total[size + 1] += len(ids)
         met = np.flatnonzero(total)
@@ -121,10 +121,10 @@ class Shard:
         """Unused documents that share a query term with the seed, by falling
         score, ties by position."""
         query = self.of_doc[self.doc_bounds[seed] : self.doc_bounds[seed + 1]][:QUERY_TERMS]
-        score = np.zeros(self.n)
-        for t in query:
-            lo, hi = self.bounds[t], self.bounds[t + 1]
-            score[self.docs[lo:hi]] += self.impact[lo:hi]
+        first, sizes = self.bounds[query], self.bounds[query + 1] - self.bounds[query]
+        ends = np.cumsum(sizes)
+        postings = np.repeat(first - (ends - sizes), sizes) + np.arange(ends[-1])
+        score = np.bincount(self.docs[postings], self.impact[postings], self.n)
         found = np.flatnonzero(unused & (score > 0))
         return found[np.argsort(-score[found], kind="stable")]
 

@@ -7,7 +7,7 @@ a word.  The ids of a piece are asked for once, many new pieces in one call;
 words and pieces are then looked up.  Every other text (other scripts,
 combining marks, control characters, special-token strings) goes through the
 tokenizer whole.  The tables of a worker are emptied when they reach
-``CACHED_WORDS``; this bounds memory and changes no result.
+``CACHED_WORDS`` or ``CACHED_PIECES``; this bounds memory and changes no result.
 """
 
 from __future__ import annotations
@@ -20,7 +20,8 @@ import numpy as np
 #: Vocabulary file of the registered queries (a parameter everywhere else).
 WORD_BPE = "word_bpe_49k.json"
 
-CACHED_WORDS = 700_000
+CACHED_WORDS = 500_000
+CACHED_PIECES = 1_200_000
 
 # The pre-tokenizer pattern that the shortcut is for, as written
 # here for lower-cased plain Latin text, and its end in the vocabulary file.
@@ -92,7 +93,7 @@ class Encoder:
     def _learn_words(self, words: list[str]) -> None:
         parts = [PIECES.findall(w) for w in words]
         flat = [p for own in parts for p in own]
-        if len(self.pieces.number) + len(flat) > CACHED_WORDS:
+        if len(self.pieces.number) + len(flat) > CACHED_PIECES:
             self.pieces = Runs()
         if new := set(flat).difference(self.pieces.number):
             self._learn_pieces(sorted(new))

@@ -53,6 +53,11 @@ def test_encoder_equals_the_tokenizer(spark, monkeypatch):
         assert enc.by_word
         for text in texts:
             assert enc.encode(text).tolist() == t.encode(text, add_special_tokens=False).ids, text[:50]
+        monkeypatch.setattr(tokens, "HELD_CHARS", 10 * limit)
+        enc = tokens.Encoder(tokens.vocabulary_path())
+        for text, ids in zip(texts, enc.encode_all([*texts, None]), strict=False):
+            assert ids.tolist() == t.encode(text, add_special_tokens=False).ids, text[:50]
+        assert [len(x) for x in enc.encode_all([None, "", "  "])] == [0, 0, 0] and not list(enc.encode_all([]))
     other = tokens.Encoder(tokens.vocabulary_path("byte_bpe_50k.json"))
     assert not other.by_word and len(other.encode("some text"))
 

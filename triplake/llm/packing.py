@@ -60,8 +60,8 @@ def tails(docs: DataFrame, vocabulary: str, end_id: int, window: int) -> DataFra
         kind = "<u2" if max(enc.size, end_id + 1) <= 1 << 16 else "<u4"
         for b in batches:
             n, full, tail, route = [], [], [], []
-            for text in b.column(1):
-                ids = np.append(enc.encode(text.as_py()), np.uint32(end_id))
+            for text_ids in enc.encode_all(text.as_py() for text in b.column(1)):
+                ids = np.append(text_ids, np.uint32(end_id))
                 whole = len(ids) // window * window
                 n.append(len(ids))
                 full.append([_crc(ids[i : i + window]) for i in range(0, whole, window)])

@@ -82,8 +82,8 @@ def tokenized(docs: DataFrame, path: str, end_id: int, extra: list[str] | None =
         names = ["doc_id", "n", "ids", *extra]
         for b in batches:
             lo, ids, n, held = 0, [], [], 0
-            for i, text in enumerate(b.column(1)):
-                own_ids = np.append(enc.encode(text.as_py()), np.uint32(end_id)).astype(kind)
+            for i, text_ids in enumerate(enc.encode_all(text.as_py() for text in b.column(1))):
+                own_ids = np.append(text_ids, np.uint32(end_id)).astype(kind)
                 ids.append(own_ids.tobytes())
                 n.append(len(own_ids))
                 held += len(ids[-1])

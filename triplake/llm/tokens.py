@@ -3,8 +3,8 @@
 The ids are exactly those of ``Tokenizer.encode(text, add_special_tokens=
 False)``.  The tokenizer's pieces never span white space, so the words of a
 text of plain Latin characters encode independently, and so do the pieces of
-a word.  The ids of a piece are asked for once, many new pieces in one call;
-words and pieces are then looked up.  Every other text (other scripts,
+a word.  Texts are taken many at a time; their new pieces are encoded in one
+call, and words and pieces are then looked up.  Every other text (other scripts,
 combining marks, control characters, special-token strings) goes through the
 tokenizer whole.  The tables of a worker are emptied when they reach
 ``CACHED_WORDS`` or ``CACHED_PIECES``; this bounds memory and changes no result.
@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 
@@ -22,15 +24,26 @@ WORD_BPE = "word_bpe_49k.json"
 
 CACHED_WORDS = 500_000
 CACHED_PIECES = 1_200_000
+HELD_CHARS = 1 << 20  # characters of texts that are encoded at a time
 
 # The pre-tokenizer pattern that the shortcut is for, as written
 # here for lower-cased plain Latin text, and its end in the vocabulary file.
 PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ž]+|[0-9]|[^a-zß-öø-ž0-9]+")
 WORD_PATTERN = '[^\\\\s\\\\p{L}\\\\p{N}]+"}'
+END_OF_PIECE = "</w>"
 # Characters outside of which lower-casing, composition or classes may differ
 # between libraries: printable ASCII, white space, Latin letters with marks.
 UNUSUAL = re.compile("[^\t-\r\x20-\x7eÀ-įı-ňŊ-ž]|<\\|")
 
+USUAL_ASCII = bytes([*range(0x09, 0x0E), *range(0x20, 0x7F)])
+
+
+def unusual(text: str) -> bool:
+    """Whether ``UNUSUAL`` occurs in the text."""
+    if not text.isascii():
+        return UNUSUAL.search(text) is not None
+    return "<|" in text or bool(text.encode("ascii").translate(None, USUAL_ASCII))
+
 
 def vocabulary_path(name: str = WORD_BPE) -> str:
     import public_tokenizers
@@ -62,9 +75,12 @@ class Runs:
         self.used += len(ids)
         self.number.update(zip(names, range(known, known + len(names))))
 
-    def of(self, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The runs of known names one after the other, and their lengths."""
-        at = np.fromiter(map(self.number.__getitem__, names), np.int64, len(names))
+    def at(self, names: list[str]) -> np.ndarray:
+        """The numbers of names; -1 for those that are not in the table."""
+        return np.fromiter(map(self.number.get, names, repeat(-1)), np.int64, len(names))
+
+    def of(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The runs of numbers one after the other, and their lengths."""
         counts = self.count[at]
         ends = np.cumsum(counts)
         return self.flat[np.repeat(self.first[at] - (ends - counts), counts) + np.arange(ends[-1])], counts
@@ -80,15 +96,25 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         whole = self.tokenizer.to_str()
-        self.by_word = WORD_PATTERN in whole and "</w>" in whole
+        self.by_word = WORD_PATTERN in whole and END_OF_PIECE in whole
+        self.ends = np.zeros(self.size, bool)
+        self.ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(END_OF_PIECE)]] = True
         self.words, self.pieces = Runs(), Runs()
 
     def _learn_pieces(self, pieces: list[str]) -> None:
-        """New pieces, all encoded as one text."""
-        e = self.tokenizer.encode(" ".join(pieces), add_special_tokens=False)
-        starts = np.cumsum([0, *(len(p) + 1 for p in pieces)])
-        owner = np.searchsorted(starts, [a for a, _ in e.offsets], side="right") - 1
-        self.pieces.add(pieces, np.asarray(e.ids, np.uint32), np.bincount(owner, minlength=len(pieces)))
+        """New pieces, all encoded as one text.  Only the last id of a piece
+        can be one that ends a piece; where a piece has none, offsets tell."""
+        text = " ".join(pieces)
+        ids = np.asarray(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+        last = np.flatnonzero(self.ends[ids])
+        if len(last) == len(pieces) and last[-1] + 1 == len(ids):
+            counts = np.diff(last, prepend=-1)
+        else:
+            e = self.tokenizer.encode(text, add_special_tokens=False)
+            starts = np.cumsum([0, *(len(p) + 1 for p in pieces)])
+            owner = np.searchsorted(starts, [a for a, _ in e.offsets], side="right") - 1
+            ids, counts = np.asarray(e.ids, np.uint32), np.bincount(owner, minlength=len(pieces))
+        self.pieces.add(pieces, ids, counts)
 
     def _learn_words(self, words: list[str]) -> None:
         parts = [PIECES.findall(w) for w in words]
@@ -97,25 +123,54 @@ class Encoder:
             self.pieces = Runs()
         if new := set(flat).difference(self.pieces.number):
             self._learn_pieces(sorted(new))
-        ids, counts = self.pieces.of(flat)
+        ids, counts = self.pieces.of(self.pieces.at(flat))
         firsts = np.cumsum([0, *map(len, parts)])[:-1]
         self.words.add(words, ids, np.add.reduceat(counts, firsts))
 
-    def encode(self, text: str | None) -> np.ndarray:
-        if not text:
-            return np.zeros(0, np.uint32)
-        if not self.by_word or UNUSUAL.search(text):
-            return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-        words = text.lower().split()
-        if not words:
-            return np.zeros(0, np.uint32)
-        new = set(words).difference(self.words.number)
-        if new:
+    def _numbers(self, words: list[str]) -> np.ndarray:
+        """The words' numbers in the table, after learning the new ones."""
+        at = self.words.at(words)
+        unknown = np.flatnonzero(at < 0)
+        if len(unknown):
+            new = {words[i] for i in unknown}
             if len(self.words.number) + len(new) > CACHED_WORDS:
-                self.words = Runs()
-                new = set(words)
+                self.words, new = Runs(), set(words)
+                unknown = np.arange(len(words))
             self._learn_words(sorted(new))
-        return self.words.of(words)[0]
+            at[unknown] = self.words.at([words[i] for i in unknown])
+        return at
+
+    def _encode_usual(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of texts that hold none of the unusual characters."""
+        split = [t.lower().split() for t in texts]
+        words = [w for own in split for w in own]
+        if not words:
+            return [np.zeros(0, np.uint32)] * len(texts)
+        at = self._numbers(words)  # may start the table anew
+        ids, counts = self.words.of(at)
+        ends = np.append(0, np.cumsum(counts))[np.cumsum([0, *map(len, split)])]
+        return [ids[a:b] for a, b in zip(ends[:-1], ends[1:])]
+
+    def _encode_held(self, texts: list[str]) -> Iterator[np.ndarray]:
+        whole = [not self.by_word or unusual(t) for t in texts]
+        usual = iter(self._encode_usual([t for t, w in zip(texts, whole) if not w]))
+        for t, w in zip(texts, whole):
+            yield np.asarray(self.tokenizer.encode(t, add_special_tokens=False).ids, np.uint32) if w else next(usual)
+
+    def encode_all(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
+        """Ids of each text; texts are taken about ``HELD_CHARS`` characters
+        at a time, so that their new words are learned in one call."""
+        held, size = [], 0
+        for t in texts:
+            held.append(t or "")
+            size += len(held[-1])
+            if size >= HELD_CHARS:
+                yield from self._encode_held(held)
+                held, size = [], 0
+        yield from self._encode_held(held)
+
+    def encode(self, text: str | None) -> np.ndarray:
+        return next(self.encode_all([text]))
 
 
 _encoders: dict[str, Encoder] = {}

@@ -1,5 +1,6 @@
 """PII, near-dedup, decontamination, quality and LM scoring."""
 
+import functools
 import random
 import zlib
 
@@ -292,6 +293,25 @@ def test_weighting_against_its_definition(spark, monkeypatch):
         assert ctw.text_scores(pa.array([t]), child, table)[0] == pytest.approx(score, rel=1e-4)
 
 
+def test_rare_contexts_count(spark, monkeypatch):
+    """A source with a small share of the bytes keeps its contexts."""
+    monkeypatch.setattr(ctw, "COMMON_RUNS", 1 << 9)  # most runs take the shuffled way
+    rows = [(i, "ab" * 300) for i in range(1, 40)] + [(60, "the zebra and a quagga"), (61, "the zebra")]
+    rows += [(i, "a zebra é quagga") for i in range(100, 140) if zlib.crc32(str(i).encode()) % 10 == 0]
+    rows += [(200, None), (201, ""), (201, "zebra"), (None, "ab\0ab")]
+    held = {i: i is not None and zlib.crc32(str(i).encode()) % 10 == 0 for i, _ in rows}
+    learned = [(t or "").encode() for i, t in rows if not held[i]]
+    want = functools.cache(plain.kt_weighting(learned, ctw.DEPTH))
+    got = ctw.score_documents(documents(spark, rows)).select("doc_id", "score").collect()
+    expected = []
+    for i, t in rows:
+        line = bytes(ctw.DEPTH) + (t or "").encode() + b"\0"
+        expected.append((str(i), sum(np.log10(want(line[p - ctw.DEPTH : p], line[p])) for p in range(ctw.DEPTH, len(line)))))
+    assert any(held.values()) and len(got) == len(rows)
+    for (i, score), (j, own) in zip(sorted(expected), sorted((str(r.doc_id), r.score) for r in got)):
+        assert i == j and own == pytest.approx(score, rel=1e-6)
+
+
 def test_pruned_tree_is_a_distribution(spark, monkeypatch):
     monkeypatch.setattr(ctw, "CONTEXTS", 40)
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("text")

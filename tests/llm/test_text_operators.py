@@ -1,6 +1,7 @@
 """PII, near-dedup, decontamination, quality and LM scoring."""
 
 import functools
+import math
 import random
 import zlib
 
@@ -169,6 +170,20 @@ def test_odd_sketch_estimates_similarity():
         assert max(errors) < near_dedup.most_odd_bits(similarity - near_dedup.SLACK) - near_dedup.most_odd_bits(similarity)
 
 
+def test_sketches_miss_less_than_the_bands():
+    """Exact law of the odd bits: each sample that differs flips two of them."""
+    samples, bits = near_dedup.BANDS * near_dedup.ROWS, 64 * near_dedup.SKETCH_LONGS
+    odd = np.arange(bits + 1)
+    law = [np.eye(1, bits + 1)[0]]
+    for _ in range(2 * samples):
+        law.append(np.roll(law[-1] * (1 - odd / bits), 1) + np.roll(law[-1] * odd / bits, -1))
+    for similarity in (0.85, 0.8):
+        differ = [math.comb(samples, i) * (1 - similarity) ** i * similarity ** (samples - i) for i in range(samples + 1)]
+        beyond = near_dedup.most_odd_bits(similarity - near_dedup.SLACK) + 1
+        lost = sum(p * law[2 * i][beyond:].sum() for i, p in enumerate(differ))
+        assert lost < 0.1 * (1 - similarity**near_dedup.ROWS) ** near_dedup.BANDS
+
+
 # ---------------------------------------------------------------- decontamination
 
 

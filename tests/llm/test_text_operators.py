@@ -198,6 +198,37 @@ def test_common_run_holds_for_every_change():
                     assert max(at, n - at - size) >= decontaminate.common_run(n)
 
 
+def longest_common_run(a, b):
+    best, row = 0, [0] * (len(b) + 1)
+    for x in a:
+        row = [0] + [row[j] + 1 if x == y else 0 for j, y in enumerate(b)]
+        best = max(best, *row)
+    return best
+
+
+def test_common_run_holds_for_other_edits():
+    """Exchanged parts, insertions, deletions and scattered edits."""
+    rng = random.Random(6)
+    for n in range(1, 91):
+        item = list(range(n))
+        others = [item[cut:] + item[:cut] for cut in range(n)]
+        others += [(item[:at] + [-1] * size + item[at:])[:n] for at in range(n) for size in (1, 3)]
+        others += [item[:at] + item[at + 2 :] + [-1, -2] for at in range(n)]
+        for _ in range(60):
+            other = list(item)
+            for _ in range(rng.randrange(1, 4)):
+                at = rng.randrange(n)
+                if rng.random() < 0.5:
+                    other[at] = -1 - rng.randrange(9)
+                else:
+                    a, b, c = sorted(rng.randrange(n + 1) for _ in range(3))
+                    other = other[:a] + other[b:c] + other[a:b] + other[c:]
+            others.append(other)
+        for other in others:
+            if plain.contaminated(" ".join(map(str, other)), " ".join(map(str, item))):
+                assert longest_common_run(item, other) >= decontaminate.common_run(n)
+
+
 def test_matches_against_all_windows(spark):
     rng = random.Random(4)
     vocabulary = [f"w{i}" for i in range(3000)]

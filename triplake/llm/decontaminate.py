@@ -62,14 +62,23 @@ def common_run(words: int, k: int = SHINGLE, percent: int = PERCENT) -> int:
     """Words of the longest common run that a passage of as many words has at
     least, if its shingle similarity reaches ``percent``.
 
-    At most n * (1 - 2p / (1 + p)) of its n shingles differ.  A change inside
-    costs k shingles and adds a run; changes at the ends add none."""
+    Of the item's n shingles, r runs leave out (r - 1) * (k - 1) at least where
+    they meet, and as many of the passage's: parts that change places cost just
+    that, other changes inside cost more, and those at the ends none.  So the
+    runs hold p * (n + (r - 1) * (k - 1)) shingles at least; a passage cut off by
+    the end of its document is covered too.  (An item that repeats runs of
+    k - 1 words may have shingles in common without a longer run.)"""
     n = words - k + 1
     if n <= 1:
         return words
-    lost = n * (100 - percent) // (100 + percent)
-    runs = 1 + lost // k
-    return max(1, -(-(n - lost) // runs) + k - 1)
+    best, cost = words, 0
+    for runs in range(1, n + 1):
+        common = -(-percent * (n + cost) // 100)
+        if common > n - cost:
+            break
+        best = min(best, -(-common // runs) + k - 1)
+        cost += k - 1
+    return best
 
 
 def size_classes(sizes: list[int]) -> list[SizeClass]:

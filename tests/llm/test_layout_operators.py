@@ -164,6 +164,24 @@ def test_neighbours_share_terms():
     assert np.mean(one_topic) > 0.6
 
 
+def test_neighbours_by_all_terms():
+    """Against plain scores; rare terms of the seed's own don't hide others."""
+    rng = np.random.default_rng(4)
+    ids = [np.append(np.arange(1000 + 100 * d, 1060 + 100 * d), rng.integers(0, 40, rng.integers(1, 60))) for d in range(30)]
+    ids[7] = np.array([500, 501])
+    idf = np.where(np.arange(5000) < 40, rng.random(5000) + 0.1, 9.0)
+    shard, mean = packing.Shard(ids, idf, 80.0), 80.0
+    for seed in (0, 7, 12):
+        unused = rng.random(30) < 0.8
+        score = np.zeros(30)
+        for d, x in enumerate(ids):
+            for t in np.intersect1d(x, ids[seed]):
+                tf = (x == t).sum()
+                score[d] += idf[t] * tf * (packing.K1 + 1) / (tf + packing.K1 * (1 - packing.B + packing.B * len(x) / mean))
+        want = sorted((d for d in range(30) if unused[d] and score[d] > 0), key=lambda d: (-score[d], d))
+        assert shard.neighbours(seed, unused).tolist() == want
+
+
 # ---------------------------------------------------------------- WARC
 
 

@@ -38,7 +38,6 @@ from triplake.plans.materialize import materialize
 WINDOW = 2048
 SHARD_DOCS = 2048
 PARTITION_DOCS = 8192
-QUERY_TERMS = 32  # most informative terms of a seed that are looked up
 K1, B = 1.2, 0.75
 
 PIECES_SCHEMA = (
@@ -112,19 +111,30 @@ class Shard:
         self.impact = idf[terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * sizes[self.docs] / mean_length))
         self.terms, first = np.unique(terms, return_index=True)
         self.bounds = np.append(first, len(terms))
-        # the terms of each document, most informative first
-        order = np.lexsort((terms, -self.impact, self.docs))
+        # terms of more than half the documents have dense rows; the others' are -1
+        sizes = np.diff(self.bounds)
+        often = np.flatnonzero(2 * sizes > self.n)
+        self.row = np.full(len(self.terms), -1)
+        self.row[often] = np.arange(len(often))
+        self.dense = np.zeros((len(often), self.n))
+        place = np.repeat(self.row, sizes)
+        self.dense[place[place >= 0], self.docs[place >= 0]] = self.impact[place >= 0]
+        # the terms of each document
+        order = np.argsort(self.docs, kind="stable")
         self.of_doc = np.searchsorted(self.terms, terms[order])
         self.doc_bounds = np.searchsorted(self.docs[order], np.arange(self.n + 1))
 
     def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
-        """Unused documents that share a query term with the seed, by falling
-        score, ties by position."""
-        query = self.of_doc[self.doc_bounds[seed] : self.doc_bounds[seed + 1]][:QUERY_TERMS]
+        """Unused documents that share a term with the seed, by falling score
+        over all its terms, ties by position."""
+        query = self.of_doc[self.doc_bounds[seed] : self.doc_bounds[seed + 1]]
+        row = self.row[query]
+        query, asked = query[row < 0], np.zeros(len(self.dense))
+        asked[row[row >= 0]] = 1
         first, sizes = self.bounds[query], self.bounds[query + 1] - self.bounds[query]
         ends = np.cumsum(sizes)
-        postings = np.repeat(first - (ends - sizes), sizes) + np.arange(ends[-1])
-        score = np.bincount(self.docs[postings], self.impact[postings], self.n)
+        postings = np.repeat(first - (ends - sizes), sizes) + np.arange(sizes.sum())
+        score = asked @ self.dense + np.bincount(self.docs[postings], self.impact[postings], self.n)
         found = np.flatnonzero(unused & (score > 0))
         return found[np.argsort(-score[found], kind="stable")]
 

@@ -11,7 +11,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from triplake.llm import ctw, decontaminate, near_dedup, packing, pii, quality, sharding, token_files, vector_dedup, warc
+from triplake.llm import best_fit, ctw, decontaminate, near_dedup, packing, pii, quality, runs, sharding, token_files, vector_dedup, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +59,14 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.pack(table(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.periodic_runs(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pii": op1_pii,
@@ -71,6 +79,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_sharding": op8_sharding,
         "op9_quality": op9_quality,
         "op10_token_files": op10_token_files,
+        "op12_best_fit": op12_best_fit,
+        "op13_periodic_runs": op13_periodic_runs,
         "pipeline": corpus_pipeline.run,
     }
 

@@ -77,13 +77,13 @@ def chunks(column: pa.Array, limit: int = CHUNK) -> Iterator[tuple[int, int, np.
         lo = hi
 
 
-def word_bounds(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_bounds(buf: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end byte of every word, and the number of words per text.
-    Words never span texts."""
+    Words never span texts; ``space`` marks the bytes between words."""
     n = len(buf)
     if n == 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets) - 1, np.int64)
-    solid = ~SPACE[buf]
+    solid = ~space[buf]
     before = np.empty(n, bool)
     before[0] = False
     before[1:] = solid[:-1]

@@ -144,11 +144,6 @@ def word_counts(texts: DataFrame, least: int) -> DataFrame:
 # ------------------------------------------------------------------ bit filters
 
 
-def _bits(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    low = np.uint64(FILTER_BITS - 1)
-    return (keys & low).astype(np.int64), (keys >> np.uint64(32) & low).astype(np.int64)
-
-
 class BitFilter:
     """Two bits of a fixed number of bits for each key of a set."""
 
@@ -156,8 +151,8 @@ class BitFilter:
         self.slots = slots
 
     def has(self, keys: np.ndarray) -> np.ndarray:
-        out = np.ones(len(keys), bool)
-        for at in _bits(keys):
+        out, low = np.ones(len(keys), bool), np.uint64(64 * len(self.slots) - 1)
+        for at in ((keys & low).astype(np.int64), (keys >> np.uint64(32) & low).astype(np.int64)):
             out &= (self.slots[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
         return out
 

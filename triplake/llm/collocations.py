@@ -53,8 +53,8 @@ TOP = 2000
 LONGEST = 5
 # Shares of a language's words that the rounds expand, rarest words first,
 # unless the bound allows less.
-SHARES = (1 / 32, 1 / 8, 1.0)
-SLICE = 4 << 20  # bytes of text that are counted at a time
+SHARES = (1 / 8, 1.0)
+SLICE = 2 << 20  # bytes of text that are counted at a time
 FILTER_BITS = 1 << 26  # of every bit filter, at any size of the input
 SALTS = 64
 _EXACT = "decimal(38,0)"
@@ -355,6 +355,9 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, shares: tu
         counts = pairs if counts is None else counts.unionByName(pairs)
         frontier.pairs = _pair_filter(spark, counts.where(F.size("words") == 2))
         counts = counts.unionByName(materialize(phrase_counts(texts, frontier, least), "phrases"))
+        frontier.pairs.unpersist()
+        if old:
+            old.unpersist()
         found = materialize(surviving(counts, vocabulary, state), "survivors")
         state = materialize(settle(found, vocabulary, state, top), "settled")
         if state.where("not settled").isEmpty():

@@ -19,7 +19,6 @@ import sys
 import time
 import uuid
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -34,9 +33,8 @@ from triplake.operators.silver import rule_report, silver  # noqa: E402
 from triplake.plans.materialize import materialize, materialize_all  # noqa: E402
 from triplake.plans import sinks  # noqa: E402
 from triplake.plans.pipeline import read_layer, run_pipeline, write_bronze  # noqa: E402
-from triplake.plans.publish import read_published  # noqa: E402
 from triplake.session import scratch_path  # noqa: E402
-from triplake.sources.files import file_inventory, inventory_summary, list_files  # noqa: E402
+from triplake.sources.files import file_inventory, inventory_summary, list_files, rows_per_file  # noqa: E402
 from triplake.sources.adapters import (  # noqa: E402
     EVENTS_RULES,
     LINEITEM_RULES,
@@ -189,7 +187,7 @@ def _age_files(spark: SparkSession, folder: str, days: int) -> None:
 def _incremental(spark: SparkSession, d: str, ingest: Callable, split_year: int, drift: bool) -> DataFrame:
     """Two landings, the second with older time stamps, and a repeated run."""
     root = scratch_path(spark, "incremental")
-    landing, out, ckpt = f"{root}/landing", f"{root}/bronze", f"{root}/_checkpoint"
+    landing, out, ckpt = f"{root}/landing", Lake(f"{root}/lake"), f"{root}/_checkpoint"
     raw = lineitem_raw(spark, d)
     _write_landing(raw.where(F.year(PICKUP) > split_year), landing, drift)
     first = ingest(spark, landing, out, ckpt, glob=LANDING_GLOB)
@@ -202,7 +200,7 @@ def _incremental(spark: SparkSession, d: str, ingest: Callable, split_year: int,
     again = ingest(spark, both, out, f"{root}/_checkpoint3", glob=LANDING_GLOB)
     if not first.rows or not second.rows or again.rows or again.files:
         raise AssertionError(f"incremental ingest added {first}, {second}, {again}")
-    return read_published(spark, out).drop(INGESTED_AT)
+    return read_layer(spark, out, "bronze").drop(INGESTED_AT)
 
 
 def _bronze_rebuild_then_ingest(spark: SparkSession, d: str) -> DataFrame:
@@ -210,7 +208,7 @@ def _bronze_rebuild_then_ingest(spark: SparkSession, d: str) -> DataFrame:
     root = scratch_path(spark, "rebuild")
     landing, lake = f"{root}/landing", Lake(f"{root}/lake")
     raw = lineitem_raw(spark, d)
-    run = lambda: ingest_reconciled(spark, landing, lake.bronze(), lake.checkpoint("ingest"), glob=LANDING_GLOB)
+    run = lambda: ingest_reconciled(spark, landing, lake, lake.checkpoint("ingest"), glob=LANDING_GLOB)
     _write_landing(raw.where(F.year(PICKUP) > 1997), landing, drift=True)
     run()
     write_bronze(spark, landing, lake, glob=LANDING_GLOB)
@@ -243,19 +241,64 @@ def _positions(ordered: DataFrame) -> DataFrame:
     ).drop("_id")
 
 
-TABLES = (
-    "benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels", "lineitem", "nation",
-    "orders", "pages", "part", "region", "supplier",
-)
+def _inventory(spark: SparkSession, d: str) -> DataFrame:
+    """File inventory beside the rows that each file holds, from one scan of
+    all files that reads no column."""
+    files = rows_per_file(spark, d, "*.parquet")
+    return file_inventory(files.select(F.col("file").alias("name"), "length")).join(files.select("file", "rows"), "file")
+
+
+def _copy_files(spark: SparkSession, source: str, target: str) -> None:
+    """The files of a landing folder under another one, byte by byte (a fixture)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    a, b = (jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
+    jvm.org.apache.hadoop.fs.FileUtil.copy(a.getFileSystem(conf), a, b.getFileSystem(conf), b, False, conf)
+
+
+def _incremental_copies(spark: SparkSession, d: str) -> DataFrame:
+    """A landing, its copy under another path with later files: the copies are
+    known by name and contents and add nothing."""
+    root = scratch_path(spark, "copies")
+    lake, raw = Lake(f"{root}/lake"), lineitem_raw(spark, d)
+    _write_landing(raw.where(F.year(PICKUP) > 1997), f"{root}/landing", drift=False)
+    first = ingest_stream(spark, f"{root}/landing", lake, f"{root}/ck1", glob=LANDING_GLOB)
+    _copy_files(spark, f"{root}/landing", f"{root}/moved")
+    _write_landing(raw.where(F.year(PICKUP) <= 1997), f"{root}/moved", drift=False)
+    second = ingest_stream(spark, f"{root}/moved", lake, f"{root}/ck2", glob=LANDING_GLOB)
+    if second.skipped != first.files or not second.rows:
+        raise AssertionError(f"ingest of copies added {first}, {second}")
+    return read_layer(spark, lake, "bronze").drop(INGESTED_AT)
 
 
-def _inventory(spark: SparkSession, d: str) -> DataFrame:
-    """File inventory beside the rows that each file's table holds."""
-    counts = reduce(
-        DataFrame.unionByName,
-        [table(spark, d, t).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(f"{t}.parquet").alias("file"), "rows") for t in TABLES],
+def _rescued_values(spark: SparkSession, d: str) -> DataFrame:
+    """Raw rows of text, some of it malformed: the values that bronze's casts
+    lose, each with its row."""
+    key = F.col("l_orderkey") % 10
+    raw = table(spark, d, "lineitem").select(
+        F.col("l_linenumber").cast("string").alias("VendorID"),
+        F.when(key == 3, F.concat(F.lit("x"), F.col("l_linenumber"))).when(key == 4, "").otherwise(F.col("l_linenumber").cast("string")).alias("passenger_count"),
+        F.when(F.col("l_partkey") % 7 == 2, F.concat(F.col("l_suppkey"), F.lit(" USD"))).otherwise(F.col("l_suppkey").cast("string")).alias("total_amount"),
+        F.when(F.col("l_suppkey") % 5 == 0, "N/A").otherwise(F.col("l_suppkey").cast("string")).alias("PULocationID"),
+    )
+    lake = Lake(f"{scratch_path(spark, 'rescue')}/lake")
+    write_bronze(spark, raw, lake, rescue=True)
+    return spark.table(lake.table("bronze") + "_rejected").select(
+        "rejected_column", "rejected_value", "VendorID", "passenger_count", "total_amount", "PULocationID"
+    )
+
+
+def _lake_after_increment(spark: SparkSession, d: str) -> Lake:
+    """A full run over some files, then an increment of the others."""
+    root = scratch_path(spark, "increment")
+    lake, raw = Lake(f"{root}/lake"), lineitem_raw(spark, d)
+    run = lambda resume: run_pipeline(
+        spark, f"{root}/landing", lake, LINEITEM_RULES, glob=LANDING_GLOB, reconcile=False, resume=resume
     )
-    return file_inventory(list_files(spark, d, "*.parquet")).join(counts, "file", "left")
+    _write_landing(raw.where(F.year(PICKUP) != 1997), f"{root}/landing", drift=False)
+    run(False)
+    _write_landing(raw.where(F.year(PICKUP) == 1997), f"{root}/landing", drift=False)
+    run(True)
+    return lake
 
 
 def _net_amounts(spark: SparkSession, d: str) -> DataFrame:
@@ -384,6 +427,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "incremental_stream": lambda s, d: _incremental(s, d, ingest_stream, 1997, drift=False),
         "incremental_reconciled": lambda s, d: _incremental(s, d, ingest_reconciled, 1998, drift=True),
         "bronze_rebuild_then_ingest": _bronze_rebuild_then_ingest,
+        "incremental_copies": _incremental_copies,
+        "rescued_values": _rescued_values,
+        "silver_after_increment": lambda s, d: _no_ingest_time(read_layer(s, _lake_after_increment(s, d), "silver")),
+        "gold_after_increment": lambda s, d: read_layer(s, _lake_after_increment(s, d), "gold", "trips_by_month"),
         "managed_tables": _managed_tables,
         "pipeline_rounded_duration": lambda s, d: read_layer(s, _pipeline_lake(s, d, 2), "gold", "trips_by_month"),
         # orders, with the position of each row
@@ -392,7 +439,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cells_in_week_order": lambda s, d: _positions(analytics.cells_in_week_order(_e_time(s, d))).select(
             "pickup_day_of_week", "pickup_hour", "position"
         ),
-        "file_order": lambda s, d: _positions(file_inventory(list_files(s, d, "*.parquet"))).select("file", "position"),
+        "file_order": lambda s, d: _positions(
+            file_inventory(rows_per_file(s, d, "*.parquet").withColumnRenamed("file", "name"))
+        ).select("file", "position"),
         "trips_by_month_net_amount": lambda s, d: gold.trips_by_month(_net_amounts(s, d)),
         "trips_by_zone_net_amount": lambda s, d: gold.trips_by_zone(_net_amounts(s, d)),
         "pipeline_trips_by_month": lambda s, d: read_layer(s, _pipeline_lake(s, d), "gold", "trips_by_month"),
@@ -608,6 +657,29 @@ WHERE pickup_year >= 1995 AND pickup_year * 12 + pickup_month - 1 < {2001 * 12 +
 _L_ZONE = _zone_sql(_L_SILVER)
 _E_TIME = _time_sql(_E_SILVER)
 
+_RESCUED_SQL = """
+WITH raw AS (
+  SELECT CAST(l_linenumber AS VARCHAR) AS v,
+    CASE WHEN l_orderkey % 10 = 3 THEN 'x' || l_linenumber WHEN l_orderkey % 10 = 4 THEN '' ELSE CAST(l_linenumber AS VARCHAR) END AS p,
+    CASE WHEN l_partkey % 7 = 2 THEN l_suppkey || ' USD' ELSE CAST(l_suppkey AS VARCHAR) END AS t,
+    CASE WHEN l_suppkey % 5 = 0 THEN 'N/A' ELSE CAST(l_suppkey AS VARCHAR) END AS z
+  FROM lineitem
+), typed AS (
+  SELECT *, TRY_CAST(v AS BIGINT) AS VendorID, TRY_CAST(p AS DOUBLE) AS passenger_count,
+    TRY_CAST(t AS DOUBLE) AS total_amount, TRY_CAST(z AS BIGINT) AS PULocationID
+  FROM raw
+)
+SELECT 'passenger_count' AS rejected_column, p AS rejected_value, VendorID, passenger_count, total_amount, PULocationID
+FROM typed WHERE passenger_count IS NULL
+UNION ALL SELECT 'total_amount', t, VendorID, passenger_count, total_amount, PULocationID FROM typed WHERE total_amount IS NULL
+UNION ALL SELECT 'PULocationID', z, VendorID, passenger_count, total_amount, PULocationID FROM typed WHERE PULocationID IS NULL
+"""
+
+_TABLES = (
+    "benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels", "lineitem", "nation",
+    "orders", "pages", "part", "region", "supplier",
+)
+
 _DAY_ARRAY = "['Sun', 'Mon', 'Tue', 'Wed', 'Thu', 'Fri', 'Sat']"
 
 
@@ -799,7 +871,7 @@ def oracle_sql() -> dict[str, str]:
         f" FROM ({_L_BRONZE}) WHERE tpep_pickup_datetime IS NOT NULL GROUP BY 1, 2"
     )
     rows_per_file = " UNION ALL ".join(
-        f"SELECT '{t}.parquet' AS file, CAST(COUNT(*) AS BIGINT) AS rows FROM {t}" for t in TABLES
+        f"SELECT '{t}.parquet' AS file, CAST(COUNT(*) AS BIGINT) AS rows FROM {t}" for t in _TABLES
     )
     net_amounts = f"SELECT * REPLACE (fare_amount AS total_amount) FROM ({_L_SILVER})"
     rounded_month = _month_sql(
@@ -901,6 +973,10 @@ FROM (SELECT parse_filename(filename) AS file FROM read_blob('{ORACLE_DIR}/*.par
         "schema_drift_union": _L_BRONZE,
         "incremental_stream": _L_BRONZE,
         "incremental_reconciled": _L_BRONZE,
+        "incremental_copies": _L_BRONZE,
+        "rescued_values": _RESCUED_SQL,
+        "silver_after_increment": _L_SILVER,
+        "gold_after_increment": _L_MONTH,
         "pipeline_trips_by_month": _L_MONTH,
         "pipeline_layer_counts": " UNION ALL ".join(
             f"SELECT '{layer}' AS layer, '{name}' AS \"table\", CAST(COUNT(*) AS BIGINT) AS rows FROM ({sql})"

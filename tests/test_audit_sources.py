@@ -13,7 +13,7 @@ from triplake.contracts import GOLD_TABLES, INGESTED_AT
 from triplake.operators import audit
 from triplake.operators.bronze import bronze
 from triplake.plans.pipeline import read_layer, run_pipeline, write_bronze
-from triplake.plans.publish import publications, read_published, vacuum
+from triplake.plans import tables
 from triplake.session import scratch_path
 from triplake.sources.adapters import LINEITEM_RULES, lineitem_raw
 from triplake.sources.files import file_inventory, list_files, require_files
@@ -92,20 +92,20 @@ def test_incremental_stream_adds_only_new_files(spark):
     root = scratch_path(spark, "test-incr")
     raw = lineitem_raw(spark, SF_SMALL)
     raw.where(F.year("tpep_pickup_datetime") <= 1997).write.parquet(f"{root}/in")
-    first = ingest_stream(spark, f"{root}/in", f"{root}/out", f"{root}/ck", glob="*.parquet")
-    assert ingest_stream(spark, f"{root}/in", f"{root}/out", f"{root}/ck", glob="*.parquet") == Added()
+    first = ingest_stream(spark, f"{root}/in", Lake(f"{root}/out"), f"{root}/ck", glob="*.parquet")
+    assert ingest_stream(spark, f"{root}/in", Lake(f"{root}/out"), f"{root}/ck", glob="*.parquet") == Added()
     raw.where(F.year("tpep_pickup_datetime") > 1997).write.mode("append").parquet(f"{root}/in")
-    second = ingest_stream(spark, f"{root}/in", f"{root}/out", f"{root}/ck", glob="*.parquet")
+    second = ingest_stream(spark, f"{root}/in", Lake(f"{root}/out"), f"{root}/ck", glob="*.parquet")
     assert first.rows + second.rows == raw.count()
-    assert read_published(spark, f"{root}/out").count() == raw.count()
+    assert read_layer(spark, Lake(f"{root}/out"), "bronze").count() == raw.count()
 
 
 def test_incremental_reconciled(spark):
     folder = _landing(spark, drift=True)
     root = scratch_path(spark, "test-incr-drift")
-    ingest_reconciled(spark, folder, f"{root}/out", f"{root}/ck", glob="*.parquet", max_files_per_trigger=2)
-    assert ingest_reconciled(spark, folder, f"{root}/out", f"{root}/ck", glob="*.parquet") == Added()
-    got = read_published(spark, f"{root}/out")
+    ingest_reconciled(spark, folder, Lake(f"{root}/out"), f"{root}/ck", glob="*.parquet", max_files_per_trigger=2)
+    assert ingest_reconciled(spark, folder, Lake(f"{root}/out"), f"{root}/ck", glob="*.parquet") == Added()
+    got = read_layer(spark, Lake(f"{root}/out"), "bronze")
     assert got.count() == lineitem_raw(spark, SF_SMALL).count()
 
 
@@ -122,9 +122,11 @@ def test_pipeline_run_report_and_invariants(spark):
     assert read_layer(spark, lake, "gold", "trips_by_zone").agg(F.sum("pickups")).first()[0] == report.silver_rows
     assert set(report.gold_rows) == set(GOLD_TABLES)
     # silver is partitioned by pickup year and month
-    (live,) = publications(spark, lake.silver())
-    local = f"{lake.silver()}/{live['folder']}/data".replace("file:", "")
-    assert any(d.startswith("pickup_year=") for d in os.listdir(local))
+    parts = spark.sql(f"SHOW PARTITIONS {tables.current(spark, lake.table('silver')).table}").collect()
+    assert all(p[0].startswith("pickup_year=") and "/pickup_month=" in p[0] for p in parts)
+    stored = {r["step"]: r for r in read_layer(spark, lake, "gold", "run_report").collect()}
+    assert set(stored) == {"bronze", "silver", *GOLD_TABLES} and {r["state"] for r in stored.values()} == {"done"}
+    assert stored["silver"]["rows"] == report.silver_rows and stored["trips_by_zone"]["inputs"]
 
 
 def test_failed_gold_table_is_reported_and_others_are_written(spark, monkeypatch):
@@ -172,7 +174,7 @@ def test_incremental_counts_every_micro_batch(spark):
     root = scratch_path(spark, "test-incr-many")
     raw = lineitem_raw(spark, SF_SMALL)
     raw.repartition(6).write.parquet(f"{root}/in")
-    n = ingest_stream(spark, f"{root}/in", f"{root}/out", f"{root}/ck", glob="*.parquet", max_files_per_trigger=1)
+    n = ingest_stream(spark, f"{root}/in", Lake(f"{root}/out"), f"{root}/ck", glob="*.parquet", max_files_per_trigger=1)
     assert (n.files, n.rows) == (6, raw.count())
 
 
@@ -197,7 +199,7 @@ def _land(spark, folder, n, name, day=1):
 def test_rebuild_and_increments_share_bronze(spark):
     root = scratch_path(spark, "test-rebuild")
     landing, lake = f"{root}/in", Lake(f"{root}/lake")
-    run = lambda ck: ingest_stream(spark, landing, lake.bronze(), f"{root}/{ck}", glob="*.parquet")
+    run = lambda ck: ingest_stream(spark, landing, lake, f"{root}/{ck}", glob="*.parquet")
     first = _land(spark, landing, 10, "a.parquet")
     assert run("ck") == Added(1, 10)
     assert write_bronze(spark, landing, lake, glob="*.parquet") == 10
@@ -227,7 +229,9 @@ def test_failed_rebuild_keeps_the_table(spark):
     with pytest.raises(Exception):
         write_bronze(spark, landing, lake, glob="*.parquet", files_per_batch=1)
     assert read_layer(spark, lake, "bronze").count() == 10
-    assert len(vacuum(spark, lake.bronze())) == 1 and read_layer(spark, lake, "bronze").count() == 10
+    # the failed version and its list of files go, the table stays
+    assert len(tables.drop_superseded(spark, lake.table("bronze"))) == 2
+    assert read_layer(spark, lake, "bronze").count() == 10
 
 
 def test_bronze_batches_and_drift_under_another_zone(spark):
@@ -243,7 +247,7 @@ def test_bronze_batches_and_drift_under_another_zone(spark):
 
 def test_nothing_published(spark):
     with pytest.raises(FileNotFoundError, match="nothing is published"):
-        read_published(spark, scratch_path(spark, "none"))
+        read_layer(spark, Lake(scratch_path(spark, "none")), "bronze")
 
 
 def test_rules_all_fire(spark):

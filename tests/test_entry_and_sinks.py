@@ -5,9 +5,11 @@ import datetime as dt
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tests.trips import frame, trip
+from triplake.config import QualityRules
 from triplake.operators.bronze import bronze
 from triplake.operators.gold import time_patterns
 from triplake.operators.silver import silver
@@ -41,10 +43,64 @@ def test_managed_tables_and_catalog(spark):
         sinks.require_tables(spark, ["gold_test.time_patterns", "gold_test.no_such"])
 
 
-def test_fetch_is_bounded(spark):
-    assert len(fetch(spark.range(10), max_rows=10)) == 10
-    with pytest.raises(ValueError):
-        fetch(spark.range(11), max_rows=10)
+def test_fetch_by_pages(spark):
+    from triplake.plans.inspect import fetch_pages
+
+    ordered = spark.range(1000, numPartitions=3).selectExpr("id", "cast(id as string) as t").orderBy(F.desc("id"))
+    pages = list(fetch_pages(ordered, page_rows=100))
+    assert all(len(p) <= 100 for p in pages) and len(pages) >= 10
+    assert [i for p in pages for i in p["id"]] == list(range(999, -1, -1))
+    assert fetch(spark.range(0)).empty and list(fetch(spark.range(0)).columns) == ["id"]
+    kinds = spark.sql("select timestamp'2024-01-02 03:04:05' a, timestamp_ntz'2024-01-02 03:04:05' b, date'2024-01-02' c, cast(null as double) d")
+    assert fetch(kinds).astype(str).equals(kinds.toPandas().astype(str))
+
+
+def test_report_of_200_000_zones(spark):
+    from triplake.operators.analytics import pareto_curve
+    from triplake.plans.report import fetch_report
+
+    n = 200_000
+    zones = spark.range(n).select(
+        F.col("id").alias("zone_id"), (n - F.col("id")).alias("pickups"), (2.0 * (n - F.col("id"))).alias("total_revenue"),
+        F.lit(2.0).alias("avg_fare"), F.lit(1.0).alias("avg_distance_miles"))
+    rows = fetch_report({"pareto_curve": pareto_curve(zones).orderBy("zone_rank")})["pareto_curve"]
+    assert len(rows) == n and [r["zone_rank"] for r in rows[:3]] == [1, 2, 3] and rows[-1]["cum_pct"] == pytest.approx(100.0)
+
+
+def test_create_or_replace_is_never_without_a_table(spark):
+    """A reader beside replacements sees whole tables only."""
+    import threading
+
+    sinks.ensure_namespace(spark, "swap_test")
+    whole = lambda k: spark.range(2000).select(F.lit(k).alias("k"), "id")
+    sinks.save_as_table(whole(0), "swap_test.t", partition_by=["k"])
+    seen, stop, errors = set(), threading.Event(), []
+
+    def read():
+        while not stop.is_set():
+            try:
+                seen.update((r["k"], r["n"]) for r in spark.table("swap_test.t").groupBy("k").agg(F.count("*").alias("n")).collect())
+            except Exception as e:  # noqa: BLE001
+                errors.append(e)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for k in range(1, 5):
+        sinks.save_as_table(whole(k), "swap_test.t", partition_by=["k"])
+    stop.set()
+    reader.join()
+    assert not errors and seen and {n for _, n in seen} == {2000}
+    from triplake.plans import tables
+
+    assert len(tables.drop_superseded(spark, "swap_test.t")) == 4 and spark.table("swap_test.t").first()["k"] == 4
+
+
+def test_failed_replacement_keeps_the_table(spark):
+    sinks.ensure_namespace(spark, "swap_test")
+    sinks.save_as_table(spark.range(3), "swap_test.kept")
+    with pytest.raises(Exception, match="broken"):
+        sinks.save_as_table(spark.range(5).select(F.raise_error(F.lit("broken")).cast("long").alias("id")), "swap_test.kept")
+    assert spark.table("swap_test.kept").count() == 3
 
 
 T0 = dt.datetime(2018, 12, 31, 23, 0)
@@ -146,6 +202,16 @@ def test_sums_keep_all_decimals(spark):
     assert (r.total_revenue, r.avg_fare, r.avg_passengers) == (10004.0, 10.0, 1.4)
 
 
+def test_means_divide_by_what_is_summed(spark):
+    """A value that the exact sum cannot hold counts neither way."""
+    from triplake.operators.gold import trips_by_month
+
+    wide = QualityRules(max_amount=1e18, max_distance=1e18)
+    rows = [trip(total_amount=10.0, trip_distance=2.0), trip(total_amount=1e13, trip_distance=4.0)]
+    r = trips_by_month(silver(bronze(frame(spark, rows)), wide)).first()
+    assert (r.trip_count, r.total_revenue, r.avg_fare, r.avg_distance_miles) == (2, 10.0, 10.0, 3.0)
+
+
 def test_gold_tables_have_their_columns_and_one_scan(spark):
     from tests.conftest import SF_SMALL
     from triplake.contracts import GOLD_COLUMNS

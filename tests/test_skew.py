@@ -11,7 +11,8 @@ from triplake.contracts import PICKUP, RAW_SCHEMA, ZONE
 from triplake.operators import gold
 from triplake.operators.bronze import bronze
 from triplake.operators.silver import silver
-from triplake.plans.pipeline import read_layer, write_bronze, write_silver
+from triplake.plans.pipeline import write_bronze, write_silver
+from triplake.plans.tables import current
 from triplake.session import scratch_path
 
 N = 3000
@@ -70,7 +71,7 @@ def test_clustered_silver_splits_a_hot_pickup_second(spark):
         spark.conf.set(key, before)
     assert kept == N
     hot = (
-        read_layer(spark, lake, "silver")
+        spark.table(current(spark, lake.table("silver")).table)
         .where((F.col("pickup_year") == 2024) & (F.col("pickup_month") == 3) & (F.col(PICKUP) == HOT_SECOND))
         .groupBy(F.col("_metadata.file_path"))
         .count()

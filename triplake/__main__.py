@@ -3,10 +3,13 @@
     python -m triplake bronze  --raw DIR --lake ROOT [--no-reconcile]
     python -m triplake silver  --lake ROOT [--last-month YYYY-MM] [--cluster]
     python -m triplake gold    --lake ROOT [--keep-null-zone]
-    python -m triplake run     --raw DIR --lake ROOT [--last-month YYYY-MM] [--no-reconcile]
+    python -m triplake run     --raw DIR --lake ROOT [--last-month YYYY-MM] [--no-reconcile] [--resume]
     python -m triplake ingest  --raw DIR --lake ROOT [--no-reconcile]   (only unseen files)
     python -m triplake report  --lake ROOT [--raw DIR] [--last-month YYYY-MM] [--min-year 2019]
     python -m triplake audit   --lake ROOT --start-year 2019 [--as-of YYYY-MM-DD]
+
+Steps find each other's tables in the session's catalog: separate processes
+need a persistent one.
 """
 
 from __future__ import annotations
@@ -29,6 +32,9 @@ def _parser() -> argparse.ArgumentParser:
     ap.add_argument("--reconcile", action=argparse.BooleanOptionalAction, default=True,
                     help="files may differ in physical schema (default)")
     ap.add_argument("--duration-scale", type=int, default=None, help="decimals of silver's duration")
+    ap.add_argument("--resume", action="store_true", help="run: take new files only, skip what is up to date")
+    ap.add_argument("--rescue", action="store_true", help="keep malformed values aside instead of failing")
+    ap.add_argument("--catalog", default=None, help="name of the lake in the catalog (default: made from its root)")
     ap.add_argument("--last-month", default=None, help="YYYY-MM upper pickup bound (inclusive)")
     ap.add_argument("--min-year", type=int, default=2019)
     ap.add_argument("--max-amount", type=float, default=1000.0)
@@ -52,7 +58,7 @@ def main(argv: list[str] | None = None) -> dict:
     from triplake.session import get_spark, scratch_scope
 
     spark = get_spark()
-    lake = Lake(args.lake)
+    lake = Lake(args.lake, catalog=args.catalog)
     rules = QualityRules(
         max_minutes=args.max_minutes,
         max_distance=args.max_distance,
@@ -66,22 +72,24 @@ def main(argv: list[str] | None = None) -> dict:
         raise SystemExit("--raw is required for this step")
     with scratch_scope(spark):
         if args.step == "bronze":
-            out["bronze_rows"] = pipeline.write_bronze(spark, args.raw, lake, args.reconcile, args.glob)
+            out["bronze_rows"] = pipeline.write_bronze(spark, args.raw, lake, args.reconcile, args.glob,
+                                                       rescue=args.rescue)
         elif args.step == "silver":
             out["silver_rows"] = pipeline.write_silver(spark, lake, rules, args.duration_scale, args.cluster)
         elif args.step == "gold":
-            out["gold_rows"], out["failed"] = pipeline.write_gold(spark, lake, opts)
+            out["gold_rows"], out["failed"], _ = pipeline.write_gold(spark, lake, opts)
         elif args.step == "run":
             r = pipeline.run_pipeline(spark, args.raw, lake, rules, opts, args.reconcile, args.glob,
                                       raise_on_failure=False, cluster_silver=args.cluster,
-                                      duration_scale=args.duration_scale)
+                                      duration_scale=args.duration_scale, resume=args.resume, rescue=args.rescue)
             out = {"bronze_rows": r.bronze_rows, "silver_rows": r.silver_rows, "removed_rows": r.removed_rows,
-                   "gold_rows": r.gold_rows, "failed": r.failed}
+                   "gold_rows": r.gold_rows, "failed": r.failed, "skipped": r.skipped}
         elif args.step == "ingest":
             from triplake.streaming.incremental import ingest
 
-            added = ingest(spark, args.raw, lake.bronze(), lake.checkpoint("bronze_ingest"), args.reconcile, glob=args.glob)
-            out["added"] = {"files": added.files, "rows": added.rows}
+            added = ingest(spark, args.raw, lake, lake.checkpoint("bronze_ingest"), args.reconcile, glob=args.glob,
+                           rescue=args.rescue)
+            out["added"] = {"files": added.files, "rows": added.rows, "skipped": added.skipped, "lost": added.lost}
         elif args.step == "report":
             from triplake.plans.report import fetch_report, report_frames
 

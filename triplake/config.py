@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from dataclasses import dataclass
 
@@ -65,20 +66,43 @@ class GoldOptions:
     duration_scale: int | None = None
 
 
+# The tables of the layers that have one.
+LAYER_TABLES = {"bronze": "tlc_trips_raw", "silver": "tlc_trips"}
+
+
 @dataclass(frozen=True)
 class Lake:
-    """Layer locations under one root URI (local path or object store)."""
+    """Layer locations under one root URI (local path or object store), and
+    the catalog names of their tables.
+
+    Each layer is a schema whose folder is the layer's; ``catalog`` names the
+    lake in the catalog (by default a name made from its root)."""
 
     root: str
     fmt: str = "parquet"
+    catalog: str | None = None
+
+    @property
+    def _prefix(self) -> str:
+        return self.catalog or f"lake_{hashlib.sha256(self.root.rstrip('/').encode()).hexdigest()[:16]}"
+
+    def schema(self, layer: str) -> str:
+        return f"{self._prefix}_{layer}"
+
+    def table(self, layer: str, name: str | None = None) -> str:
+        """Catalog name of a layer's table."""
+        return f"{self.schema(layer)}.{name or LAYER_TABLES[layer]}"
+
+    def folder(self, layer: str) -> str:
+        return f"{self.root.rstrip('/')}/{layer}"
 
     def _path(self, layer: str, name: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{name}"
 
-    def bronze(self, name: str = "tlc_trips_raw") -> str:
+    def bronze(self, name: str = LAYER_TABLES["bronze"]) -> str:
         return self._path("bronze", name)
 
-    def silver(self, name: str = "tlc_trips") -> str:
+    def silver(self, name: str = LAYER_TABLES["silver"]) -> str:
         return self._path("silver", name)
 
     def gold(self, name: str) -> str:

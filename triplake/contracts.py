@@ -48,6 +48,10 @@ SOURCE = "_source"
 SOURCE_NAME = "nyc_tlc_yellow"
 RAW_FILE_GLOB = "yellow_tripdata_*.parquet"
 
+# Beside the bronze columns: values that a cast lost, with their column.
+RESCUED = "_rescued"
+RESCUED_TYPE = "array<struct<column:string,value:string>>"
+
 BRONZE_SCHEMA = StructType(
     RAW_SCHEMA.fields
     + [

@@ -27,6 +27,12 @@ def decimal_sum(c: Column | str) -> Column:
     return F.sum(c.try_cast(DECIMAL_TYPE))
 
 
+def decimal_count(c: Column | str) -> Column:
+    """Aggregate: number of values that ``decimal_sum`` adds up."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.count(c.try_cast(DECIMAL_TYPE))
+
+
 def quanta(c: Column | str, per_unit: int) -> Column:
     """``c`` as an integer number of ``1/per_unit`` quanta (NULL stays NULL)."""
     c = F.col(c) if isinstance(c, str) else c

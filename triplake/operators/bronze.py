@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, TimestampNTZType, TimestampType
 
-from triplake.contracts import INGESTED_AT, RAW_SCHEMA, SOURCE, SOURCE_NAME
+from triplake.contracts import INGESTED_AT, RAW_SCHEMA, RESCUED, RESCUED_TYPE, SOURCE, SOURCE_NAME
 
 
 def utc_wall_clock(instant: Column) -> Column:
@@ -45,6 +45,21 @@ def to_contract(df: DataFrame, schema: StructType = RAW_SCHEMA, safe: bool = Fal
     return df.select(*contract_columns(df, schema, safe))
 
 
+def lost_values(df: DataFrame, schema: StructType = RAW_SCHEMA) -> Column:
+    """The values that a safe cast onto ``schema`` turns into NULL, each with
+    its column, as they were: a list that is empty for almost every row."""
+    by_lower = {c.lower(): c for c in df.columns}
+    lost = []
+    for field in schema.fields:
+        src = by_lower.get(field.name.lower())
+        if src is None or df.schema[src].dataType == field.dataType or isinstance(df.schema[src].dataType, TimestampType):
+            continue
+        value = F.col(f"`{src}`")
+        entry = F.struct(F.lit(field.name).alias("column"), value.cast("string").alias("value"))
+        lost.append(F.when(value.isNotNull() & value.try_cast(field.dataType).isNull(), entry))
+    return (F.filter(F.array(*lost), lambda v: v.isNotNull()) if lost else F.array()).cast(RESCUED_TYPE)
+
+
 def with_ingestion_metadata(df: DataFrame, source: str = SOURCE_NAME) -> DataFrame:
     """Append ``_ingested_at`` (wall clock, NTZ) and ``_source``."""
     return df.withColumns(
@@ -58,3 +73,11 @@ def with_ingestion_metadata(df: DataFrame, source: str = SOURCE_NAME) -> DataFra
 def bronze(raw: DataFrame, source: str = SOURCE_NAME, safe: bool = False) -> DataFrame:
     """Raw trips -> bronze rows (19 typed trip columns + metadata)."""
     return with_ingestion_metadata(to_contract(raw, RAW_SCHEMA, safe), source)
+
+
+def bronze_with_rescue(raw: DataFrame, source: str = SOURCE_NAME, rescue: bool = True) -> DataFrame:
+    """Bronze rows and ``_rescued``: with ``rescue`` malformed values become
+    NULL and are listed there; without, they fail the job as in ``bronze``."""
+    values = lost_values(raw) if rescue else F.array().cast(RESCUED_TYPE)
+    typed = raw.select(*contract_columns(raw, RAW_SCHEMA, rescue), values.alias(RESCUED))
+    return with_ingestion_metadata(typed, source)

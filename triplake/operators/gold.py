@@ -17,12 +17,18 @@ from pyspark.sql import functions as F
 
 from triplake.config import GoldOptions
 from triplake.contracts import GOLD_KEYS, ZONE
-from triplake.functions.measures import decimal_sum, mean_of_quanta, quanta_sum, ratio
+from triplake.functions.measures import decimal_count, decimal_sum, mean_of_quanta, quanta_sum, ratio
 
 # Grouping columns of all tables, in grouping-id order (first: highest bit).
 _ALL_KEYS = [k for keys in GOLD_KEYS.values() for k in keys]
 
 
+ADDITIVE = (
+    "trips", "amount_sum", "amount_n", "distance_sum", "distance_n", "passengers_sum", "passengers_n",
+    "duration_seconds", "duration_units", "duration_n",
+)
+
+
 def _additive() -> list[Column]:
     """Sums and counts from which every gold measure is finished.  The
     duration is summed both as whole seconds and as hundred-thousandths of a
@@ -31,11 +37,11 @@ def _additive() -> list[Column]:
     return [
         F.count(F.lit(1)).alias("trips"),
         decimal_sum("total_amount").alias("amount_sum"),
-        F.count("total_amount").alias("amount_n"),
+        decimal_count("total_amount").alias("amount_n"),
         decimal_sum("trip_distance").alias("distance_sum"),
-        F.count("trip_distance").alias("distance_n"),
+        decimal_count("trip_distance").alias("distance_n"),
         decimal_sum("passenger_count").alias("passengers_sum"),
-        F.count("passenger_count").alias("passengers_n"),
+        decimal_count("passenger_count").alias("passengers_n"),
         quanta_sum(duration, 60).alias("duration_seconds"),
         quanta_sum(duration, 100_000).alias("duration_units"),
         F.count(duration).alias("duration_n"),
@@ -48,13 +54,22 @@ def _table_id(name: str) -> int:
     return sum(1 << (len(_ALL_KEYS) - 1 - i) for i, k in enumerate(_ALL_KEYS) if k not in own)
 
 
-def additive_cells(silver: DataFrame, tables: Sequence[str] = tuple(GOLD_KEYS)) -> DataFrame:
+def additive_cells(silver: DataFrame, tables: Sequence[str] = tuple(GOLD_KEYS), by: Sequence[str] = ()) -> DataFrame:
     """The additive measures of ``tables`` in one pass over silver: all keys
     (NULL where a table doesn't group by them), ``table_id`` and the sums.
-    The grouping id tells a NULL zone from a row without zone."""
-    keys = list(_ALL_KEYS)
-    sets = [[F.col(k) for k in GOLD_KEYS[name]] for name in tables]
-    return silver.groupingSets(sets, *keys).agg(F.grouping_id().alias("table_id"), *_additive())
+    The grouping id tells a NULL zone from a row without zone.  ``by`` keeps
+    the cells of its columns' values apart (every set groups by them, so as
+    the first columns they leave the grouping ids as they are)."""
+    sets = [[F.col(k) for k in (*by, *GOLD_KEYS[name])] for name in tables]
+    return silver.groupingSets(sets, *by, *_ALL_KEYS).agg(F.grouping_id().alias("table_id"), *_additive())
+
+
+def merged_cells(cells: DataFrame) -> DataFrame:
+    """One cell for each table and key from the cells of several increments:
+    sums and counts add up, so nothing is read again."""
+    keys = [*_ALL_KEYS, "table_id"]
+    measures = [c for c in cells.columns if c in ADDITIVE]
+    return cells.groupBy(*keys).agg(*(F.sum(c).alias(c) for c in measures))
 
 
 def _cells_of(cells: DataFrame, name: str) -> DataFrame:

@@ -80,17 +80,16 @@ def report_frames(
     return frames
 
 
-def fetch_report(frames: dict[str, DataFrame], max_rows: int = 100_000) -> dict[str, list[dict]]:
-    """Fetch every (small, bounded) report frame as records.
+def fetch_report(frames: dict[str, DataFrame], page_rows: int = 50_000) -> dict[str, list[dict]]:
+    """Fetch every report frame as records, whatever its size, by pages.
 
     The frames are independent, so they run as concurrent jobs from driver
-    threads that inherit the caller's job group and tags; each fetch still
-    refuses a frame above ``max_rows``.
+    threads that inherit the caller's job group and tags.
     """
     if not frames:
         return {}
     spark = next(iter(frames.values())).sparkSession
-    task = inheritable_thread_target(spark)(lambda df: fetch(df, max_rows).to_dict("records"))
+    task = inheritable_thread_target(spark)(lambda df: fetch(df, page_rows).to_dict("records"))
     with ThreadPoolExecutor(max_workers=min(len(frames), 8)) as pool:
         results = list(pool.map(task, frames.values()))
     return dict(zip(frames, results))

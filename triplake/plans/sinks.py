@@ -1,7 +1,7 @@
 """Plain and managed table sinks, namespaces and catalog checks.
 
-The lake's layers use published tables (``triplake.plans.publish``); the
-functions here write a folder or a catalog table directly.
+Catalog tables are views over versions (``triplake.plans.tables``), so create
+or replace never leaves a moment without the table.
 """
 
 from __future__ import annotations
@@ -11,6 +11,9 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from triplake.plans import tables
+from triplake.plans.tables import quoted
+
 
 def write_table(
     df: DataFrame,
@@ -31,16 +34,11 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.format(fmt).load(path)
 
 
-def _quoted(name: str) -> str:
-    """A name of one or more levels, each level quoted."""
-    return ".".join(f"`{part.strip('`')}`" for part in name.split("."))
-
-
 def ensure_namespace(spark: SparkSession, name: str, location: str | None = None) -> None:
     """``CREATE SCHEMA IF NOT EXISTS``; ``name`` may carry its catalog
     (``catalog.schema``), ``location`` is the folder of its managed tables."""
     at = " LOCATION '{}'".format(location.replace("'", "\\'")) if location else ""
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {_quoted(name)}{at}")
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quoted(name)}{at}")
 
 
 def namespace_exists(spark: SparkSession, name: str) -> bool:
@@ -60,17 +58,12 @@ def require_tables(spark: SparkSession, names: Iterable[str]) -> None:
 
 def create_table(spark: SparkSession, name: str, schema: StructType, fmt: str = "parquet",
                  replace: bool = True) -> None:
-    """Create an empty managed table with declared columns.  ``replace`` drops
-    an older one first; it is dropped only once the new definition has been
-    accepted under a temporary name."""
-    if replace and spark.catalog.tableExists(name):
-        trial = f"{name}__new"
-        spark.sql(f"DROP TABLE IF EXISTS {_quoted(trial)}")
-        spark.catalog.createTable(trial, source=fmt, schema=schema)
-        spark.sql(f"DROP TABLE {_quoted(name)}")
-        spark.sql(f"ALTER TABLE {_quoted(trial)} RENAME TO {_quoted(name)}")
-        return
-    spark.catalog.createTable(name, source=fmt, schema=schema)
+    """Create an empty table with declared columns.  ``replace`` puts it in the
+    place of an older one by one statement: there is a table at all times."""
+    if not replace and spark.catalog.tableExists(name):
+        raise ValueError(f"table {name} exists")
+    version = tables.new_version(spark, name, schema, fmt=fmt)
+    tables.switch(spark, name, version, [f.name for f in schema.fields])
 
 
 def save_as_table(
@@ -80,13 +73,19 @@ def save_as_table(
     mode: str = "overwrite",
     partition_by: Sequence[str] | None = None,
 ) -> None:
-    """Create-or-replace a managed table from a query (CTAS)."""
-    w = df.write.format(fmt).mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.saveAsTable(name)
+    """Create or replace a table from a query (CTAS): readers see the old rows
+    until all new ones are stored.  ``mode`` may also be ``append``."""
+    if mode == "append" and tables.current(df.sparkSession, name):
+        insert_into(df.select(*df.sparkSession.table(name).columns), name)
+    else:
+        tables.replace_table(df, name, fmt, partition_by or ())
 
 
 def insert_into(df: DataFrame, name: str) -> None:
     """``INSERT INTO name SELECT ...`` by column position, as SQL does."""
-    df.write.insertInto(name)
+    version = tables.current(df.sparkSession, name)
+    if version is None:
+        df.write.insertInto(name)
+        return
+    public = df.toDF(*df.sparkSession.table(name).columns)
+    tables.insert_counted(public, version.table)

@@ -1,7 +1,10 @@
-"""File listings of a raw landing folder (no file contents are read)."""
+"""File listings of a raw landing folder, and what tells its files apart."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +47,87 @@ def require_files(spark: SparkSession, directory: str, glob: str = RAW_FILE_GLOB
     return listing
 
 
+_PIECE = 4 << 20  # bytes of a file that a task holds at a time
+
+
+def content_keys(listing: DataFrame) -> DataFrame:
+    """``(path, name, length, checksum)``: the SHA-256 of each file, read on
+    the executors piece by piece.
+
+    Like the footer reader, the task function ships by value and opens files
+    through pyarrow's file systems (file, hdfs, s3/s3a, gs, abfs)."""
+    piece = _PIECE
+
+    def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import hashlib
+        from urllib.parse import unquote, urlparse
+
+        from pyarrow import fs
+
+        def checksum(uri: str) -> str:
+            parsed = urlparse(uri)
+            if parsed.scheme in ("", "file"):
+                filesystem, path = fs.LocalFileSystem(), unquote(parsed.path)
+            else:
+                filesystem, path = fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+            whole = hashlib.sha256()
+            with filesystem.open_input_stream(path, compression=None) as f:
+                while part := f.read(piece):
+                    whole.update(part)
+            return whole.hexdigest()
+
+        for pdf in batches:
+            yield pdf.assign(checksum=[checksum(u) for u in pdf["path"]])
+
+    return listing.select("path", "name", "length").mapInPandas(keys, "path string, name string, length long, checksum string")
+
+
+class ConflictingFiles(ValueError):
+    """Two different files share a name."""
+
+
+def one_of_each_name(keys: DataFrame) -> DataFrame:
+    """One file of each name and the number of its ``copies``; raises
+    ``ConflictingFiles`` with both paths if files of one name differ."""
+    own = keys.groupBy("name").agg(
+        F.min(F.struct("length", "checksum", "path")).alias("_a"),
+        F.max(F.struct("length", "checksum", "path")).alias("_b"),
+        F.min("path").alias("path"),
+        F.count(F.lit(1)).alias("copies"),
+    )
+    _raise_conflicts(own, "_a", "_b")
+    return own.select("path", "name", "_a.length", "_a.checksum", "copies")
+
+
+def unseen(files: DataFrame, seen: DataFrame) -> DataFrame:
+    """The files whose name is not among the published ones (path, name,
+    length, checksum); raises ``ConflictingFiles`` if a published name has
+    other contents now."""
+    known = seen.select("name", F.struct("length", "checksum", "path").alias("_known"))
+    both = files.withColumn("_own", F.struct("length", "checksum", "path")).join(known, "name", "left")
+    _raise_conflicts(both.where("_known is not null"), "_known", "_own")
+    return both.where("_known is null").drop("_known", "_own")
+
+
+def _raise_conflicts(files: DataFrame, a: str, b: str) -> None:
+    differ = (F.col(f"{a}.length") != F.col(f"{b}.length")) | (F.col(f"{a}.checksum") != F.col(f"{b}.checksum"))
+    found = files.where(differ).select("name", F.col(f"{a}.path").alias("a"), F.col(f"{b}.path").alias("b")).take(3)
+    if found:
+        listed = "; ".join(f"{r['name']}: {r['a']} and {r['b']}" for r in found)
+        raise ConflictingFiles(f"different files of one name: {listed}")
+
+
+def rows_per_file(spark: SparkSession, paths: str | Sequence[str], glob: str | None = None) -> DataFrame:
+    """``(file, length, rows)`` of Parquet files, from a scan that reads no
+    column: the rows come from the footers, names and sizes from the source's
+    own metadata columns, whatever the files hold."""
+    reader = spark.read.schema("_none int")
+    reader = reader.option("pathGlobFilter", glob) if glob else reader
+    scanned = reader.parquet(*([paths] if isinstance(paths, str) else paths))
+    own = scanned.select(F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_size").alias("length"))
+    return own.groupBy("file", "length").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def file_inventory(listing: DataFrame) -> DataFrame:
     """Per file: name and size in MB (1 decimal, rounded as Python's
     ``round``), sorted by name."""

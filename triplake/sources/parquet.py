@@ -18,7 +18,7 @@ bounds the paths on the driver.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -78,8 +78,10 @@ def read_reconciled(
     schema: StructType = RAW_SCHEMA,
     glob: str = RAW_FILE_GLOB,
     safe: bool = False,
+    project: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Read raw files whose physical schemas differ, cast to ``schema``.
+    """Read raw files whose physical schemas differ, cast to ``schema`` (or by
+    ``project``, which gets the rows of one physical schema at a time).
 
     ``source`` is a folder (files matching ``glob``) or a list of file paths.
     Only file paths and their schema signatures reach the driver (the same
@@ -97,7 +99,8 @@ def read_reconciled(
         groups.setdefault(r["signature"], []).append(r["path"])
     if not groups:
         raise FileNotFoundError(f"no raw files in {source!r}")
-    parts = [to_contract(spark.read.parquet(*sorted(groups[sig])), schema, safe) for sig in sorted(groups)]
+    project = project or (lambda df: to_contract(df, schema, safe))
+    parts = [project(spark.read.parquet(*sorted(groups[sig]))) for sig in sorted(groups)]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -11,6 +11,16 @@ decontaminate    documents with a benchmark passage go
 pii              personal data is masked by its kind
 pack             pieces of sequences of 2048 tokens
 
+Stages that keep or drop rows keep their columns, whatever extra ones there
+are and however they are named.  Null texts are empty ones: the classifier
+scores them, no near copy or passage is found in them, masking leaves them
+null, packing gives them their end id.  Rows without a doc_id are scored,
+masked and packed like others; they are nobody's near copy, and go if their
+own text holds a benchmark item.  Rows that repeat an id are scored, masked
+and packed each on its own; near-duplicate decisions are by id, passages are
+looked for in each row's own text.  Of equally near copies the smallest doc_id
+stays.  An empty table gives an empty result.
+
 ``ORACLE_SQL`` is None: SQL expresses none of the trained classifier, the
 tokenizer and the packing; tests compare the stages with plain versions.
 """

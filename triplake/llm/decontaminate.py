@@ -34,6 +34,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from triplake.llm.names import fresh_name
 from triplake.plans.materialize import materialize
 
 SHINGLE = 5
@@ -228,6 +229,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> Da
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item, with all columns."""
-    bad = matches(docs, benchmark, percent).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col("doc_id").cast("long") == F.col("_bad"), "left_anti")
+    """The rows of ``docs`` that hold no benchmark item, with all columns.
+    Rows are told apart by id and text: of several rows of one id, or without
+    an id, those go whose own text holds an item."""
+    row, name = F.xxhash64(docs["doc_id"], docs["text"]), fresh_name(docs, "bad_row")
+    bad = matches(docs.select(row.alias("doc_id"), docs["text"].alias("text")), benchmark, percent)
+    return docs.join(bad.select(F.col("doc_id").alias(name)).distinct(), row == F.col(name), "left_anti")

@@ -44,6 +44,7 @@ from pyspark.sql import functions as F
 
 from triplake.llm.components import components
 from triplake.llm.groups import group_bounds, lists, matrix, whole_groups
+from triplake.llm.names import fresh_name
 from triplake.llm.textbytes import chunks, hash_words, mix64, shingle_hashes, word_bounds
 from triplake.plans.materialize import materialize
 
@@ -355,5 +356,6 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85) -> DataFrame
 
 def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` whose document is kept, with all their columns."""
-    dropped = near_duplicates(docs, k, percent).where(~F.col("kept")).select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(dropped, docs["doc_id"].cast("long") == F.col("_dropped"), "left_anti")
+    name = fresh_name(docs, "dropped")
+    dropped = near_duplicates(docs, k, percent).where(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(dropped, docs["doc_id"].cast("long") == F.col(name), "left_anti")

@@ -36,6 +36,7 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import IntegralType
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "url", "account", "address", "secret")
@@ -320,10 +321,11 @@ def masked(text: str, found: list[tuple[str, int, int]]) -> str:
 
 def mask(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
     """The same rows and columns with personal data masked in ``text_col``;
-    ``length_col`` (if there is one) then holds the new number of code points
-    where the text changed.  Null texts stay null."""
+    ``length_col`` (if there is one, of whole numbers) then holds the new
+    number of code points where the text changed.  Null texts stay null."""
     at = docs.columns.index(text_col)
-    length_at = docs.columns.index(length_col) if length_col in docs.columns else None
+    whole = length_col in docs.columns and isinstance(docs.schema[length_col].dataType, IntegralType)
+    length_at = docs.columns.index(length_col) if whole else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -207,8 +207,9 @@ def read_files(folder: str, manifest: DataFrame, by_rank: np.ndarray) -> DataFra
                         )
                         start += n
 
-    # one file per task at most, wherever the manifest rows lie
-    spread = manifest.select("file", "start").repartition("file")
+    # a file per task; without the number, adaptive execution would merge the
+    # manifest's few rows into one task, which then reads every file
+    spread = manifest.select("file", "start").repartitionByRange(max(1, manifest.count()), "file")
     return spread.mapInArrow(run, schema)
 
 

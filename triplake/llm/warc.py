@@ -206,7 +206,9 @@ def read_archives(folder: str, manifest: DataFrame) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
-    return manifest.repartition("archive").mapInArrow(run, RECORD_SCHEMA)
+    # an archive per task; without the number, adaptive execution would merge
+    # the manifest's few rows into one task, which then reads every archive
+    return manifest.repartitionByRange(max(1, manifest.count()), "archive").mapInArrow(run, RECORD_SCHEMA)
 
 
 def round_trip(pages: DataFrame) -> DataFrame:

@@ -301,6 +301,11 @@ def _lake_after_increment(spark: SparkSession, d: str) -> Lake:
     return lake
 
 
+def _stored_runs(spark: SparkSession, d: str) -> DataFrame:
+    """The stored reports of a full run and an increment: one row per step."""
+    return read_layer(spark, _lake_after_increment(spark, d), "gold", "run_report").select("step", "state", "rows")
+
+
 def _net_amounts(spark: SparkSession, d: str) -> DataFrame:
     """Trips whose amount is the discounted price: more than two decimals."""
     return _l_silver(spark, d).withColumn("total_amount", F.col("fare_amount"))
@@ -431,6 +436,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rescued_values": _rescued_values,
         "silver_after_increment": lambda s, d: _no_ingest_time(read_layer(s, _lake_after_increment(s, d), "silver")),
         "gold_after_increment": lambda s, d: read_layer(s, _lake_after_increment(s, d), "gold", "trips_by_month"),
+        "stored_runs": _stored_runs,
         "managed_tables": _managed_tables,
         "pipeline_rounded_duration": lambda s, d: read_layer(s, _pipeline_lake(s, d, 2), "gold", "trips_by_month"),
         # orders, with the position of each row
@@ -977,6 +983,17 @@ FROM (SELECT parse_filename(filename) AS file FROM read_blob('{ORACLE_DIR}/*.par
         "rescued_values": _RESCUED_SQL,
         "silver_after_increment": _L_SILVER,
         "gold_after_increment": _L_MONTH,
+        "stored_runs": f"""
+WITH bronze AS (SELECT year(tpep_pickup_datetime) = 1997 AS late FROM ({_L_BRONZE})),
+  silver AS (SELECT *, year(tpep_pickup_datetime) = 1997 AS late FROM ({_L_SILVER})),
+  runs AS (SELECT false AS second UNION ALL SELECT true)
+SELECT step, 'done' AS state, CAST(n AS BIGINT) AS rows FROM (
+  SELECT 'bronze' AS step, COUNT(*) AS n FROM bronze GROUP BY late
+  UNION ALL SELECT 'silver', COUNT(*) FROM silver GROUP BY late
+  UNION ALL SELECT 'trips_by_month', (SELECT COUNT(DISTINCT (pickup_year, pickup_month)) FROM silver WHERE second OR NOT late) FROM runs
+  UNION ALL SELECT 'trips_by_zone', (SELECT COUNT(DISTINCT PULocationID) FROM silver WHERE second OR NOT late) FROM runs
+  UNION ALL SELECT 'time_patterns', (SELECT COUNT(DISTINCT (pickup_hour, pickup_day_of_week)) FROM silver WHERE second OR NOT late) FROM runs
+)""",
         "pipeline_trips_by_month": _L_MONTH,
         "pipeline_layer_counts": " UNION ALL ".join(
             f"SELECT '{layer}' AS layer, '{name}' AS \"table\", CAST(COUNT(*) AS BIGINT) AS rows FROM ({sql})"

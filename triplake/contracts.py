@@ -60,7 +60,7 @@ BRONZE_SCHEMA = StructType(
     ]
 )
 
-# Derived silver columns, in output order.
+# Derived silver columns, in output order.
 SILVER_DERIVED = StructType(
     [
         StructField("trip_duration_min", DoubleType(), True),
@@ -72,9 +72,11 @@ SILVER_DERIVED = StructType(
         StructField("avg_speed_mph", DoubleType(), True),
     ]
 )
+# Silver and its partitions.
 SILVER_SCHEMA = StructType(BRONZE_SCHEMA.fields + SILVER_DERIVED.fields)
 SILVER_PARTITION_COLUMNS = ("pickup_year", "pickup_month")
 
+# Columns that the rules and the gold tables use.
 PICKUP = "tpep_pickup_datetime"
 DROPOFF = "tpep_dropoff_datetime"
 ZONE = "PULocationID"

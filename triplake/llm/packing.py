@@ -22,6 +22,8 @@ columns are ignored.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import zlib
 from collections.abc import Iterator
 
@@ -49,12 +51,21 @@ def _crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
+def _give_back_memory() -> None:
+    """Returns what earlier stages of a reused worker have freed to the
+    system, before the tokenizer's tables grow."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def tails(docs: DataFrame, vocabulary: str, end_id: int, window: int) -> DataFrame:
     """Per document: its token count, the checksums of its full windows, the
     ids of its tail and the min-hash by which tails are sorted."""
     schema = "doc_id long, n long, full array<long>, tail binary, route long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _give_back_memory()
         enc = encoder(vocabulary)
         kind = "<u2" if max(enc.size, end_id + 1) <= 1 << 16 else "<u4"
         for b in batches:

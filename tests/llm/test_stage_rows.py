@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.conftest import SF_SMALL
-from triplake.llm import decontaminate, near_dedup, pii, token_files, tokens, warc
+from triplake.llm import decontaminate, near_dedup, pii, steps, token_files, tokens, warc
+from triplake.plans.materialize import materialize
 
 PASSAGE = " ".join(f"word{i} of{i % 7}" for i in range(30))
 CLEAN = "nothing of the kind stands here at all " * 6
@@ -82,3 +83,38 @@ def test_pipeline_of_odd_rows(spark, tmp_path):
         if name != "pack":
             assert docs.schema == before.schema and 0 < docs.count() <= before.count()
     assert docs.count() > 0 and docs.where("doc_id is null").groupBy().agg(F.sum("length")).first()[0] != 0
+
+
+@pytest.mark.parametrize("slots", [1, 8, steps.FILTER_SLOTS])
+def test_texts_of_ids(spark, monkeypatch, slots):
+    monkeypatch.setattr(steps, "FILTER_SLOTS", slots)  # full bits let every text pass to the join
+    rows = [*((i, f"text {i}", i) for i in range(500)), (3, "again", 1), (None, "no id", 2), (-7, None, 3)]
+    texts = spark.createDataFrame(rows, "doc_id long, text string, slot int")
+    ids = spark.createDataFrame([(i,) for i in [*range(0, 400, 3), -7, 9999, None]], "doc_id long")
+    got = steps.texts_of(texts, ids)
+    assert got.columns == texts.columns
+    wanted = {r.doc_id for r in ids.collect()} - {None}
+    assert sorted(map(tuple, got.collect()), key=str) == sorted((r for r in rows if r[0] in wanted), key=str)
+    assert steps.texts_of(texts, ids.limit(0)).count() == 0
+
+
+def test_texts_are_filtered_before_they_are_shuffled(spark, capsys):
+    texts = spark.range(2000).selectExpr("id AS doc_id", "repeat('x', 50) AS text")
+    steps.texts_of(texts, spark.range(10).selectExpr("id AS doc_id")).explain("simple")
+    join = capsys.readouterr().out.split("SortMergeJoin")[1]
+    text_side = join[: join.rindex("HashAggregate")]
+    # the exchange of the texts stands above the join with the filter's bits
+    assert -1 < text_side.index("Exchange hashpartitioning(doc_id") < text_side.index("BroadcastHashJoin")
+
+
+def test_written_alone_leaves_one_table(spark, tmp_path):
+    made = []
+
+    def make():
+        made.append(materialize(spark.range(5).toDF("a"), "part"))
+        return made[0].selectExpr("a + 1 AS b")
+
+    got = steps.written_alone(spark, make, "alone")
+    assert sorted(r.b for r in got.collect()) == [1, 2, 3, 4, 5]
+    with pytest.raises(Exception):
+        made[0].collect()

@@ -46,6 +46,7 @@ from triplake.llm.components import components
 from triplake.llm.groups import group_bounds, lists, matrix, whole_groups
 from triplake.llm.names import fresh_name
 from triplake.llm.textbytes import chunks, hash_words, mix64, shingle_hashes, word_bounds
+from triplake.llm.steps import texts_of, written_alone
 from triplake.plans.materialize import materialize
 
 BANDS = 28
@@ -310,10 +311,9 @@ def representative_links(reps: DataFrame, texts: DataFrame, k: int, percent: int
     buckets = in_band.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = materialize(in_band.join(buckets, "band"), "members")
     pairs = materialize(forest_pairs(members, reps.select("doc_id", "sketch"), near), "pairs")
-    ends = lambda p: p.select(F.col("u").alias("doc_id")).union(p.select(F.col("v").alias("doc_id"))).distinct()
-    # The sets of documents that occur in a pair are made again from the texts.
-    # A merge join at every size: the texts are much larger than the ids.
-    sets = materialize(full_sets(texts.join(ends(pairs).hint("merge"), "doc_id", "left_semi"), k), "sets")
+    ends = pairs.select(F.col("u").alias("doc_id")).union(pairs.select(F.col("v").alias("doc_id"))).distinct()
+    # the sets of documents that occur in a pair are made again from the texts
+    sets = materialize(full_sets(texts_of(texts, materialize(ends, "ends")), k), "sets")
     links = materialize(confirmed(pairs, sets, percent), "links")
 
     component = components(links).select(F.col("node").alias("doc_id"), "component")
@@ -325,7 +325,7 @@ def representative_links(reps: DataFrame, texts: DataFrame, k: int, percent: int
     missing = rows.select("doc_id").distinct().join(sets.select("doc_id"), "doc_id", "left_anti")
     missing = materialize(missing, "missing")
     if not missing.isEmpty():
-        sets = sets.unionByName(materialize(full_sets(texts.join(missing.hint("merge"), "doc_id", "left_semi"), k), "sets"))
+        sets = sets.unionByName(materialize(full_sets(texts_of(texts, missing), k), "sets"))
     return links.unionByName(materialize(links_across(rows, sets, percent), "links"))
 
 
@@ -341,7 +341,11 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85) -> DataFrame
     )
     reps = materialize(classes, "classes")
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text")
-    component = components(representative_links(reps, texts, k, percent)).select(F.col("node").alias("doc_id"), "component")
+    component = written_alone(
+        docs.sparkSession,
+        lambda: components(representative_links(reps, texts, k, percent)).select(F.col("node").alias("doc_id"), "component"),
+        "near-components",
+    )
     placed = reps.select("set_a", "set_b", "doc_id").join(component, "doc_id", "left")
     placed = placed.select("set_a", "set_b", F.coalesce("component", "doc_id").alias("_component"))
     found = signed.select("doc_id", "n_shingles", "set_a", "set_b").join(placed, ["set_a", "set_b"], "left")

@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -269,7 +270,7 @@ def near_duplicate_vectors(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, 3):
             # vectors of one dimension at a time: a group has only one
-            sizes = np.array([len(x) for x in table.column("vector").to_pylist()]) if table.num_rows else np.zeros(0)
+            sizes = pc.list_value_length(table.column("vector")).to_numpy()
             for size in np.unique(sizes):
                 cid, linked, root = link_block(table.filter(pa.array(sizes == size)), threshold)
                 yield pa.RecordBatch.from_arrays([pa.array(cid), pa.array(linked), pa.array(root)], names=["cid", "linked", "root"])

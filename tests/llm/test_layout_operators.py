@@ -159,13 +159,61 @@ def test_neighbours_share_terms():
     idf = np.ones(400)
     shard = packing.Shard(ids, idf, 50.0)
     near = shard.neighbours(1, np.arange(60) != 1)
-    assert set(near.tolist()) == {i for i in range(60) if i % 3 == 1 and i != 1}
+    assert set(near) == {i for i in range(60) if i % 3 == 1 and i != 1}
     one_topic = [len({d % 3 for d, _, _ in s}) == 1 for s in packing.pack_shard(ids, idf, 50.0, 256)]
     assert np.mean(one_topic) > 0.6
 
 
-def test_neighbours_by_all_terms():
+def test_related_documents_with_distant_ids_share_sequences(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_DOCS", 64)
+    rng = random.Random(6)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    usual = ["".join(rng.choice(letters) for _ in range(rng.randrange(2, 6))) for _ in range(300)]
+    topics = [["".join(rng.choice(letters) for _ in range(7)) for _ in range(3)] for _ in range(20)]
+    rows = [(10_000 * j + 3 * k, [*topics[k] * 6, *rng.sample(usual, 60)]) for k in range(20) for j in range(6)]
+    rows += [(i, rng.sample(usual, 75)) for i in rng.sample(range(70_000, 90_000), 500)]
+    rows = [(i, " ".join(rng.sample(words, len(words)))) for i, words in rows]
+    got = packing.pack(documents(spark, rows), window=512, partition_docs=100).collect()
+    assert max(check_pieces(rows, got, 512)) == 512
+    topic = {10_000 * j + 3 * k: k for k in range(20) for j in range(6)}
+    together = defaultdict(set)
+    for p in got:
+        if p.doc_id in topic:
+            together[p.sequence_id, topic[p.doc_id]].add(p.doc_id)
+    met = set().union(*(ids for ids in together.values() if len(ids) > 1))
+    assert len(met) > 0.9 * len(topic)
+
+
+def test_strongest_terms():
+    rng = np.random.default_rng(8)
+    rows = sorted({(int(a), int(b)) for a, b in rng.integers(0, 30, (300, 2)) if a % 5})
+    weight = rng.integers(0, 4, len(rows)).astype(float)
+    tail, term = np.array(rows).T
+    got = packing.strongest(tail, term, weight, 30, 4)
+    for d in range(30):
+        own = sorted((-w, t) for (a, t), w in zip(rows, weight) if a == d and w > 0)[:4]
+        assert got[d].tolist() == [t for _, t in own] + [-1] * (4 - len(own))
+    assert (packing.strongest(tail[:0], term[:0], weight[:0], 2, 3) == -1).all()
+
+
+@pytest.mark.parametrize("kind", ["<u2", "<u4"])
+def test_term_counts(kind, monkeypatch):
+    monkeypatch.setattr(packing, "SLICE_TAILS", 4)
+    rng = np.random.default_rng(9)
+    ids = [rng.integers(0, 9, n).astype(kind) for n in (3, 0, 50, 1, 20, 0)]
+    got = []
+    for at, (sizes, tail, term, times) in enumerate(packing.term_counts(pa.array([x.tobytes() for x in ids]), kind)):
+        assert sizes.tolist() == [len(x) for x in ids[4 * at : 4 * at + 4]]
+        got += zip((tail + 4 * at).tolist(), term.tolist(), times.tolist())
+    assert got == [(d, t, n) for d, x in enumerate(ids) for t, n in sorted(Counter(x.tolist()).items())]
+    empty = [pa.array([b"", b""]), pa.array([], pa.binary())]
+    assert [len(term) for c in empty for _, _, term, _ in packing.term_counts(c, kind)] == [0]
+
+
+@pytest.mark.parametrize("firsts", [1, 4, 16])
+def test_neighbours_by_all_terms(firsts, monkeypatch):
     """Against plain scores; rare terms of the seed's own don't hide others."""
+    monkeypatch.setattr(packing, "FIRST_NEIGHBOURS", firsts)
     rng = np.random.default_rng(4)
     ids = [np.append(np.arange(1000 + 100 * d, 1060 + 100 * d), rng.integers(0, 40, rng.integers(1, 60))) for d in range(30)]
     ids[7] = np.array([500, 501])
@@ -179,7 +227,7 @@ def test_neighbours_by_all_terms():
                 tf = (x == t).sum()
                 score[d] += idf[t] * tf * (packing.K1 + 1) / (tf + packing.K1 * (1 - packing.B + packing.B * len(x) / mean))
         want = sorted((d for d in range(30) if unused[d] and score[d] > 0), key=lambda d: (-score[d], d))
-        assert shard.neighbours(seed, unused).tolist() == want
+        assert list(shard.neighbours(seed, unused)) == want
 
 
 # ---------------------------------------------------------------- WARC

@@ -1,8 +1,11 @@
 """Lexical retrieval packing of documents into training sequences.
 
 Every full window of a long document is a sequence of its own.  What is left
-of each document (its tail) is packed with lexically similar tails: the tails
-are sorted by a min-hash of their token ids and dealt to shards; each shard
+of each document (its tail) is packed with lexically similar tails.  The
+inverted index is sharded by term: a tail belongs to the list of its strongest
+term (occurrences times inverse document frequency over all tails), there
+among those that share its next strongest terms, whatever their ids are; a
+term that no other tail has leads nowhere and is passed over.  Each shard
 builds a BM25 inverted index over its tails (document frequencies and mean
 length come from all documents), and each seed document asks it for unused
 neighbours, best first, which greedily fill the seed's window.  A neighbour
@@ -29,17 +32,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from triplake.llm.tokens import encoder, vocabulary_path
-from triplake.llm.textbytes import mix64
 from triplake.plans.materialize import materialize
 
 WINDOW = 2048
 SHARD_DOCS = 2048
 PARTITION_DOCS = 8192
+ROUTE_TERMS = 4  # strongest terms that place a tail in the index
+FIRST_NEIGHBOURS = 16  # ranked before the others, which few windows need
+SLICE_TAILS = 1024  # tails whose terms are counted together
 K1, B = 1.2, 0.75
 
 PIECES_SCHEMA = (
@@ -60,32 +65,47 @@ def _give_back_memory() -> None:
 
 
 def tails(docs: DataFrame, vocabulary: str, end_id: int, window: int) -> DataFrame:
-    """Per document: its token count, the checksums of its full windows, the
-    ids of its tail and the min-hash by which tails are sorted."""
-    schema = "doc_id long, n long, full array<long>, tail binary, route long"
+    """Per document: its token count, the checksums of its full windows and
+    the ids of its tail."""
+    schema = "doc_id long, n long, full array<long>, tail binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _give_back_memory()
         enc = encoder(vocabulary)
         kind = "<u2" if max(enc.size, end_id + 1) <= 1 << 16 else "<u4"
         for b in batches:
-            n, full, tail, route = [], [], [], []
+            n, full, tail = [], [], []
             for text_ids in enc.encode_all(text.as_py() for text in b.column(1)):
                 ids = np.append(text_ids, np.uint32(end_id))
                 whole = len(ids) // window * window
                 n.append(len(ids))
                 full.append([_crc(ids[i : i + window]) for i in range(0, whole, window)])
-                rest = ids[whole:]
-                tail.append(rest.astype(kind).tobytes())
-                route.append(int(mix64(rest.astype(np.uint64)).min() >> np.uint64(1)) if len(rest) else 0)
+                tail.append(ids[whole:].astype(kind).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(full, pa.list_(pa.int64())), pa.array(tail, pa.binary()), pa.array(route, pa.int64())],
-                names=["doc_id", "n", "full", "tail", "route"],
+                [b.column(0), pa.array(n, pa.int64()), pa.array(full, pa.list_(pa.int64())), pa.array(tail, pa.binary())],
+                names=["doc_id", "n", "full", "tail"],
             )
 
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
 
 
+def term_counts(column: pa.Array, kind: str) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Of slices of tails: their sizes; and the distinct terms of each tail,
+    tail by tail: the tail's number, the term, its occurrences."""
+    for lo in range(0, len(column), SLICE_TAILS):
+        part = column.slice(lo, SLICE_TAILS).to_pylist()
+        ids = np.frombuffer(b"".join(part), kind)
+        sizes = np.fromiter(map(len, part), np.int64, len(part)) // np.dtype(kind).itemsize
+        # 10 bits of a tail's number and 16 of a term fit 32, others need 64
+        wide = np.uint32 if kind == "<u2" else np.uint64
+        bits = wide(16 if kind == "<u2" else 32)
+        key = np.sort(np.repeat(np.arange(len(part), dtype=wide), sizes) << bits | ids)
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
+        times = np.diff(first, append=len(key))
+        key = key[first]
+        yield sizes, (key >> bits).astype(np.int64), (key & ((wide(1) << bits) - wide(1))).astype(np.int64), times
+
+
 def document_frequencies(parts: DataFrame, size: int) -> tuple[np.ndarray, int, float]:
     """Of all tails: documents per id (one number per vocabulary id), their
     number and their mean length."""
@@ -94,12 +114,10 @@ def document_frequencies(parts: DataFrame, size: int) -> tuple[np.ndarray, int,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size + 2, np.int64)
         for b in batches:
-            for tail in b.column(0):
-                ids = np.sort(np.frombuffer(tail.as_py(), kind))
-                if len(ids):
-                    total[ids[np.append(True, ids[1:] != ids[:-1])]] += 1
-                    total[size] += 1
-                    total[size + 1] += len(ids)
+            for sizes, _, term, _ in term_counts(b.column(0), kind):
+                total[:size] += np.bincount(term, minlength=size)
+                total[size] += np.count_nonzero(sizes)
+                total[size + 1] += sizes.sum()
         met = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(total[met])], names=["id", "n"])
 
@@ -110,6 +128,44 @@ def document_frequencies(parts: DataFrame, size: int) -> tuple[np.ndarray, int,
     return out[:size], int(out[size]), float(out[size + 1]) / max(1, int(out[size]))
 
 
+def strongest(tail: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, terms: int) -> np.ndarray:
+    """Per tail (0 .. n - 1) its terms of greatest weight, strongest first,
+    ties to the smallest term; -1 where no term of positive weight is left.
+    The rows are sorted by tail and term."""
+    out = np.full((n, terms), -1, np.int64)
+    left = weight > 0
+    for k in range(terms):
+        tail, term, weight = tail[left], term[left], weight[left]
+        if not len(tail):
+            break
+        first = np.flatnonzero(np.append(True, tail[1:] != tail[:-1]))
+        best = np.repeat(np.maximum.reduceat(weight, first), np.diff(first, append=len(tail)))
+        at = np.flatnonzero(weight == best)
+        at = at[np.append(True, tail[at[1:]] != tail[at[:-1]])]
+        out[tail[at], k] = term[at]
+        left = np.ones(len(tail), bool)
+        left[at] = False
+    return out
+
+
+def routed(parts: DataFrame, strength: Broadcast[np.ndarray], kind: str) -> DataFrame:
+    """The tails with their route: the strongest terms, strongest first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            routes = [np.zeros((0, ROUTE_TERMS), np.int64)]
+            for sizes, tail, term, times in term_counts(b.column(3), kind):
+                routes.append(strongest(tail, term, times * strength.value[term], len(sizes), ROUTE_TERMS))
+            route = np.concatenate(routes)
+            ends = np.arange(len(route) + 1, dtype=np.int32) * ROUTE_TERMS
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns, pa.ListArray.from_arrays(ends, pa.array(route.reshape(-1)))], names=["doc_id", "n", "full", "tail", "route"]
+            )
+
+    own = parts.select("doc_id", "n", "full", "tail")
+    return own.mapInArrow(run, "doc_id long, n long, full array<long>, tail binary, route array<long>")
+
+
 class Shard:
     """BM25 inverted index over the tails of one shard."""
 
@@ -135,7 +191,7 @@ class Shard:
         self.of_doc = np.searchsorted(self.terms, terms[order])
         self.doc_bounds = np.searchsorted(self.docs[order], np.arange(self.n + 1))
 
-    def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
+    def neighbours(self, seed: int, unused: np.ndarray) -> Iterator[int]:
         """Unused documents that share a term with the seed, by falling score
         over all its terms, ties by position."""
         query = self.of_doc[self.doc_bounds[seed] : self.doc_bounds[seed + 1]]
@@ -147,7 +203,13 @@ class Shard:
         postings = np.repeat(first - (ends - sizes), sizes) + np.arange(sizes.sum())
         score = asked @ self.dense + np.bincount(self.docs[postings], self.impact[postings], self.n)
         found = np.flatnonzero(unused & (score > 0))
-        return found[np.argsort(-score[found], kind="stable")]
+        score = score[found]
+        if len(found) > 2 * FIRST_NEIGHBOURS:
+            # the best ones, with all that tie with the last of them
+            best = score >= np.partition(score, -FIRST_NEIGHBOURS)[-FIRST_NEIGHBOURS]
+            yield from found[best][np.argsort(-score[best], kind="stable")].tolist()
+            found, score = found[~best], score[~best]
+        yield from found[np.argsort(-score, kind="stable")].tolist()
 
 
 def pack_shard(ids: list[np.ndarray], idf: np.ndarray, mean_length: float, window: int) -> Iterator[list[tuple[int, int, int]]]:
@@ -178,7 +240,7 @@ def pack_shard(ids: list[np.ndarray], idf: np.ndarray, mean_length: float, windo
         filled = take(first, window, pieces)
         if filled < window:
             for d in index.neighbours(first, unused):
-                filled += take(int(d), window - filled, pieces)
+                filled += take(d, window - filled, pieces)
                 if filled == window:
                     break
         if filled < window:  # no lexical neighbour is left: the next in order
@@ -211,7 +273,9 @@ def pack(
     parts = materialize(tails(docs, vocabulary, end_id, window), "tails")
     frequency, total, mean_length = document_frequencies(parts, size)
     # One number per vocabulary id: bounded by the tokenizer, not by the data.
-    shared_idf = spark.sparkContext.broadcast(np.log1p((total - frequency + 0.5) / (frequency + 0.5)))
+    idf = np.log1p((total - frequency + 0.5) / (frequency + 0.5))
+    shared_idf = spark.sparkContext.broadcast(idf)
+    strength = spark.sparkContext.broadcast(np.where(frequency > 1, idf, 0.0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sequence = TaskContext.get().partitionId() << 32
@@ -246,5 +310,5 @@ def pack(
 
     n = max(1, -(-parts.count() // partition_docs))
     order = ["route", "doc_id", F.xxhash64("tail")]
-    ranged = parts.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    ranged = routed(parts, strength, kind).repartitionByRange(n, *order).sortWithinPartitions(*order)
     return ranged.select("doc_id", "n", "full", "tail").mapInArrow(run, PIECES_SCHEMA)

@@ -46,20 +46,31 @@ def test_encoder_equals_the_tokenizer(spark, monkeypatch):
     texts = ODD_TEXTS + [r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
     rng = random.Random(3)
     texts += ["".join(rng.choice("aB'stl vemrd ,.!é9\nß") for _ in range(40)) for _ in range(500)]
-    for limit in (tokens.CACHED_WORDS, 300):  # a small table is emptied often
-        monkeypatch.setattr(tokens, "CACHED_WORDS", limit)
-        monkeypatch.setattr(tokens, "CACHED_PIECES", limit)
-        enc = tokens.Encoder(tokens.vocabulary_path())
-        assert enc.by_word
-        for text in texts:
-            assert enc.encode(text).tolist() == t.encode(text, add_special_tokens=False).ids, text[:50]
-        monkeypatch.setattr(tokens, "HELD_CHARS", 10 * limit)
-        enc = tokens.Encoder(tokens.vocabulary_path())
-        for text, ids in zip(texts, enc.encode_all([*texts, None]), strict=False):
-            assert ids.tolist() == t.encode(text, add_special_tokens=False).ids, text[:50]
-        assert [len(x) for x in enc.encode_all([None, "", "  "])] == [0, 0, 0] and not list(enc.encode_all([]))
+    texts += ["x " + "ab" * 700 + " y", "é" * 501, "don't" * 300, "a" * 400 + " " + "-" * 800 + "9" * 30]  # long pieces
+    enc = tokens.Encoder(tokens.vocabulary_path())
+    assert enc.by_piece and "tokenizer" not in vars(enc) and enc.size == t.get_vocab_size(with_added_tokens=True)
+    want = [t.encode(text, add_special_tokens=False).ids for text in texts]
+    for text, ids in zip(texts, want):
+        assert enc.encode(text).tolist() == ids, text[:50]
+    for held in (1, 3000, 1 << 20):
+        monkeypatch.setattr(tokens, "HELD_CHARS", held)
+        assert [ids.tolist() for ids in enc.encode_all([*texts, None])] == [*want, []]
+    assert [len(x) for x in enc.encode_all([None, "", "  "])] == [0, 0, 0] and not list(enc.encode_all([]))
+    # every token of the vocabulary, within a piece and at its end
+    names = {v: k for k, v in t.get_vocab().items()}
+    byte_of = {c: b for b, c in tokens.byte_letters().items()}
+    words = (bytes(byte_of[c] for c in n.removesuffix("</w>")).decode(errors="ignore") for i, n in names.items() if i < 49_406)
+    words = [w for w in words if w]
+    for text in (" ".join(words), " ".join("a" + w + "e" for w in words)):
+        assert enc.encode(tokens.UNUSUAL.sub("", text)).tolist() == t.encode(tokens.UNUSUAL.sub("", text), add_special_tokens=False).ids
     other = tokens.Encoder(tokens.vocabulary_path("byte_bpe_50k.json"))
-    assert not other.by_word and len(other.encode("some text"))
+    assert not other.by_piece and [len(x) > 0 for x in other.encode_all(["some text", None])] == [True, False]
+
+
+def test_tokens_that_their_symbols_do_not_merge_to():
+    order = {pair: i for i, pair in enumerate([("b", "c"), ("a", "b"), ("ab", "c"), ("bc", "d</w>"), ("a", "bcd</w>")])}
+    tokens_of = {"bc": True, "ab": True, "abc": False, "bcd</w>": True, "abcd</w>": True}
+    assert {t: tokens.reachable(t, order) for t in tokens_of} == tokens_of
 
 
 # ---------------------------------------------------------------- token files

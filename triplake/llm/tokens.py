@@ -1,35 +1,41 @@
 """Token ids of whole texts with a public tokenizer, fast inside tasks.
 
 The ids are exactly those of ``Tokenizer.encode(text, add_special_tokens=
-False)``.  The tokenizer's pieces never span white space, so the words of a
-text of plain Latin characters encode independently, and so do the pieces of
-a word.  Texts are taken many at a time; their new pieces are encoded in one
-call, and words and pieces are then looked up.  Every other text (other scripts,
-combining marks, control characters, special-token strings) goes through the
-tokenizer whole.  The tables of a worker are emptied when they reach
-``CACHED_WORDS`` or ``CACHED_PIECES``; this bounds memory and changes no result.
+False)``.  The tokenizer's pieces never span white space, so texts of plain
+Latin characters are cut into pieces here, many texts at a time, and the
+pieces are merged by rank in one call: the end of a piece is a space, the pair
+of a byte and that space comes first, then the vocabulary file's merges in
+their order.  Ranks belong to tokens, merges to pairs; both give the same ids
+where every token is what its own symbols merge to, and a token that isn't
+can't occur, so it gets no rank (``reachable``).  Every other text (other
+scripts, combining marks, control characters, special-token strings, pieces of
+over ``LONG_PIECE`` bytes) goes through the tokenizer whole, which is loaded
+when the first one comes.  Nothing is kept from one text to the next, so the
+memory of a worker is that of the vocabulary and of the texts held.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterable, Iterator
-from itertools import repeat
+from functools import cached_property
 
 import numpy as np
 
 #: Vocabulary file of the registered queries (a parameter everywhere else).
 WORD_BPE = "word_bpe_49k.json"
 
-CACHED_WORDS = 500_000
-CACHED_PIECES = 1_200_000
 HELD_CHARS = 1 << 20  # characters of texts that are encoded at a time
-
-# The pre-tokenizer pattern that the shortcut is for, as written
-# here for lower-cased plain Latin text, and its end in the vocabulary file.
-PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ž]+|[0-9]|[^a-zß-öø-ž0-9]+")
-WORD_PATTERN = '[^\\\\s\\\\p{L}\\\\p{N}]+"}'
+LONG_PIECE = 1000  # merging by rank takes the square of a piece's bytes
+
+# The pre-tokenizer pattern that the shortcut is for, in the
+# vocabulary file and as written here for lower-cased plain Latin text; the
+# normalizing steps; the end of a piece in the vocabulary file.
+PIECE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ž]+|[0-9]|[^a-zß-öø-ž0-9\s]+")
+NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 END_OF_PIECE = "</w>"
 # Characters outside of which lower-casing, composition or classes may differ
 # between libraries: printable ASCII, white space, Latin letters with marks.
@@ -51,115 +57,114 @@ def vocabulary_path(name: str = WORD_BPE) -> str:
     return public_tokenizers.path(name)
 
 
-class Runs:
-    """Runs of ids by name: a growing table with a number for each name."""
-
-    def __init__(self) -> None:
-        self.number: dict[str, int] = {}
-        self.flat = np.zeros(1 << 16, np.uint32)
-        self.first = np.zeros(1 << 14, np.int64)
-        self.count = np.zeros(1 << 14, np.int64)
-        self.used = 0
-
-    def add(self, names: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
-        """Adds new names, whose runs stand one after the other in ``ids``."""
-        known = len(self.number)
-        while known + len(names) > len(self.first):
-            self.first = np.concatenate([self.first, np.zeros_like(self.first)])
-            self.count = np.concatenate([self.count, np.zeros_like(self.count)])
-        while self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[self.used : self.used + len(ids)] = ids
-        self.first[known : known + len(names)] = self.used + np.cumsum(counts) - counts
-        self.count[known : known + len(names)] = counts
-        self.used += len(ids)
-        self.number.update(zip(names, range(known, known + len(names))))
-
-    def at(self, names: list[str]) -> np.ndarray:
-        """The numbers of names; -1 for those that are not in the table."""
-        return np.fromiter(map(self.number.get, names, repeat(-1)), np.int64, len(names))
-
-    def of(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The runs of numbers one after the other, and their lengths."""
-        counts = self.count[at]
-        ends = np.cumsum(counts)
-        return self.flat[np.repeat(self.first[at] - (ends - counts), counts) + np.arange(ends[-1])], counts
+def by_piece(file: dict) -> bool:
+    """Whether a vocabulary file is of the kind that the shortcut is for."""
+    model, split = file["model"], (file["pre_tokenizer"] or {}).get("pretokenizers", [])
+    return (
+        [n["type"] for n in (file["normalizer"] or {}).get("normalizers", [])] == NORMALIZERS
+        and [p["type"] for p in split] == ["Split", "ByteLevel"]
+        and split[0]["pattern"] == {"Regex": PIECE_PATTERN}
+        and model["type"] == "BPE"
+        and model["end_of_word_suffix"] == END_OF_PIECE
+        and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges"))
+    )
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in the vocabulary file: its own
+    where it is printable, else the next one from 256 on."""
+    plain = {b: chr(b) for b in range(256) if 33 <= b < 127 or 161 <= b < 256 and b != 173}
+    others = [b for b in range(256) if b not in plain]
+    return plain | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+def symbols(token: str) -> list[str]:
+    """The symbols that merges start from."""
+    if not token.endswith(END_OF_PIECE):
+        return list(token)
+    letters = token[: -len(END_OF_PIECE)]
+    return [*letters[:-1], letters[-1] + END_OF_PIECE]
+
+
+def reachable(token: str, order: dict[tuple[str, str], int]) -> bool:
+    """Whether a token's symbols merge to the token."""
+    parts = symbols(token)
+    while len(parts) > 1:
+        rank, at = min((order.get(pair, len(order)), i) for i, pair in enumerate(zip(parts, parts[1:])))
+        if rank == len(order):
+            return False
+        parts[at : at + 2] = [parts[at] + parts[at + 1]]
+    return True
 
 
 class Encoder:
     """Ids of texts as unsigned 32-bit arrays."""
 
     def __init__(self, path: str):
+        self.path = path
+        with open(path, encoding="utf-8") as f:
+            file = json.load(f)
+        self.by_piece = by_piece(file)
+        if self.by_piece:
+            vocabulary = file["model"]["vocab"]
+            self.size = len(vocabulary.keys() | {t["content"] for t in file["added_tokens"]})
+            self._rank(vocabulary, [tuple(m.split(" ") if isinstance(m, str) else m) for m in file["model"]["merges"]])
+        else:
+            self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+
+    @cached_property
+    def tokenizer(self):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        whole = self.tokenizer.to_str()
-        self.by_word = WORD_PATTERN in whole and END_OF_PIECE in whole
-        self.ends = np.zeros(self.size, bool)
-        self.ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(END_OF_PIECE)]] = True
-        self.words, self.pieces = Runs(), Runs()
-
-    def _learn_pieces(self, pieces: list[str]) -> None:
-        """New pieces, all encoded as one text.  Only the last id of a piece
-        can be one that ends a piece; where a piece has none, offsets tell."""
-        text = " ".join(pieces)
-        ids = np.asarray(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
-        last = np.flatnonzero(self.ends[ids])
-        if len(last) == len(pieces) and last[-1] + 1 == len(ids):
-            counts = np.diff(last, prepend=-1)
-        else:
-            e = self.tokenizer.encode(text, add_special_tokens=False)
-            starts = np.cumsum([0, *(len(p) + 1 for p in pieces)])
-            owner = np.searchsorted(starts, [a for a, _ in e.offsets], side="right") - 1
-            ids, counts = np.asarray(e.ids, np.uint32), np.bincount(owner, minlength=len(pieces))
-        self.pieces.add(pieces, ids, counts)
-
-    def _learn_words(self, words: list[str]) -> None:
-        parts = [PIECES.findall(w) for w in words]
-        flat = [p for own in parts for p in own]
-        if len(self.pieces.number) + len(flat) > CACHED_PIECES:
-            self.pieces = Runs()
-        if new := set(flat).difference(self.pieces.number):
-            self._learn_pieces(sorted(new))
-        ids, counts = self.pieces.of(self.pieces.at(flat))
-        firsts = np.cumsum([0, *map(len, parts)])[:-1]
-        self.words.add(words, ids, np.add.reduceat(counts, firsts))
-
-    def _numbers(self, words: list[str]) -> np.ndarray:
-        """The words' numbers in the table, after learning the new ones."""
-        at = self.words.at(words)
-        unknown = np.flatnonzero(at < 0)
-        if len(unknown):
-            new = {words[i] for i in unknown}
-            if len(self.words.number) + len(new) > CACHED_WORDS:
-                self.words, new = Runs(), set(words)
-                unknown = np.arange(len(words))
-            self._learn_words(sorted(new))
-            at[unknown] = self.words.at([words[i] for i in unknown])
-        return at
+        return Tokenizer.from_file(self.path)
+
+    def _rank(self, vocabulary: dict[str, int], merges: list[tuple[str, str]]) -> None:
+        import tiktoken
+
+        letters = byte_letters()
+        byte_of = {c: b for b, c in letters.items()}
+        order = {pair: i for i, pair in enumerate(merges)}
+        ranks: dict[bytes, int] = {}
+        names = [c + END_OF_PIECE for c in letters.values()] + list(letters.values())
+        names += [a + b for a, b in merges if len(symbols(a + b)) == 2 or reachable(a + b, order)]
+        for name in names:
+            ends = name.endswith(END_OF_PIECE)
+            own = bytes(byte_of[c] for c in (name[: -len(END_OF_PIECE)] if ends else name))
+            ranks.setdefault(own + b" " if ends else own, len(ranks))
+        self.ids, self.ends = np.zeros(len(ranks), np.uint32), np.zeros(len(ranks), bool)
+        for token, rank in ranks.items():
+            ends = len(token) > 1 and token.endswith(b" ")
+            name = "".join(letters[b] for b in (token[:-1] if ends else token)) + (END_OF_PIECE if ends else "")
+            self.ids[rank], self.ends[rank] = vocabulary[name], ends
+        self.merged = tiktoken.Encoding("pieces", pat_str="[^ ]+ ", mergeable_ranks=ranks, special_tokens={})
+
+    def _whole(self, text: str) -> np.ndarray:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def _encode_usual(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of texts that hold none of the unusual characters."""
-        split = [t.lower().split() for t in texts]
-        words = [w for own in split for w in own]
-        if not words:
-            return [np.zeros(0, np.uint32)] * len(texts)
-        at = self._numbers(words)  # may start the table anew
-        ids, counts = self.words.of(at)
-        ends = np.append(0, np.cumsum(counts))[np.cumsum([0, *map(len, split)])]
-        return [ids[a:b] for a, b in zip(ends[:-1], ends[1:])]
+        pieces = [PIECES.findall(t.lower()) for t in texts]
+        long = [i for i, own in enumerate(pieces) if len(texts[i]) > LONG_PIECE // 2 and max(map(len, own), default=0) > LONG_PIECE // 2]
+        whole = {i: self._whole(texts[i]) for i in long}
+        for i in long:
+            pieces[i] = []
+        line = " ".join(p for own in pieces for p in own)
+        ranks = self.merged.encode_to_numpy(line + " ") if line else np.zeros(0, np.uint32)
+        ids = self.ids[ranks]
+        # each piece has one token that ends it, the last
+        ends = np.append(0, np.flatnonzero(self.ends[ranks]) + 1)[np.cumsum([0, *map(len, pieces)])]
+        return [whole[i] if i in whole else ids[a:b] for i, (a, b) in enumerate(zip(ends[:-1], ends[1:]))]
 
     def _encode_held(self, texts: list[str]) -> Iterator[np.ndarray]:
-        whole = [not self.by_word or unusual(t) for t in texts]
-        usual = iter(self._encode_usual([t for t, w in zip(texts, whole) if not w]))
+        whole = [not self.by_piece or unusual(t) for t in texts]
+        usual = iter(self._encode_usual([t for t, w in zip(texts, whole) if not w]) if self.by_piece else ())
         for t, w in zip(texts, whole):
-            yield np.asarray(self.tokenizer.encode(t, add_special_tokens=False).ids, np.uint32) if w else next(usual)
+            yield self._whole(t) if w else next(usual)
 
     def encode_all(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
         """Ids of each text; texts are taken about ``HELD_CHARS`` characters
-        at a time, so that their new words are learned in one call."""
+        at a time, so that their pieces are encoded in one call."""
         held, size = [], 0
         for t in texts:
             held.append(t or "")

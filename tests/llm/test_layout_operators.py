@@ -3,6 +3,7 @@
 import hashlib
 import io
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -67,6 +68,17 @@ def test_encoder_equals_the_tokenizer(spark, monkeypatch):
     assert not other.by_piece and [len(x) > 0 for x in other.encode_all(["some text", None])] == [True, False]
 
 
+def test_cut_pieces():
+    pattern = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ž]+|[0-9]|[^a-zß-öø-ž0-9\s]+")
+    rng = random.Random(12)
+    texts = ["", " ", "'", "x'", "'s", "''s", "'rex've'll'l'dx'sty't1's", "÷'s×é×1", "'r", "'v\n'e"]
+    texts += ["".join(rng.choice(4 * "'" + "stmdrevlA1é÷×Ž .,\n\t") for _ in range(rng.randrange(30))) for _ in range(3000)]
+    line, ends = tokens.cut_pieces(texts)
+    for text, a, b in zip(texts, [0, *ends[:-1]], ends):
+        assert line[a:b].tobytes().decode() == "".join(f"{p} " for p in pattern.findall(text.lower())), text
+    assert len(ends) == len(texts) and [len(x) for x in tokens.cut_pieces([])] == [0, 0]
+
+
 def test_tokens_that_their_symbols_do_not_merge_to():
     order = {pair: i for i, pair in enumerate([("b", "c"), ("a", "b"), ("ab", "c"), ("bc", "d</w>"), ("a", "bcd</w>")])}
     tokens_of = {"bc": True, "ab": True, "abc": False, "bcd</w>": True, "abcd</w>": True}

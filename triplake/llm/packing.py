@@ -44,6 +44,7 @@ SHARD_DOCS = 2048
 PARTITION_DOCS = 8192
 ROUTE_TERMS = 4  # strongest terms that place a tail in the index
 FIRST_NEIGHBOURS = 16  # ranked before the others, which few windows need
+DENSE_SHARE = 8  # terms of over an eighth of a shard's tails are added up as dense rows
 SLICE_TAILS = 1024  # tails whose terms are counted together
 K1, B = 1.2, 0.75
 
@@ -178,9 +179,9 @@ class Shard:
         self.impact = idf[terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * sizes[self.docs] / mean_length))
         self.terms, first = np.unique(terms, return_index=True)
         self.bounds = np.append(first, len(terms))
-        # terms of more than half the documents have dense rows; the others' are -1
+        # frequent terms have dense rows; the others' are -1
         sizes = np.diff(self.bounds)
-        often = np.flatnonzero(2 * sizes > self.n)
+        often = np.flatnonzero(DENSE_SHARE * sizes > self.n)
         self.row = np.full(len(self.terms), -1)
         self.row[often] = np.arange(len(often))
         self.dense = np.zeros((len(often), self.n))
@@ -196,12 +197,11 @@ class Shard:
         over all its terms, ties by position."""
         query = self.of_doc[self.doc_bounds[seed] : self.doc_bounds[seed + 1]]
         row = self.row[query]
-        query, asked = query[row < 0], np.zeros(len(self.dense))
-        asked[row[row >= 0]] = 1
+        query, row = query[row < 0], row[row >= 0]
         first, sizes = self.bounds[query], self.bounds[query + 1] - self.bounds[query]
         ends = np.cumsum(sizes)
         postings = np.repeat(first - (ends - sizes), sizes) + np.arange(sizes.sum())
-        score = asked @ self.dense + np.bincount(self.docs[postings], self.impact[postings], self.n)
+        score = self.dense[row].sum(axis=0) + np.bincount(self.docs[postings], self.impact[postings], self.n)
         found = np.flatnonzero(unused & (score > 0))
         score = score[found]
         if len(found) > 2 * FIRST_NEIGHBOURS:

@@ -30,17 +30,23 @@ WORD_BPE = "word_bpe_49k.json"
 HELD_CHARS = 1 << 20  # characters of texts that are encoded at a time
 LONG_PIECE = 1000  # merging by rank takes the square of a piece's bytes
 
-# The pre-tokenizer pattern that the shortcut is for, in the
-# vocabulary file and as written here for lower-cased plain Latin text; the
+# The pre-tokenizer pattern that the shortcut is for; the
 # normalizing steps; the end of a piece in the vocabulary file.
 PIECE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ž]+|[0-9]|[^a-zß-öø-ž0-9\s]+")
 NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 END_OF_PIECE = "</w>"
 # Characters outside of which lower-casing, composition or classes may differ
 # between libraries: printable ASCII, white space, Latin letters with marks.
 UNUSUAL = re.compile("[^\t-\r\x20-\x7eÀ-įı-ňŊ-ž]|<\\|")
 
+# Kinds of the bytes of usual text: of those above ASCII all but the signs for
+# "times" and "divided by" belong to letters.
+GAP, LETTER, DIGIT, SIGN = range(4)
+KINDS = np.full(256, SIGN, np.uint8)
+KINDS[[0, *range(0x09, 0x0E), 0x20]] = GAP
+KINDS[[*range(ord("a"), ord("z") + 1), *range(0x80, 0x100)]] = LETTER
+KINDS[[*range(ord("0"), ord("9") + 1)]] = DIGIT
+
 USUAL_ASCII = bytes([*range(0x09, 0x0E), *range(0x20, 0x7F)])
 
 
@@ -97,6 +103,31 @@ def reachable(token: str, order: dict[tuple[str, str], int]) -> bool:
     return True
 
 
+def cut_pieces(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The pieces of usual texts as bytes, a space after each; and the end of
+    each text in them."""
+    line = np.frombuffer("\0".join([*texts, ""]).lower().encode(), np.uint8)
+    kind = KINDS[line]
+    after = np.append(line[1:], np.zeros(3, np.uint8))
+    signs = np.flatnonzero((line == 0xC3) & ((after[:-2] == 0x97) | (after[:-2] == 0xB7)))
+    kind[signs] = kind[signs + 1] = SIGN
+    last = (kind == DIGIT) | (kind != np.append(kind[1:], np.uint8(GAP)))
+    # short forms: where an apostrophe doesn't go on with other signs
+    at = np.flatnonzero(line == ord("'"))
+    at = at[(at == 0) | (kind[at - 1] != SIGN)]
+    one, two = after[at], after[at + 1]
+    short = np.isin(one, np.frombuffer(b"stmd", np.uint8))
+    longer = (two == ord("e")) & ((one == ord("r")) | (one == ord("v"))) | (one == ord("l")) & (two == ord("l"))
+    last[at[short | longer]] = False
+    last[at[short] + 1] = last[at[longer] + 2] = True
+    last &= kind != GAP
+    times = last.astype(np.int8) + (kind != GAP)
+    out = np.repeat(line, times)
+    ends = np.cumsum(times, dtype=np.int64)
+    out[ends[last] - 1] = ord(" ")
+    return out, ends[line == 0]
+
+
 class Encoder:
     """Ids of texts as unsigned 32-bit arrays."""
 
@@ -144,17 +175,18 @@ class Encoder:
 
     def _encode_usual(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of texts that hold none of the unusual characters."""
-        pieces = [PIECES.findall(t.lower()) for t in texts]
-        long = [i for i, own in enumerate(pieces) if len(texts[i]) > LONG_PIECE // 2 and max(map(len, own), default=0) > LONG_PIECE // 2]
-        whole = {i: self._whole(texts[i]) for i in long}
-        for i in long:
-            pieces[i] = []
-        line = " ".join(p for own in pieces for p in own)
-        ranks = self.merged.encode_to_numpy(line + " ") if line else np.zeros(0, np.uint32)
+        line, ends = cut_pieces(texts)
+        spaces = np.flatnonzero(line == ord(" "))
+        long = spaces[np.diff(spaces, prepend=-1) > LONG_PIECE + 1]
+        if len(long):
+            own = set(np.searchsorted(ends, long, side="right").tolist())
+            others = iter(self._encode_usual([t for i, t in enumerate(texts) if i not in own]))
+            return [self._whole(t) if i in own else next(others) for i, t in enumerate(texts)]
+        ranks = self.merged.encode_to_numpy(line.tobytes().decode()) if len(line) else np.zeros(0, np.uint32)
         ids = self.ids[ranks]
         # each piece has one token that ends it, the last
-        ends = np.append(0, np.flatnonzero(self.ends[ranks]) + 1)[np.cumsum([0, *map(len, pieces)])]
-        return [whole[i] if i in whole else ids[a:b] for i, (a, b) in enumerate(zip(ends[:-1], ends[1:]))]
+        stops = np.append(0, np.flatnonzero(self.ends[ranks]) + 1)[np.searchsorted(spaces, ends)]
+        return [ids[a:b] for a, b in zip(np.append(0, stops[:-1]), stops)]
 
     def _encode_held(self, texts: list[str]) -> Iterator[np.ndarray]:
         whole = [not self.by_piece or unusual(t) for t in texts]

@@ -4,6 +4,7 @@ import functools
 import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -326,19 +327,6 @@ def test_base_scores(spark, monkeypatch):
         assert r.score < 0 and np.isfinite(r.score)
 
 
-def test_weighting_against_its_definition(spark, monkeypatch):
-    monkeypatch.setattr(ctw, "DEPTH", 3)
-    monkeypatch.setattr(ctw, "CONTEXTS", 1 << 40)  # every context is kept
-    texts = ["abracadabra", "cadabra cadabra", "", "barbara", "é"]
-    child, table = ctw.fit(spark.createDataFrame([(t,) for t in texts], "text string"))
-    want = plain.kt_weighting([t.encode() for t in texts], 3)
-    assert np.allclose((10.0 ** table.astype(float)).sum(axis=1), 1, atol=1e-4)
-    for t in ["abracadabra", "zebra", "", "dabra\n", "éa"]:
-        line = bytes(3) + t.encode() + b"\0"
-        score = sum(np.log10(want(line[i - 3 : i], line[i])) for i in range(3, len(line)))
-        assert ctw.text_scores(pa.array([t]), child, table)[0] == pytest.approx(score, rel=1e-4)
-
-
 def test_rare_contexts_count(spark, monkeypatch):
     """A source with a small share of the bytes keeps its contexts."""
     monkeypatch.setattr(ctw, "COMMON_RUNS", 1 << 9)  # most runs take the shuffled way
@@ -358,22 +346,18 @@ def test_rare_contexts_count(spark, monkeypatch):
         assert i == j and own == pytest.approx(score, rel=1e-6)
 
 
-def test_pruned_tree_is_a_distribution(spark, monkeypatch):
-    monkeypatch.setattr(ctw, "CONTEXTS", 40)
-    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("text")
-    child, table = ctw.fit(docs)
-    assert len(child) - 1 <= 1 + 40 * ctw.DEPTH
-    assert np.allclose((10.0 ** table.astype(float)).sum(axis=1), 1, atol=1e-3)
-
-
-def test_deeper_contexts_predict_better(spark, monkeypatch):
-    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
-    train, test = docs.where("doc_id % 5 <> 0").select("text"), docs.where("doc_id % 5 = 0").select("text").toArrow()
-    totals = []
-    for depth in (2, 4):
-        monkeypatch.setattr(ctw, "DEPTH", depth)
-        totals.append(ctw.text_scores(test.column("text").combine_chunks(), *ctw.fit(train)).sum())
-    assert totals[1] > totals[0]
+def test_predictions_are_a_distribution(spark):
+    """The bytes after a context, met or not, have probability 1 together."""
+    learned = b"\0\0\0\0\0abracadabra abracadabra zebra\0"
+    n = Counter(learned[i : i + ctw.DEPTH + 1] for i in range(len(learned) - ctw.DEPTH))
+    contexts = [b"\0" * 5, b"abrac", b"dabra", b"zzzzz", b"xabra", bytes([255] * 5)]
+    runs = {c + bytes([x]) for c in contexts for x in range(256)} | set(n)
+    rows = [(int.from_bytes(r[:-1][::-1] + r[-1:], "big"), n[r]) for r in runs]
+    got = {r.key: r.score for r in ctw.run_scores(spark.createDataFrame(rows, "key long, n long")).collect()}
+    for c in contexts:
+        scores = [got[int.from_bytes(c[::-1] + bytes([x]), "big")] for x in range(256)]
+        assert sum(10.0**x for x in scores) == pytest.approx(1, rel=1e-9)
+    assert len(got) == len(rows)
 
 
 def test_scoring_without_training_rows(spark):

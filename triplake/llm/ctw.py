@@ -28,10 +28,6 @@ the corpus and lives in tables:
 
 Nodes that training never met have probability 1/2, as the definition says.
 
-``fit`` and ``text_scores`` are a bounded variant in memory, which keeps only
-contexts with at least one of ``CONTEXTS`` parts of the bytes and merges the
-others; ``score_documents`` does not use it.
-
 The base score is a unigram of words with additive smoothing.  Words with at
 least one of ``COMMON_WORDS`` parts of all tokens (no more than that many) are
 looked up inside tasks; the others are joined to their counts by a shuffle.
@@ -58,7 +54,6 @@ from triplake.llm.textbytes import chunks, hash_words, word_bounds
 from triplake.plans.materialize import materialize
 
 DEPTH = 5
-CONTEXTS = 1 << 13
 TOP = 3  # bytes of the contexts whose subtrees are weighted in tasks
 COMMON_WORDS = 1 << 18
 COMMON_RUNS = 1 << 20
@@ -119,94 +114,6 @@ def positions(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return line, places, own
 
 
-def count(texts: DataFrame, depth: int, tree: "Tree | None" = None) -> DataFrame:
-    """(key, n): for depth 2, runs of three bytes (older, newer, next); beyond,
-    (context of depth - 1 that the tree keeps, older byte, next byte)."""
-    shared = texts.sparkSession.sparkContext.broadcast(tree) if tree else None
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter()
-        for b in batches:
-            for _, _, buf, offsets in chunks(b.column(0)):
-                line, places, _ = positions(buf, offsets)
-                if shared is None:
-                    context = line[places - 2].astype(np.int64) << 8 | line[places - 1]
-                else:
-                    state = shared.value.at_depth(line, places, depth - 1)
-                    kept = state != shared.value.none
-                    places = places[kept]
-                    context = state[kept].astype(np.int64) << 8 | line[places - depth]
-                yield from counter.add(context << 8 | line[places])
-        yield counter.batch()
-
-    return texts.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-
-
-# ---------------------------------------------------------------- the bounded model in memory
-
-
-class Tree:
-    """Kept contexts as states: state 0 is the empty context; ``child[s, c]``
-    is the context s with the byte c before it, ``none`` if it isn't kept."""
-
-    def __init__(self, root: np.ndarray):
-        self.counts = [root[None, :]]  # per depth: states x 256 counts of the next byte
-        self.parents = [np.zeros(1, np.int64)]
-        self.olders = [np.zeros(1, np.int64)]
-        self.first = [0, 1]  # first state of each depth
-        self._link()
-
-    @property
-    def none(self) -> int:
-        return self.first[-1]
-
-    def grow(self, parent: np.ndarray, older: np.ndarray, counts: np.ndarray) -> None:
-        """Adds the contexts of the next depth."""
-        self.counts.append(counts)
-        self.parents.append(parent)
-        self.olders.append(older)
-        self.first.append(self.first[-1] + len(parent))
-        self._link()
-
-    def _link(self) -> None:
-        self.child = np.full((self.none + 1, 256), self.none, np.int32)
-        for d in range(1, len(self.counts)):
-            self.child[self.parents[d], self.olders[d]] = np.arange(self.first[d], self.first[d + 1])
-
-    def __getstate__(self) -> dict:
-        return {"first": self.first, "child": self.child, "depths": len(self.counts)}
-
-    def at_depth(self, line: np.ndarray, places: np.ndarray, depth: int) -> np.ndarray:
-        """State of the context of ``depth`` bytes at each place."""
-        state = np.zeros(len(places), np.int32)
-        for d in range(1, depth + 1):
-            state = self.child[state, line[places - d]]
-        return state
-
-
-def deepest(child: np.ndarray, line: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """State of the longest kept context at each place."""
-    none = len(child) - 1
-    best = state = np.zeros(len(places), np.int32)
-    for d in range(1, DEPTH + 1):
-        state = child[state, line[places - d]]
-        best = np.where(state != none, state, best)
-    return best
-
-
-def grown(tree: Tree, counted: DataFrame, total: int) -> None:
-    """Adds the contexts of ``counted`` that reach their share of ``total``.
-    No more than CONTEXTS do; each has 256 counts at most."""
-    contexts = counted.groupBy(F.shiftright("key", 8).alias("context")).agg(F.sum("n").alias("_all"))
-    kept = contexts.where(F.col("_all") * CONTEXTS >= total).select("context")
-    rows = counted.withColumn("context", F.shiftright("key", 8)).join(kept, "context").select("key", "n").toArrow()
-    key, n = rows.column("key").to_numpy(), rows.column("n").to_numpy()
-    context, at = np.unique(key >> 8, return_inverse=True)
-    counts = np.zeros((len(context), 256))
-    counts[at, key & 255] = n
-    tree.grow(context >> 8, context & 255, counts)
-
-
 def log_gamma(x: np.ndarray) -> np.ndarray:
     """Log of the gamma function for x > 0: Stirling's series, after the
     recurrence has lifted small arguments to 8 and more."""
@@ -223,102 +130,6 @@ def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - np.log(np.pi) - log_gamma(zeros + ones + 1.0)
 
 
-def decisions(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Zeros and ones at the 255 nodes, top bit first, of counts of bytes."""
-    zeros, ones = [], []
-    for level in range(8):
-        halves = counts.reshape(len(counts), 1 << level, 2, 128 >> level).sum(axis=3)
-        zeros.append(halves[:, :, 0])
-        ones.append(halves[:, :, 1])
-    return np.concatenate(zeros, axis=1), np.concatenate(ones, axis=1)
-
-
-def log_bytes(p_one: np.ndarray) -> np.ndarray:
-    """Log10 probabilities of the 256 bytes from those of a one at the nodes."""
-    out, node = np.zeros((len(p_one), 1)), 0
-    for level in range(8):
-        p = p_one[:, node : node + (1 << level)]
-        out = (out[:, :, None] + np.log10(np.stack([1 - p, p], axis=2))).reshape(len(p), 2 << level)
-        node += 1 << level
-    return out
-
-
-def predictions(tree: Tree) -> np.ndarray:
-    """Log10 probability of every byte in every state (states x 256)."""
-    depths = len(tree.counts)
-    kt, rest, share = [None] * depths, [None] * depths, [None] * depths
-    below: np.ndarray | None = None
-    for d in range(depths - 1, -1, -1):
-        counts = tree.counts[d]
-        zeros, ones = decisions(counts)
-        estimate = log_kt(zeros, ones)
-        kt[d] = ((ones + 0.5) / (zeros + ones + 1)).astype(np.float32)
-        weighted = estimate
-        if d < depths - 1:
-            # the children that aren't kept are one child
-            other, product = counts.copy(), np.zeros_like(estimate)
-            if len(tree.parents[d + 1]):
-                up = tree.parents[d + 1] - tree.first[d]
-                np.subtract.at(other, up, tree.counts[d + 1])
-                np.add.at(product, up, below)
-            z, o = decisions(other)
-            product += log_kt(z, o)
-            rest[d] = ((o + 0.5) / (z + o + 1)).astype(np.float32)
-            share[d] = (1 / (1 + np.exp(np.clip(product - estimate, -700, 700)))).astype(np.float32)
-            weighted = np.logaddexp(estimate, product) - np.log(2)
-        below = weighted
-    table = np.zeros((tree.none, 256), np.float32)
-    for d in range(depths):
-        own = np.arange(len(tree.counts[d]))
-        p = kt[d].astype(np.float64)
-        if rest[d] is not None:
-            p = share[d] * p + (1.0 - share[d]) * rest[d]
-        at = tree.parents[d]
-        for up in range(d - 1, -1, -1):
-            a = at - tree.first[up]
-            p = share[up][a] * kt[up][a].astype(np.float64) + (1.0 - share[up][a]) * p
-            at = tree.parents[up][a]
-        table[tree.first[d] + own] = log_bytes(p)
-    return table
-
-
-def fit(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Trains on texts; returns the tree's child table and the predictions."""
-    counted = materialize(count(texts, 2), "byte-runs")
-    # At most 256 ** 3 rows, whatever the corpus holds.
-    rows = counted.toArrow()
-    key, n = rows.column("key").to_numpy().astype(np.int64), rows.column("n").to_numpy().astype(np.float64)
-    total = int(n.sum())
-    tree = Tree(np.bincount(key & 255, n, 256))
-    pairs, at = np.unique(key & 0xFFFF, return_inverse=True)  # newer byte, next byte
-    one = np.zeros((256, 256))
-    one[pairs >> 8, pairs & 255] = np.bincount(at, n, len(pairs))
-    kept = np.flatnonzero((one.sum(axis=1) * CONTEXTS >= total) & (one.sum(axis=1) > 0))
-    tree.grow(np.zeros(len(kept), np.int64), kept, one[kept])
-    context, at = np.unique(key >> 8, return_inverse=True)  # older byte, newer byte
-    size = np.bincount(at, n, len(context))
-    good = size * CONTEXTS >= total
-    place = np.cumsum(good) - 1
-    two = np.zeros((int(good.sum()), 256))
-    inside = good[at]
-    two[place[at[inside]], key[inside] & 255] = n[inside]
-    tree.grow(tree.child[0, context[good] & 255].astype(np.int64), context[good] >> 8, two)
-    for depth in range(3, DEPTH + 1):
-        grown(tree, materialize(count(texts, depth, tree), "byte-contexts"), total)
-    return tree.child, predictions(tree)
-
-
-def text_scores(column: pa.Array, child: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """Log10 probability of each text with its end."""
-    out = np.zeros(len(column))
-    flat = table.reshape(-1)
-    for lo, hi, buf, offsets in chunks(column):
-        line, places, own = positions(buf, offsets)
-        state = deepest(child, line, places)
-        out[lo:hi] = np.add.reduceat(flat[state.astype(np.int64) << 8 | line[places]].astype(np.float64), own[:-1])
-    return out
-
-
 # ---------------------------------------------------------------- the whole model
 
 

@@ -139,16 +139,22 @@ def _write_landing(raw: DataFrame, folder: str, drift: bool) -> None:
     fixture_seconds += time.perf_counter() - began
 
 
+def _spread(raw: DataFrame) -> DataFrame:
+    """Rows for several files per landing, like a real raw folder, without
+    skew.  By the hash of the row id (stable for a file scan): a round-robin
+    repartition would sort all rows of a task in memory first."""
+    n = raw.sparkSession.sparkContext.defaultParallelism
+    return raw.withColumn("_row", F.monotonically_increasing_id()).repartition(n, "_row").drop("_row")
+
+
 def _write_landing_files(raw: DataFrame, folder: str, drift: bool) -> None:
     """Write raw trips as Parquet files; with ``drift`` the files of three
     eras carry different physical schemas (as the yearly raw files do):
     up to 1996 integer party/vendor and a lower-case airport fee, 1997-1998
     without the two newest fee columns, from 1999 zoned timestamps."""
     year = F.year(PICKUP)
-    # several files per landing, like a real raw folder (round-robin: no skew)
-    raw = raw.repartition(raw.sparkSession.sparkContext.defaultParallelism)
     if not drift:
-        raw.write.mode("append").parquet(folder)
+        _spread(raw).write.mode("append").parquet(folder)
         return
     early = (
         raw.where(year <= 1996)
@@ -161,7 +167,7 @@ def _write_landing_files(raw: DataFrame, folder: str, drift: bool) -> None:
         {PICKUP: F.col(PICKUP).cast("timestamp"), DROPOFF: F.col(DROPOFF).cast("timestamp")}
     )
     for part in (early, middle, late):
-        part.write.mode("append").parquet(folder)
+        _spread(part).write.mode("append").parquet(folder)
 
 
 def _schema_drift_union(spark: SparkSession, d: str) -> DataFrame:

@@ -29,6 +29,9 @@ from triplake.sources.parquet import read_reconciled
 # Raw files whose schemas are reconciled together; their paths are on the
 # driver while they are read.
 FILES_PER_BATCH = 1000
+# Bytes of a row group of stored bronze: the least that a task of the next
+# layer reads, so the most that it has to hold whatever a file's size.
+ROW_GROUP_BYTES = 16 * 1024 * 1024
 FILES_SCHEMA = StructType().add("path", "string").add("name", "string").add("length", "long").add("checksum", "string")
 
 
@@ -47,7 +50,8 @@ def new_bronze(spark: SparkSession, lake: Lake) -> str:
     """An empty version of bronze and of its list of files."""
     ensure_namespace(spark, lake.schema("bronze"), lake.folder("bronze"))
     schema = StructType(list(BRONZE_SCHEMA.fields)).add(RESCUED, ArrayType(StructType().add("column", "string").add("value", "string")))
-    version = tables.new_version(spark, lake.table("bronze"), schema, fmt=lake.fmt, batched=True)
+    options = {"parquet.block.size": str(ROW_GROUP_BYTES)}
+    version = tables.new_version(spark, lake.table("bronze"), schema, fmt=lake.fmt, batched=True, options=options)
     parts = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in FILES_SCHEMA)
     spark.sql(f"CREATE TABLE {tables.quoted(version + '_files')} ({parts}, `{BATCH}` string) USING parquet PARTITIONED BY (`{BATCH}`)")
     return version
@@ -85,7 +89,7 @@ def insert_rows(raw: DataFrame, version: str, batch: str, rescue: bool = False,
     """Inserts raw rows under a batch; returns their number and the values
     lost in their casts, by column."""
     rows = raw if projected else bronze_with_rescue(raw, rescue=rescue)
-    counted = tables.insert_counted(rows.withColumn(BATCH, F.lit(batch)), version, _lost_counts() if rescue else None)
+    counted = tables.insert_counted(rows, version, _lost_counts() if rescue else None, batch)
     total = counted.pop("rows")
     return total, {k.removeprefix("lost_"): n for k, n in counted.items() if n}
 

@@ -69,22 +69,25 @@ def current(spark: SparkSession, name: str) -> Version | None:
 
 
 def new_version(
-    spark: SparkSession, name: str, schema: StructType, partition_by: Sequence[str] = (), fmt: str = "parquet", batched: bool = False
+    spark: SparkSession, name: str, schema: StructType, partition_by: Sequence[str] = (), fmt: str = "parquet", batched: bool = False,
+    options: Mapping[str, str] | None = None,
 ) -> str:
     """Creates an empty version of a table; returns its name.  ``batched``
-    adds the batch as last partition column."""
+    adds the batch as last partition column; ``options`` are those of the
+    table's format, used by every write."""
     parts = [*partition_by, *([BATCH] if batched else [])]
     fields = [*schema.fields, *([StructField(BATCH, StringType())] if batched else [])]
     fields = [f for f in fields if f.name not in parts] + [f for p in parts for f in fields if f.name == p]
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
     partitioned = f" PARTITIONED BY ({', '.join(f'`{p}`' for p in parts)})" if parts else ""
+    listed = ", ".join(f"{_text(k)} = {_text(v)}" for k, v in (options or {}).items())
     version = f"{name}__{uuid.uuid4().hex}"
-    spark.sql(f"CREATE TABLE {quoted(version)} ({columns}) USING {fmt}{partitioned}")
+    spark.sql(f"CREATE TABLE {quoted(version)} ({columns}) USING {fmt}{f' OPTIONS ({listed})' if listed else ''}{partitioned}")
     return version
 
 
 @contextmanager
-def _conf(spark: SparkSession, key: str, value: str):
+def session_conf(spark: SparkSession, key: str, value: str):
     before = spark.conf.get(key, None)
     spark.conf.set(key, value)
     try:
@@ -93,14 +96,25 @@ def _conf(spark: SparkSession, key: str, value: str):
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
-def insert_counted(df: DataFrame, version: str, observe: Mapping[str, Column] | None = None) -> dict[str, int]:
+def insert_counted(
+    df: DataFrame, version: str, observe: Mapping[str, Column] | None = None, batch: str | None = None
+) -> dict[str, int]:
     """Inserts rows by column name; returns ``rows`` and what is observed,
-    counted by the write itself."""
+    counted by the write itself.
+
+    With ``batch`` all rows are of that batch, a constant of the statement:
+    without other partition columns the tasks then stream their rows to one
+    file.  For a column of batches each task sorts all its rows first."""
     spark, seen = df.sparkSession, Observation()
     counted = [F.count(F.lit(1)).alias("rows"), *(c.alias(n) for n, c in (observe or {}).items())]
-    rows = df.observe(seen, *counted).select(*(F.col(f"`{c}`") for c in spark.table(version).columns))
-    with _conf(spark, *_ONE_CALL):
-        rows.write.insertInto(version)
+    columns = [c for c in spark.table(version).columns if batch is None or c != BATCH]
+    rows = df.observe(seen, *counted).select(*(F.col(f"`{c}`") for c in columns))
+    with session_conf(spark, *_ONE_CALL):
+        if batch is None:
+            rows.write.insertInto(version)
+        else:
+            at = f"{quoted(version)} PARTITION (`{BATCH}` = {_text(batch)})"
+            spark.sql(f"INSERT INTO {at} SELECT * FROM {{rows}}", rows=rows)
     return {k: int(v or 0) for k, v in seen.get.items()}
 
 

@@ -68,3 +68,6 @@ def test_memory_of_a_task_does_not_follow_the_size_of_a_file(tmp_path):
     most = peaks(str(tmp_path), 20_000, 160_000)
     # bronze streams its rows
     assert most["bronze 20000"] < 1024**2 and most["bronze 160000"] < 1024**2, most
+    # silver sorts or shuffles a bounded part of them at a time
+    assert most["silver 160000"] < 2 * most["silver 20000"], most
+    assert most["clustered 160000"] < 2 * most["clustered 20000"], most

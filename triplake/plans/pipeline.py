@@ -102,6 +102,10 @@ def add_to_bronze(spark: SparkSession, raw: str, lake: Lake, reconcile: bool = T
 # Bytes of stored bronze per task of the clustered silver shuffle (and so,
 # roughly, per written silver file).
 CLUSTER_BYTES_PER_TASK = 128 * 1024 * 1024
+# Bytes of stored bronze that a task reads to write silver.  It holds all its
+# rows, as many times larger in memory, to sort them by month or to shuffle
+# them; so its memory follows this figure, not the size of bronze's files.
+READ_BYTES_PER_TASK = 16 * 1024 * 1024
 
 
 def range_partitions(source_bytes: int, bytes_per_task: int) -> int:
@@ -141,11 +145,17 @@ def write_silver(spark: SparkSession, lake: Lake, rules: QualityRules = QualityR
         df = df.withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(n, *keys).drop("_row")
     ensure_namespace(spark, lake.schema("silver"), lake.folder("silver"))
     version = tables.new_version(spark, lake.table("silver"), SILVER_SCHEMA, SILVER_PARTITION_COLUMNS, lake.fmt, batched=True)
-    rows = tables.insert_counted(df, version)["rows"]
+    rows = _insert_silver(df, version)
     tables.switch(spark, lake.table("silver"), version, SILVER_SCHEMA.names, {"rules": _rules_note(rules, duration_scale)})
     return rows
 
 
+def _insert_silver(df: DataFrame, version: str) -> int:
+    """Inserts rows read from bronze, ``READ_BYTES_PER_TASK`` a task."""
+    with tables.session_conf(df.sparkSession, "spark.sql.files.maxPartitionBytes", str(READ_BYTES_PER_TASK)):
+        return tables.insert_counted(df, version)["rows"]
+
+
 def _rules_note(rules: QualityRules, duration_scale: int | None) -> str:
     return tables.fingerprint(asdict(rules), duration_scale)
 
@@ -165,7 +175,7 @@ def update_silver(spark: SparkSession, lake: Lake, rules: QualityRules = Quality
     if not want - have:
         return None
     new = to_silver(_bronze_batches(spark, lake, want - have), rules, duration_scale)
-    return tables.insert_counted(new, now.table)["rows"]
+    return _insert_silver(new, now.table)
 
 
 # ----------------------------------------------------------------------- gold

@@ -42,14 +42,31 @@ for n in sizes:
 spark.stop()
 """
 
+INCREMENTS = RUN.split("for n in sizes:")[0] + """
+for n in sizes:
+    lake = Lake(f"{out}/lake-{n}")
+    # a small first file, then an increment of one file of n rows
+    for step, rows in (("full", 1_000), ("increment", n)):
+        spark.sparkContext.setLocalProperty("step", "input")
+        at = F.timestamp_add("SECOND", (F.col("id") * 7919 % 8_000_000).cast("int"), F.lit("2020-01-01 00:00:00").cast("timestamp_ntz"))
+        trips = spark.range(rows).select(
+            at.alias("tpep_pickup_datetime"), F.timestamp_add("MINUTE", F.lit(7), at).alias("tpep_dropoff_datetime"),
+            F.rand(1).alias("trip_distance"), (F.rand(2) + 1).alias("total_amount"), (F.col("id") % 50).alias("PULocationID"))
+        to_contract(trips, RAW_SCHEMA).coalesce(1).write.mode("append").parquet(f"{out}/in-{n}")
+        spark.sparkContext.setLocalProperty("step", f"{step} {n}")
+        done = pipeline.run_pipeline(spark, f"{out}/in-{n}", lake, glob="*.parquet", reconcile=False, resume=step == "increment")
+        assert (done.bronze_rows, done.silver_rows) == (rows, rows)
+spark.stop()
+"""
+
 
-def peaks(folder, *args):
+def peaks(folder, *args, script=RUN):
     """The largest execution memory of a task, by step."""
     os.makedirs(f"{folder}/events")
     env = {**os.environ, "PYTHONPATH": ROOT + os.pathsep + os.environ.get("PYTHONPATH", "")}
     # another session than the one of the tests: it has its own event log
     env = {k: v for k, v in env.items() if not k.startswith("PYSPARK_GATEWAY")}
-    done = subprocess.run([sys.executable, "-c", RUN, folder, *map(str, args)], cwd=folder, env=env, capture_output=True, text=True, timeout=300)
+    done = subprocess.run([sys.executable, "-c", script, folder, *map(str, args)], cwd=folder, env=env, capture_output=True, text=True, timeout=300)
     assert done.returncode == 0, done.stderr[-3000:]
     (log,) = os.listdir(f"{folder}/events")
     step, most = {}, {}
@@ -71,3 +88,9 @@ def test_memory_of_a_task_does_not_follow_the_size_of_a_file(tmp_path):
     # silver sorts or shuffles a bounded part of them at a time
     assert most["silver 160000"] < 2 * most["silver 20000"], most
     assert most["clustered 160000"] < 2 * most["clustered 20000"], most
+
+
+def test_memory_of_a_task_does_not_follow_the_size_of_an_increment(tmp_path):
+    # bronze, silver, cells and gold of a run that continues
+    most = peaks(str(tmp_path), 20_000, 160_000, script=INCREMENTS)
+    assert most["increment 160000"] < 2 * most["increment 20000"], most

@@ -95,6 +95,37 @@ def test_create_or_replace_is_never_without_a_table(spark):
     assert len(tables.drop_superseded(spark, "swap_test.t")) == 4 and spark.table("swap_test.t").first()["k"] == 4
 
 
+def test_switch_leaves_no_moment_without_a_table(spark):
+    """Readers that only resolve the name, often enough to meet every step of
+    a switch; the notes go with their version."""
+    import threading
+
+    from triplake.plans import tables
+
+    sinks.ensure_namespace(spark, "swap_test")
+    a, b = (tables.new_version(spark, "swap_test.resolved", spark.range(1).schema) for _ in range(2))
+    tables.switch(spark, "swap_test.resolved", a, ["id"], {"k": "first", "only": "first"})
+    stop, errors = threading.Event(), []
+
+    def read():
+        while not stop.is_set():
+            try:
+                spark.table("swap_test.resolved")
+            except Exception as e:  # noqa: BLE001
+                errors.append(e)
+
+    readers = [threading.Thread(target=read) for _ in range(2)]
+    for r in readers:
+        r.start()
+    for i in range(100):
+        tables.switch(spark, "swap_test.resolved", (b, a)[i % 2], ["id"], {"k": str(i)})
+    stop.set()
+    for r in readers:
+        r.join()
+    assert not errors
+    assert tables.current(spark, "swap_test.resolved") == tables.Version(a, {"k": "99"})
+
+
 def test_failed_replacement_keeps_the_table(spark):
     sinks.ensure_namespace(spark, "swap_test")
     sinks.save_as_table(spark.range(3), "swap_test.kept")

@@ -6,7 +6,7 @@ fresh name::
     schema.trips           view: the public columns of the current version
     schema.trips__<hex>    a version, partitioned by ``_batch`` last
 
-A replacement fills a new version and then replaces the view, so readers see
+A replacement fills a new version and then alters the view, so readers see
 the old rows or the new ones, never none or some; a failed write leaves a
 version that no view names.  An increment inserts its rows under a batch of
 its own: Spark adds the batch's partitions to the catalog when the files are
@@ -23,6 +23,7 @@ persistent one (as on a cluster), or attach a lake again by a full run.
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Mapping, Sequence
 from contextlib import contextmanager
@@ -33,7 +34,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 BATCH = "_batch"
-VERSION_PROPERTY = "triplake.version"
 # Partitions of one insert become visible in one call of the catalog.
 _ONE_CALL = ("spark.sql.addPartitionInBatch.size", "1000000")
 
@@ -63,11 +63,23 @@ def current(spark: SparkSession, name: str) -> Version | None:
     """The version that the view names; None if there is no such table."""
     if not spark.catalog.tableExists(name):
         return None
-    rows = spark.sql(f"SHOW TBLPROPERTIES {quoted(name)}").collect()
-    notes = {r["key"].removeprefix("triplake."): r["value"] for r in rows if r["key"].startswith("triplake.")}
+    properties = _properties(spark, name)
+    if not properties:
+        return None
+    text = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(name)}").where("col_name = 'View Text'").collect()
+    found = re.search(r"__([0-9a-f]{32})`$", text[0]["data_type"]) if text else None
+    own = f"triplake.{found[1]}." if found else "triplake."
+    # a view of before the notes had the version in their names
+    own = own if f"{own}version" in properties else "triplake."
+    notes = {k.removeprefix(own): v for k, v in properties.items() if k.startswith(own)}
     return Version(notes.pop("version"), notes) if "version" in notes else None
 
 
+def _properties(spark: SparkSession, name: str) -> dict[str, str]:
+    rows = spark.sql(f"SHOW TBLPROPERTIES {quoted(name)}").collect()
+    return {r["key"]: r["value"] for r in rows if r["key"].startswith("triplake.")}
+
+
 def new_version(
     spark: SparkSession, name: str, schema: StructType, partition_by: Sequence[str] = (), fmt: str = "parquet", batched: bool = False,
     options: Mapping[str, str] | None = None,
@@ -119,13 +131,22 @@ def insert_counted(
 
 
 def switch(spark: SparkSession, name: str, version: str, columns: Sequence[str], notes: Mapping[str, str] | None = None) -> None:
-    """Makes a version the current one, with ``columns`` as the public ones."""
-    properties = {VERSION_PROPERTY: version, **{f"triplake.{k}": v for k, v in (notes or {}).items()}}
-    listed = ", ".join(f"{_text(k)} = {_text(v)}" for k, v in properties.items())
-    spark.sql(
-        f"CREATE OR REPLACE VIEW {quoted(name)} TBLPROPERTIES ({listed}) AS "
-        f"SELECT {', '.join(f'`{c}`' for c in columns)} FROM {quoted(version)}"
-    )
+    """Makes a version the current one, with ``columns`` as the public ones.
+
+    A view that there is gets another query: ``CREATE OR REPLACE VIEW`` drops
+    it first, so that a reader may find none.  The notes are stored before,
+    under names of their version, so they take effect with it."""
+    own = f"triplake.{version.rsplit('__', 1)[1]}."
+    noted = {f"{own}{k}": v for k, v in {"version": version, **(notes or {})}.items()}
+    listed = ", ".join(f"{_text(k)} = {_text(v)}" for k, v in noted.items())
+    query = f"SELECT {', '.join(f'`{c}`' for c in columns)} FROM {quoted(version)}"
+    if current(spark, name) is None:
+        spark.sql(f"CREATE OR REPLACE VIEW {quoted(name)} TBLPROPERTIES ({listed}) AS {query}")
+        return
+    spark.sql(f"ALTER VIEW {quoted(name)} SET TBLPROPERTIES ({listed})")
+    spark.sql(f"ALTER VIEW {quoted(name)} AS {query}")
+    if older := ", ".join(_text(k) for k in _properties(spark, name) if not k.startswith(own)):
+        spark.sql(f"ALTER VIEW {quoted(name)} UNSET TBLPROPERTIES IF EXISTS ({older})")
 
 
 def replace_table(
